@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("q_views",)
+_MODULES = ("q_views", "q_showcase", "q_reports")
 
 
 def load():
