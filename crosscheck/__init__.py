@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("q_views", "q_showcase", "q_reports")
+_MODULES = ("q_views", "q_showcase", "q_reports", "q_apps")
 
 
 def load():

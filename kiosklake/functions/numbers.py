@@ -7,10 +7,10 @@ from pyspark.sql import Column, functions as F
 MONEY_SUM = "decimal(24,2)"
 
 
-def ratio(num: Column, den: Column, digits: int) -> Column:
+def ratio(num: Column, den: Column, digits: int, num_type: str = MONEY_SUM) -> Column:
     """Exact ``num / den`` rounded half away from zero; NULL when ``den`` is 0."""
-    den = F.nullif(den.cast("decimal(14,0)"), F.lit(0).cast("decimal(14,0)"))
-    return F.round(num.cast(MONEY_SUM) / den, digits)
+    den = F.nullif(den.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
+    return F.round(num.cast(num_type) / den, digits)
 
 
 def percent(num: Column, den: Column, digits: int) -> Column:

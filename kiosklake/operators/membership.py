@@ -17,6 +17,15 @@ def rows_in(df: DataFrame, column: str, values) -> DataFrame:
     return df.filter(F.col(column).isin(list(values)))
 
 
+def only(df: DataFrame, column: str, wanted) -> DataFrame:
+    """Restrict a report to one key, a list or a frame of keys; ``None`` keeps every key."""
+    if wanted is None:
+        return df
+    if isinstance(wanted, (DataFrame, list, tuple, set)):
+        return rows_in(df, column, wanted)
+    return df.filter(F.col(column) == wanted)
+
+
 def not_in(df: DataFrame, column: str, other: DataFrame) -> DataFrame:
     """``column NOT IN (SELECT ...)`` with SQL's NULL rules, as a shuffled anti-join.
 

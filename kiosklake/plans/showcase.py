@@ -17,15 +17,13 @@ from kiosklake.operators.ranking import top_per
 from kiosklake.plans.views import disc_films
 from kiosklake.sources.tables import Tables
 
-_EVERYTHING = Window.partitionBy()
-
 
 def with_share(counts: DataFrame, value: str, digits: int, name: str = "pct") -> DataFrame:
     """Percent of the total over already grouped rows.
 
     Only used where the groups are a fixed handful (weekdays, statuses, bands).
     """
-    total = F.sum(value).over(_EVERYTHING)
+    total = F.sum(value).over(Window.partitionBy())
     return counts.withColumn(name, percent(F.col(value), total, digits))
 
 

@@ -69,7 +69,30 @@ _DDL = {
     "staged_crew": "film_id bigint, person_id bigint, department string, job string",
 }
 
-SCHEMAS: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(12,2)": T.DecimalType(12, 2),
+    "array<int>": T.ArrayType(T.IntegerType()),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _schema(ddl: str) -> T.StructType:
+    """Built without a session, so schemas can be imported anywhere."""
+    columns = (column.split(" ") for column in ddl.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
+
+
+SCHEMAS: dict[str, T.StructType] = {name: _schema(ddl) for name, ddl in _DDL.items()}
 
 # Shapes of the landed JSON arrays.
 CAST_DOC = "array<struct<id:bigint,gender:int,character:string>>"
