@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kiosklake.operators.maintain import signup_backfill
 from kiosklake.sources import seeds
 from kiosklake.sources.tables import Tables
 
@@ -56,6 +57,13 @@ def customer(g: Tables) -> DataFrame:
     )
 
 
+def customer_status_log(g: Tables) -> DataFrame:
+    """The signup entries of all customers."""
+    return signup_backfill(customer(g)).select(
+        (F.col("customer_id") + 1).alias("log_id"), "*"
+    )
+
+
 def store(g: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     return g.supplier.select(
@@ -309,7 +317,7 @@ def documents_as_films(g: Tables) -> DataFrame:
 
 
 _DERIVED = [
-    customer, store, zip_code_info, film, film_genre, person, film_cast, film_crew, inventory,
+    customer, customer_status_log, store, zip_code_info, film, film_genre, person, film_cast, film_crew, inventory,
     rental, payment, holiday, landed_credits, landed_detail, landed_releases,
     film_production_company, production_company,
 ]

@@ -111,7 +111,7 @@ register("s8_recent_rentals", lambda t: customers.recent_rentals(t, NOW, 1200, k
 
 WORN = f"""SELECT i.store_id, i.inventory_id, f.title, count(*) AS rental_count
     FROM d_inventory i JOIN d_film f ON i.film_id = f.film_id JOIN d_rental r ON r.inventory_id = i.inventory_id
-    WHERE i.status_id = 1 GROUP BY i.store_id, i.inventory_id, f.title HAVING count(*) >= 2 {top('i.store_id', 'count(*) DESC, i.inventory_id', 50)}"""
+    WHERE i.status_id = 1 GROUP BY i.store_id, i.inventory_id, f.title HAVING count(*) >= 2 {top('i.store_id', 'count(*) DESC, i.inventory_id', 10)}"""
 register("s9_worn_discs", lambda t: stores.worn_discs(t, min_rentals=2), sql(WORN))
 register("s9_recycle_discs", lambda t: stores.recycle_discs(t, NOW, min_rentals=2)[0], sql(f"""
     SELECT i.inventory_id, i.film_id, i.store_id, CASE WHEN h THEN 4 ELSE i.status_id END AS status_id, i.circulation_start,

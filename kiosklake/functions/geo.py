@@ -14,27 +14,40 @@ FLATTENING = 1.0 / 298.257223563
 # dividing by these never underestimates an angle.
 LAT_DEGREE_M = 110574.0
 LNG_DEGREE_M = 111319.0
+# Longest degree of arc anywhere on the ellipsoid (at the poles).
+MAX_DEGREE_M = 111700.0
 
 
 def distance_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     """Metres between two points; NULL when a coordinate is NULL."""
-    squash = F.lit(1.0 - FLATTENING)
-    b1 = F.atan(squash * F.tan(F.radians(lat1)))
-    b2 = F.atan(squash * F.tan(F.radians(lat2)))
-    half_lng = F.radians(lng2 - lng1) / 2.0
-    half_lat = (b2 - b1) / 2.0
-    sin_lat, sin_lng = F.sin(half_lat), F.sin(half_lng)
-    chord = sin_lat * sin_lat + F.cos(b1) * F.cos(b2) * sin_lng * sin_lng
-    sigma = F.lit(2.0) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
-    mean_lat = (b1 + b2) / 2.0
-    x = (sigma - F.sin(sigma)) * _squares(F.sin(mean_lat), F.cos(half_lat), F.cos(sigma / 2.0))
-    y = (sigma + F.sin(sigma)) * _squares(F.cos(mean_lat), sin_lat, F.sin(sigma / 2.0))
-    metres = F.lit(EQUATOR_M) * (sigma - F.lit(FLATTENING / 2.0) * (x + y))
-    return F.when(sigma == 0.0, F.lit(0.0)).otherwise(metres)
+    return distance_reduced(reduced(lat1), lng1, reduced(lat2), lng2)
 
 
-def _squares(a: Column, b: Column, over: Column) -> Column:
-    return (a * a * b * b) / F.nullif(over * over, F.lit(0.0))
+def reduced(lat: Column) -> Column:
+    """Reduced latitude in radians; depends on one point, so joins compute it beforehand."""
+    return F.atan(F.tan(F.radians(lat)) * (1.0 - FLATTENING))
+
+
+def distance_reduced(b1: Column, lng1: Column, b2: Column, lng2: Column) -> Column:
+    """Metres between points given by reduced latitude and longitude in degrees.
+
+    Written in half-angle form: with ``c`` the squared sine of half the central
+    angle, both correction terms need only sums and differences of sines of the
+    reduced latitudes, which keeps the expression small.
+    """
+    sin_lat, sin_lng = F.sin((b2 - b1) / 2.0), F.sin(F.radians((lng2 - lng1) / 2.0))
+    c = F.least(F.lit(1.0), sin_lat * sin_lat + F.cos(b1) * F.cos(b2) * sin_lng * sin_lng)
+    return F.when(c == 0.0, F.lit(0.0)).otherwise(_metres(c, F.sin(b1), F.sin(b2)))
+
+
+def _metres(c: Column, sin1: Column, sin2: Column) -> Column:
+    root = F.sqrt(c)
+    angle = F.asin(root) * 2.0
+    sine = root * F.sqrt(F.lit(1.0) - c) * 2.0
+    total, gap = sin1 + sin2, sin2 - sin1
+    along = (angle - sine) * total * total / F.greatest(F.lit(1.0) - c, F.lit(1e-300))
+    across = (angle + sine) * gap * gap / c
+    return (angle - (along + across) * (FLATTENING / 8.0)) * EQUATOR_M
 
 
 def distance_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column, digits: int = 1) -> Column:
@@ -57,16 +70,15 @@ class Grid:
 
     def columns_in(self, row: Column) -> Column:
         """Number of columns in a band, from its edge nearest a pole."""
-        low = row * self.row_deg - 90.0
-        edge = F.greatest(F.abs(low), F.abs(low + self.row_deg))
-        shrink = F.cos(F.radians(F.least(edge, F.lit(90.0))))
-        return F.greatest(F.floor(shrink * (360.0 / self.col_deg)), F.lit(1)).cast("int")
+        middle = (row + 0.5) * self.row_deg - 90.0
+        edge = F.least(F.abs(middle) + self.row_deg / 2.0, F.lit(90.0))
+        return F.greatest(F.floor(F.cos(F.radians(edge)) * (360.0 / self.col_deg)), F.lit(1)).cast("int")
 
-    def _raw_col(self, lng: Column, row: Column) -> Column:
-        return F.floor((lng + 180.0) * self.columns_in(row) / 360.0).cast("int")
+    def col(self, lng: Column, columns: Column) -> Column:
+        return F.pmod(self._raw_col(lng, columns), columns)
 
-    def col(self, lng: Column, row: Column) -> Column:
-        return F.pmod(self._raw_col(lng, row), self.columns_in(row))
+    def _raw_col(self, lng: Column, columns: Column) -> Column:
+        return F.floor((lng + 180.0) * columns / 360.0).cast("int")
 
     def rows_near(self, lat: Column, radius_m: float) -> Column:
         """Array of bands a circle round ``lat`` can touch."""
@@ -76,31 +88,45 @@ class Grid:
             self.row(F.least(lat + reach, F.lit(90.0))),
         )
 
-    def cols_near(self, lat: Column, lng: Column, row: Column, radius_m: float) -> Column:
-        """Array of distinct columns of a band that the circle can touch."""
+    def lng_reach(self, lat: Column, radius_m: float) -> Column:
+        """Degrees of longitude a circle can span on either side; all of them near a pole."""
         top = F.abs(lat) + radius_m / LAT_DEGREE_M
-        reach = F.when(
-            top < 89.0, radius_m / (F.cos(F.radians(top)) * LNG_DEGREE_M)
-        ).otherwise(F.lit(180.0))
-        low = self._raw_col(lng - reach, row)
-        high = F.least(self._raw_col(lng + reach, row), low + self.columns_in(row) - 1)
-        return F.transform(F.sequence(low, high), lambda c: F.pmod(c, self.columns_in(row)))
-
-    def centre_lat(self, row: Column) -> Column:
-        return F.least((row + 0.5) * self.row_deg - 90.0, F.lit(90.0))
-
-    def centre_lng(self, row: Column, col: Column) -> Column:
-        return (col + 0.5) * 360.0 / self.columns_in(row) - 180.0
-
-    def half_diagonal_m(self, row: Column) -> Column:
-        """Upper bound on the distance from a cell's centre to any point in it."""
-        low = row * self.row_deg - 90.0
-        high = low + self.row_deg
-        near = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(
-            F.least(F.abs(low), F.abs(high))
-        )
-        tall = F.lit(self.row_deg / 2.0 * 111700.0)
-        wide = F.cos(F.radians(near)) * (180.0 / self.columns_in(row)) * 111700.0
-        return tall + wide
-
-
+        wide = radius_m / LNG_DEGREE_M / F.cos(F.radians(top))
+        return F.when(top < 89.0, F.least(wide, F.lit(180.0))).otherwise(F.lit(180.0))
+
+    def cols_near(self, lng: Column, reach: Column, columns: Column) -> Column:
+        """Array of unwrapped column numbers the circle can touch, none twice round the globe."""
+        low = self._raw_col(lng - reach, columns)
+        return F.sequence(low, F.least(self._raw_col(lng + reach, columns), low + columns - 1))
+
+    # Bounds on the distance from a point to the points of a cell. Straight lines in
+    # degrees bound geodesics: longest where parallels are longest, shortest where
+    # they are shortest, over the latitudes that lie within reach.
+
+    def _offsets(self, lat: Column, lng: Column, row: Column, col: Column, columns: Column):
+        dy = F.abs(lat + 90.0 - (row + 0.5) * self.row_deg)
+        dx = F.abs(lng + 180.0 - (col + 0.5) * 360.0 / columns)
+        return dy, F.least(dx, F.abs(F.lit(360.0) - dx)), F.lit(180.0) / columns
+
+    def wholly_within(self, lat, lng, row, col, columns, cos_max: Column, radius_m: float) -> Column:
+        """Every point of the cell is surely within the radius."""
+        dy, dx, half = self._offsets(lat, lng, row, col, columns)
+        y, x = dy + self.row_deg / 2.0, (dx + half) * cos_max
+        limit = radius_m * 0.998 / MAX_DEGREE_M
+        return y * y + x * x <= limit * limit
+
+    def wholly_beyond(self, lat, lng, row, col, columns, cos_min: Column, radius_m: float) -> Column:
+        """No point of the cell can be within the radius."""
+        dy, dx, half = self._offsets(lat, lng, row, col, columns)
+        zero = F.lit(0.0)
+        y, x = F.greatest(dy - self.row_deg / 2.0, zero), F.greatest(dx - half, zero) * cos_min
+        limit = radius_m * 1.002 / LAT_DEGREE_M
+        return y * y + x * x > limit * limit
+
+
+def cos_bounds(lat: Column, radius_m: float) -> tuple[Column, Column]:
+    """Smallest and largest cosine of latitude a circle and the cells it touches can reach."""
+    reach = 2.0 * radius_m / LAT_DEGREE_M
+    low = F.greatest(F.abs(lat) - reach, F.lit(0.0))
+    high = F.least(F.abs(lat) + reach, F.lit(90.0))
+    return F.cos(F.radians(high)), F.cos(F.radians(low))

@@ -7,9 +7,9 @@ hold many rows are salted on either side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from kiosklake.functions.geo import Grid, distance_m
+from kiosklake.functions.geo import LAT_DEGREE_M, Grid, cos_bounds, distance_reduced, reduced
 from kiosklake.operators.ranking import top_per
 
 _CELL = ["_row", "_col"]
@@ -25,14 +25,23 @@ def _located(df: DataFrame, at: tuple[str, str]) -> DataFrame:
 def _in_cells(df: DataFrame, at: tuple[str, str], grid: Grid) -> DataFrame:
     """Each row with the one cell it lies in."""
     df = df.withColumn("_row", grid.row(F.col(at[0])))
-    return df.withColumn("_col", grid.col(F.col(at[1]), F.col("_row")))
+    df = df.withColumn("_columns", grid.columns_in(F.col("_row")))
+    return df.withColumn("_col", grid.col(F.col(at[1]), F.col("_columns"))).drop("_columns")
 
 
 def _spread(df: DataFrame, at: tuple[str, str], grid: Grid, radius_m: float) -> DataFrame:
-    """Each row once per cell its circle can touch."""
+    """Each row once per cell its circle can touch (band, column, columns of the band)."""
     lat, lng = F.col(at[0]), F.col(at[1])
+    df = df.withColumn("_reach", grid.lng_reach(lat, radius_m))
     df = df.withColumn("_row", F.explode(grid.rows_near(lat, radius_m)))
-    return df.withColumn("_col", F.explode(grid.cols_near(lat, lng, F.col("_row"), radius_m)))
+    df = df.withColumn("_columns", grid.columns_in(F.col("_row")))
+    df = df.withColumn("_col", F.explode(grid.cols_near(lng, F.col("_reach"), F.col("_columns"))))
+    return df.withColumn("_col", F.pmod(F.col("_col"), F.col("_columns"))).drop("_reach")
+
+
+def _same_band(lat1: Column, lat2: Column, radius_m: float) -> Column:
+    """Cheap test that spares most trigonometry: latitudes within the radius."""
+    return F.abs(lat1 - lat2) <= radius_m / LAT_DEGREE_M
 
 
 def _hot_cells(df: DataFrame, name: str, rows: int, radius_m: float) -> DataFrame:
@@ -63,8 +72,10 @@ def radius_join(
     no pair comes out twice.
     """
     grid = Grid(radius_m)
-    near = _spread(_located(sites, site_at), site_at, grid, radius_m)
+    near = _spread(_located(sites, site_at), site_at, grid, radius_m).drop("_columns")
+    near = near.withColumn("_b1", reduced(F.col(site_at[0])))
     placed = _in_cells(_located(points, point_at), point_at, grid)
+    placed = placed.withColumn("_b2", reduced(F.col(point_at[0])))
     # A hot cell becomes site parts x point parts; each side is copied to the
     # other side's parts, so one task sees at most rows_per_part rows of each.
     site_parts = _hot_cells(near, "_sp", rows_per_part, radius_m)
@@ -85,12 +96,13 @@ def radius_join(
 
     left = split(near, site_key, "_sp", "_pp", "_si", "_pi")
     right = split(placed, point_key, "_pp", "_sp", "_pi", "_si")
-    metres = distance_m(*(F.col(c) for c in (*site_at, *point_at)))
+    metres = distance_reduced(F.col("_b1"), F.col(site_at[1]), F.col("_b2"), F.col(point_at[1]))
     return (
         left.join(right, [*_CELL, "_si", "_pi"])
+        .filter(_same_band(F.col(site_at[0]), F.col(point_at[0]), radius_m))
         .withColumn(distance, metres)
         .filter(F.col(distance) <= radius_m)
-        .drop(*_CELL, "_si", "_pi")
+        .drop(*_CELL, "_si", "_pi", "_b1", "_b2")
     )
 
 
@@ -118,26 +130,27 @@ def count_within_radius(
         .groupBy(F.col(point_at[0]).alias("_plat"), F.col(point_at[1]).alias("_plng"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    spots = _in_cells(spots, ("_plat", "_plng"), grid)
+    spots = _in_cells(spots, ("_plat", "_plng"), grid).withColumn("_b2", reduced(F.col("_plat")))
     cells = spots.groupBy(*_CELL).agg(F.sum("_n").alias("_cell_n"))
 
-    places = _located(sites, site_at).select(
-        F.col(site_at[0]).alias("_slat"), F.col(site_at[1]).alias("_slng")
-    ).distinct()
+    cos_min, cos_max = cos_bounds(slat, radius_m)
+    places = (
+        _located(sites, site_at)
+        .select(F.col(site_at[0]).alias("_slat"), F.col(site_at[1]).alias("_slng"))
+        .distinct()
+        .withColumns({"_cos_min": cos_min, "_cos_max": cos_max, "_b1": reduced(slat)})
+    )
     probes = _spread(places, ("_slat", "_slng"), grid, radius_m)
-    row, col = F.col("_row"), F.col("_col")
-    to_centre = distance_m(slat, slng, grid.centre_lat(row), grid.centre_lng(row, col))
-    # 0.5 % and 1 m of slack cover the approximation error of the distance formula
-    slack = grid.half_diagonal_m(row) * 1.005 + 1.0
-    probes = probes.withColumn("_c", to_centre).withColumn("_h", slack)
-    inside = F.col("_c") * 1.005 + F.col("_h") <= radius_m
-    outside = F.col("_c") * 0.995 - F.col("_h") > radius_m
+    cell = (F.col("_row"), F.col("_col"), F.col("_columns"))
+    inside = grid.wholly_within(slat, slng, *cell, F.col("_cos_max"), radius_m)
+    outside = grid.wholly_beyond(slat, slng, *cell, F.col("_cos_min"), radius_m)
 
     whole = probes.filter(inside).join(cells, _CELL).select("_slat", "_slng", F.col("_cell_n").alias("_n"))
+    metres = distance_reduced(F.col("_b1"), slng, F.col("_b2"), F.col("_plng"))
     rim = (
         probes.filter(~inside & ~outside)
         .join(spots, _CELL)
-        .filter(distance_m(slat, slng, F.col("_plat"), F.col("_plng")) <= radius_m)
+        .filter(_same_band(slat, F.col("_plat"), radius_m) & (metres <= radius_m))
         .select("_slat", "_slng", "_n")
     )
     per_place = whole.unionByName(rim).groupBy("_slat", "_slng").agg(F.sum("_n").alias("_n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kiosklake.operators.ranking import top_per
+from kiosklake.session import materialize
 
 
 def shared_group_pairs(
@@ -34,7 +35,7 @@ def shared_group_pairs(
     frequent = entries.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_groups)
     entries = entries.join(frequent.select("label"), "label", "left_semi")
     sizes = entries.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    sized = entries.join(sizes, "g")
+    sized = materialize(entries.join(sizes, "g"), "pair-entries")  # read by every branch below
     light = sized.filter(F.col("size") <= heavy).drop("size")
     big = sized.filter(F.col("size") > heavy)
 

@@ -23,7 +23,7 @@ def _circulating(t: Tables, store_id) -> DataFrame:
     return only(t.inventory.filter(F.col("status_id") == IN_CIRCULATION), "store_id", store_id)
 
 
-def worn_discs(t: Tables, store_id=None, min_rentals: int = 15, batch: int = 50) -> DataFrame:
+def worn_discs(t: Tables, store_id=None, min_rentals: int = 15, batch: int = 10) -> DataFrame:
     """A store's most rented circulating discs that reached the rental threshold."""
     often = rentals_per_disc(t.rental).filter(F.col("rentals") >= min_rentals)
     worn = (
@@ -37,7 +37,7 @@ def worn_discs(t: Tables, store_id=None, min_rentals: int = 15, batch: int = 50)
 
 
 def recycle_discs(
-    t: Tables, as_of, store_id=None, min_rentals: int = 15, batch: int = 50
+    t: Tables, as_of, store_id=None, min_rentals: int = 15, batch: int = 10
 ) -> tuple[DataFrame, DataFrame]:
     """Retire worn discs that are not out. Returns the new inventory and the retired discs."""
     retired = (
