@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("q_views", "q_showcase", "q_reports", "q_apps", "q_jobs")
+_MODULES = ("q_views", "q_showcase", "q_reports", "q_apps", "q_jobs", "q_ingest", "q_operators")
 
 
 def load():

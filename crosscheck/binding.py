@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kiosklake.operators.maintain import signup_backfill
+from kiosklake.plans.ingest import flatten_credits
 from kiosklake.sources import seeds
 from kiosklake.sources.tables import Tables
 
@@ -257,6 +258,14 @@ def landed_credits(g: Tables) -> DataFrame:
     )
 
 
+def staged_cast(g: Tables) -> DataFrame:
+    return flatten_credits(landed_credits(g))[0]
+
+
+def staged_crew(g: Tables) -> DataFrame:
+    return flatten_credits(landed_credits(g))[1]
+
+
 def landed_detail(g: Tables) -> DataFrame:
     k = F.col("p_partkey")
     company = lambda i: _obj(
@@ -318,7 +327,7 @@ def documents_as_films(g: Tables) -> DataFrame:
 
 _DERIVED = [
     customer, customer_status_log, store, zip_code_info, film, film_genre, person, film_cast, film_crew, inventory,
-    rental, payment, holiday, landed_credits, landed_detail, landed_releases,
+    rental, payment, holiday, landed_credits, landed_detail, landed_releases, staged_cast, staged_crew,
     film_production_company, production_company,
 ]
 

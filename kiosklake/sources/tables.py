@@ -42,7 +42,9 @@ class Tables(Mapping[str, DataFrame]):
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One table with its declared schema (no inference, so columns prune and filters push)."""
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+    declared = SCHEMAS[name]
+    # tables laid out by month carry one more column in their folder names
+    return spark.read.schema(declared).parquet(f"{root}/{name}").select(*declared.names)
 
 
 def load_all(spark: SparkSession, root: str, names=None) -> Tables:
