@@ -38,7 +38,7 @@ def _roundtrip(t):
     root = session.scratch_path(spark, "snapshot")
     kept = {n: t[n] for n in ("payment", "store", "zip_code_info")}
     tables.write_snapshot(kept, root, 1)
-    return tables.read_snapshot(spark, root, names=list(kept)).payment
+    return tables.read_snapshot(spark, root).payment
 
 
 PAYMENT = "payment_id, customer_id, rental_id, amount::double AS amount, payment_date"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 # Words too common to search for.
@@ -19,6 +21,13 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: (w != "") & ~F.array_contains(stop, w))
 
 
+def may_have_all(text: Column, terms: list[str]) -> Column:
+    """Cheap necessary condition for ``has_all``: every term occurs somewhere in the text."""
+    lowered = F.lower(text)
+    held = [lowered.contains(t.lower()) for t in terms]
+    return reduce(lambda a, b: a & b, held, F.lit(True))
+
+
 def has_all(words: Column, terms: list[str]) -> Column:
     """Does a token array hold every search term?"""
     wanted = [t.lower() for t in terms]

@@ -11,6 +11,7 @@ from kiosklake.operators.availability import IN_CIRCULATION, with_availability
 from kiosklake.operators.geojoin import count_within_radius
 from kiosklake.plans.showcase import with_share
 from kiosklake.plans.views import disc_films
+from kiosklake.session import materialize
 from kiosklake.sources.tables import Tables
 
 # Fixed value: metres within which a customer counts as near a store.
@@ -146,7 +147,7 @@ def proportional_share(total: Column, part: Column, whole: Column) -> Column:
 
 def store_targets(t: Tables, radius_m: float = NEARBY_M) -> DataFrame:
     """Stock target per store: 40 % of the mean for all, the rest by nearby customers."""
-    near = nearby_customer_counts(t, radius_m)
+    near = materialize(nearby_customer_counts(t, radius_m), "nearby")  # summed and joined
     stocked = t.inventory.filter(F.col("status_id") == IN_CIRCULATION)
     total = stocked.agg(F.count(F.lit(1)).alias("n")).scalar()
     stores = t.store.agg(F.count(F.lit(1)).alias("n")).scalar()

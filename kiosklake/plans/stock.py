@@ -62,7 +62,7 @@ def random_near_store(
 
 def day_targets(t: Tables, total: int, radius_m: float = NEARBY_M) -> DataFrame:
     """A chain-wide rental target split over stores by the size of their pools."""
-    pools = pool_sizes(t, radius_m)
+    pools = materialize(pool_sizes(t, radius_m), "pool-sizes")  # summed and split
     whole = pools.agg(F.sum("local_count").alias("n")).scalar()
     return pools.withColumn(
         "target", proportional_share(F.lit(total), F.col("local_count"), whole)

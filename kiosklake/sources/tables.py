@@ -83,25 +83,39 @@ def _write(df: DataFrame, name: str, path: str) -> None:
         out.write.parquet(path)
 
 
+_MANIFEST = "version int, table string, written_in int"
+
+
 def write_snapshot(tables: Mapping[str, DataFrame], root: str, version: int) -> None:
-    """Write all tables as one version, then publish it.
+    """Write the given tables as a version, then publish it.
 
-    Readers follow the manifest, whose row is appended only after every table is
-    complete, so a job that dies half-way leaves the previous version current.
+    Tables not given are carried over from the version before, so a job writes only
+    what it changed. Readers follow the manifest, which is appended in one file
+    after every table is complete: a job that dies half-way leaves the previous
+    version current.
     """
-    spark = None
-    for name in tables:
-        df = tables[name]
-        spark = df.sparkSession
+    spark = next(iter(tables.values())).sparkSession
+    for name, df in tables.items():
         _write(df, name, f"{root}/v{version:06d}/{name}")
-    if spark is not None:
-        spark.sql(f"SELECT {int(version)} AS version").write.mode("append").parquet(f"{root}/manifest")
+    placed = {**_placement(spark, root), **dict.fromkeys(tables, version)}
+    rows = [(version, name, written) for name, written in placed.items()]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+
 
+def _placement(spark: SparkSession, root: str, version: int | None = None) -> dict[str, int]:
+    """Table name to the version that wrote it (a few rows, one per table)."""
+    spark.createDataFrame([], _MANIFEST).write.mode("ignore").parquet(f"{root}/manifest")
+    manifest = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
+    if version is None:
+        version = manifest.agg(F.max("version")).first()[0]
+    rows = manifest.filter(F.col("version") == version).collect()
+    return {row["table"]: row["written_in"] for row in rows}
 
-def current_version(spark: SparkSession, root: str) -> int:
-    return spark.read.schema("version int").parquet(f"{root}/manifest").agg(F.max("version")).first()[0]
 
+def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> Tables:
+    """Tables of a version, the current one by default."""
+    def opener(name: str, written: int) -> Callable[[], DataFrame]:
+        return lambda: load(spark, f"{root}/v{written:06d}", name)
 
-def read_snapshot(spark: SparkSession, root: str, version: int | None = None, names=None) -> Tables:
-    version = current_version(spark, root) if version is None else version
-    return load_all(spark, f"{root}/v{version:06d}", names)
+    placed = _placement(spark, root, version)
+    return Tables({name: opener(name, written) for name, written in placed.items()})
