@@ -102,12 +102,21 @@ def write_snapshot(tables: Mapping[str, DataFrame], root: str, version: int) ->
     spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
+def _manifest(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """The newest published version; None before the first."""
+    return _manifest(spark, root).agg(F.max("version")).first()[0]
+
+
 def _placement(spark: SparkSession, root: str, version: int | None = None) -> dict[str, int]:
     """Table name to the version that wrote it (a few rows, one per table)."""
     spark.createDataFrame([], _MANIFEST).write.mode("ignore").parquet(f"{root}/manifest")
-    manifest = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
+    manifest = _manifest(spark, root)
     if version is None:
-        version = manifest.agg(F.max("version")).first()[0]
+        version = current_version(spark, root)
     rows = manifest.filter(F.col("version") == version).collect()
     return {row["table"]: row["written_in"] for row in rows}
 
