@@ -6,7 +6,7 @@ over the tens of kilometres used here), so they stay inside generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 EQUATOR_M = 6378137.0
 FLATTENING = 1.0 / 298.257223563
@@ -18,42 +18,64 @@ LNG_DEGREE_M = 111319.0
 MAX_DEGREE_M = 111700.0
 
 
-def distance_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """Metres between two points; NULL when a coordinate is NULL."""
-    return distance_reduced(reduced(lat1), lng1, reduced(lat2), lng2)
+def unit_vector(lat: Column, lng: Column) -> tuple[Column, Column, Column]:
+    """A point as a unit vector on the reduced sphere; NULL when a coordinate is NULL.
 
+    It depends on one point only, so joins add it to each side beforehand and no
+    trigonometry is left per pair.
+    """
+    b = F.atan(F.tan(F.radians(lat)) * (1.0 - FLATTENING))
+    turn = F.radians(lng)
+    return F.cos(b) * F.cos(turn), F.cos(b) * F.sin(turn), F.sin(b) + turn * 0.0
 
-def reduced(lat: Column) -> Column:
-    """Reduced latitude in radians; depends on one point, so joins compute it beforehand."""
-    return F.atan(F.tan(F.radians(lat)) * (1.0 - FLATTENING))
 
+def with_vector(df: DataFrame, at: tuple[str, str], prefix: str) -> DataFrame:
+    """Add ``<prefix>x``, ``<prefix>y`` and ``<prefix>z`` for a position."""
+    vector = unit_vector(F.col(at[0]), F.col(at[1]))
+    return df.withColumns({f"{prefix}{axis}": v for axis, v in zip("xyz", vector)})
 
-def distance_reduced(b1: Column, lng1: Column, b2: Column, lng2: Column) -> Column:
-    """Metres between points given by reduced latitude and longitude in degrees.
 
-    Written in half-angle form: with ``c`` the squared sine of half the central
-    angle, both correction terms need only sums and differences of sines of the
-    reduced latitudes, which keeps the expression small.
-    """
-    sin_lat, sin_lng = F.sin((b2 - b1) / 2.0), F.sin(F.radians((lng2 - lng1) / 2.0))
-    c = F.least(F.lit(1.0), sin_lat * sin_lat + F.cos(b1) * F.cos(b2) * sin_lng * sin_lng)
-    return F.when(c == 0.0, F.lit(0.0)).otherwise(_metres(c, F.sin(b1), F.sin(b2)))
+def half_chord_squared(first: str, second: str) -> Column:
+    """Squared sine of half the central angle between two prefixed vectors."""
+    gaps = [F.col(f"{first}{axis}") - F.col(f"{second}{axis}") for axis in "xyz"]
+    return (gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]) / 4.0
+
+
+def chord_limit(radius_m: float) -> float:
+    """No pair within the radius has a larger half chord squared."""
+    return (radius_m / (2.0 * EQUATOR_M * (1.0 - 1.01 * FLATTENING))) ** 2 * 1.0001
+
+
+def distance_between(first: str, second: str) -> Column:
+    """Metres between two prefixed vectors."""
+    return _metres(half_chord_squared(first, second), F.col(f"{first}z"), F.col(f"{second}z"))
+
+
+def distance_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
+    """Metres between two points; NULL when a coordinate is NULL."""
+    u, v = unit_vector(lat1, lng1), unit_vector(lat2, lng2)
+    gaps = [a - b for a, b in zip(u, v)]
+    c = (gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]) / 4.0
+    return _metres(c, u[2], v[2])
 
 
 def _metres(c: Column, sin1: Column, sin2: Column) -> Column:
+    """Andoyer-Lambert in half-angle form.
+
+    Both correction terms need only the half chord and sums and differences of
+    the sines of the reduced latitudes.
+    """
+    c = F.least(c, F.lit(1.0))
     root = F.sqrt(c)
     angle = F.asin(root) * 2.0
     sine = root * F.sqrt(F.lit(1.0) - c) * 2.0
     total, gap = sin1 + sin2, sin2 - sin1
-    along = (angle - sine) * total * total / F.greatest(F.lit(1.0) - c, F.lit(1e-300))
-    across = (angle + sine) * gap * gap / c
+    tiny = F.lit(1e-300)
+    along = (angle - sine) * total * total / F.greatest(F.lit(1.0) - c, tiny)
+    across = (angle + sine) * gap * gap / F.greatest(c, tiny)
     return (angle - (along + across) * (FLATTENING / 8.0)) * EQUATOR_M
 
 
-def distance_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column, digits: int = 1) -> Column:
-    return F.round(distance_m(lat1, lng1, lat2, lng2) / 1000.0, digits)
-
-
 class Grid:
     """Cells at least ``cell_m`` high and wide anywhere on the globe.
 

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kiosklake.functions.geo import LAT_DEGREE_M, Grid, cos_bounds, distance_reduced, reduced
+from kiosklake.functions.geo import (
+    Grid, chord_limit, cos_bounds, distance_between, half_chord_squared, with_vector,
+)
 from kiosklake.operators.ranking import top_per
 
 _CELL = ["_row", "_col"]
@@ -39,9 +41,10 @@ def _spread(df: DataFrame, at: tuple[str, str], grid: Grid, radius_m: float) ->
     return df.withColumn("_col", F.pmod(F.col("_col"), F.col("_columns"))).drop("_reach")
 
 
-def _same_band(lat1: Column, lat2: Column, radius_m: float) -> Column:
-    """Cheap test that spares most trigonometry: latitudes within the radius."""
-    return F.abs(lat1 - lat2) <= radius_m / LAT_DEGREE_M
+def _within(first: str, second: str, radius_m: float) -> Column:
+    """Exact radius test, behind a cheap one that needs only arithmetic."""
+    near = half_chord_squared(first, second) <= chord_limit(radius_m)
+    return near & (distance_between(first, second) <= radius_m)
 
 
 def _hot_cells(df: DataFrame, name: str, rows: int, radius_m: float) -> DataFrame:
@@ -72,10 +75,10 @@ def radius_join(
     no pair comes out twice.
     """
     grid = Grid(radius_m)
-    near = _spread(_located(sites, site_at), site_at, grid, radius_m).drop("_columns")
-    near = near.withColumn("_b1", reduced(F.col(site_at[0])))
-    placed = _in_cells(_located(points, point_at), point_at, grid)
-    placed = placed.withColumn("_b2", reduced(F.col(point_at[0])))
+    vectors = [f"{side}{axis}" for side in ("_u", "_v") for axis in "xyz"]
+    near = with_vector(_located(sites, site_at), site_at, "_u")
+    near = _spread(near, site_at, grid, radius_m).drop("_columns")
+    placed = with_vector(_in_cells(_located(points, point_at), point_at, grid), point_at, "_v")
     # A hot cell becomes site parts x point parts; each side is copied to the
     # other side's parts, so one task sees at most rows_per_part rows of each.
     site_parts = _hot_cells(near, "_sp", rows_per_part, radius_m)
@@ -96,13 +99,11 @@ def radius_join(
 
     left = split(near, site_key, "_sp", "_pp", "_si", "_pi")
     right = split(placed, point_key, "_pp", "_sp", "_pi", "_si")
-    metres = distance_reduced(F.col("_b1"), F.col(site_at[1]), F.col("_b2"), F.col(point_at[1]))
     return (
         left.join(right, [*_CELL, "_si", "_pi"])
-        .filter(_same_band(F.col(site_at[0]), F.col(point_at[0]), radius_m))
-        .withColumn(distance, metres)
-        .filter(F.col(distance) <= radius_m)
-        .drop(*_CELL, "_si", "_pi", "_b1", "_b2")
+        .filter(_within("_u", "_v", radius_m))
+        .withColumn(distance, distance_between("_u", "_v"))
+        .drop(*_CELL, "_si", "_pi", *vectors)
     )
 
 
@@ -130,7 +131,7 @@ def count_within_radius(
         .groupBy(F.col(point_at[0]).alias("_plat"), F.col(point_at[1]).alias("_plng"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    spots = _in_cells(spots, ("_plat", "_plng"), grid).withColumn("_b2", reduced(F.col("_plat")))
+    spots = with_vector(_in_cells(spots, ("_plat", "_plng"), grid), ("_plat", "_plng"), "_v")
     cells = spots.groupBy(*_CELL).agg(F.sum("_n").alias("_cell_n"))
 
     cos_min, cos_max = cos_bounds(slat, radius_m)
@@ -138,19 +139,19 @@ def count_within_radius(
         _located(sites, site_at)
         .select(F.col(site_at[0]).alias("_slat"), F.col(site_at[1]).alias("_slng"))
         .distinct()
-        .withColumns({"_cos_min": cos_min, "_cos_max": cos_max, "_b1": reduced(slat)})
+        .withColumns({"_cos_min": cos_min, "_cos_max": cos_max})
     )
+    places = with_vector(places, ("_slat", "_slng"), "_u")
     probes = _spread(places, ("_slat", "_slng"), grid, radius_m)
     cell = (F.col("_row"), F.col("_col"), F.col("_columns"))
     inside = grid.wholly_within(slat, slng, *cell, F.col("_cos_max"), radius_m)
     outside = grid.wholly_beyond(slat, slng, *cell, F.col("_cos_min"), radius_m)
 
     whole = probes.filter(inside).join(cells, _CELL).select("_slat", "_slng", F.col("_cell_n").alias("_n"))
-    metres = distance_reduced(F.col("_b1"), slng, F.col("_b2"), F.col("_plng"))
     rim = (
         probes.filter(~inside & ~outside)
         .join(spots, _CELL)
-        .filter(_same_band(slat, F.col("_plat"), radius_m) & (metres <= radius_m))
+        .filter(_within("_u", "_v", radius_m))
         .select("_slat", "_slng", "_n")
     )
     per_place = whole.unionByName(rim).groupBy("_slat", "_slng").agg(F.sum("_n").alias("_n"))

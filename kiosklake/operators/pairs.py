@@ -32,34 +32,46 @@ def shared_group_pairs(
     entries = rows.groupBy(F.col(group).alias("g"), F.col(label).alias("label")).agg(
         F.min(member).alias("lo"), F.max(member).alias("hi")
     )
-    frequent = entries.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_groups)
-    entries = entries.join(frequent.select("label"), "label", "left_semi")
-    sizes = entries.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    sized = materialize(entries.join(sizes, "g"), "pair-entries")  # read by every branch below
+    # a label is known by its smallest member id, so pairs are pairs of numbers
+    labels = (
+        entries.groupBy("label")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("id"))
+        .filter(F.col("n") >= min_groups)
+        .select("label", "id")
+    )
+    labels = materialize(labels, "pair-labels")
+    kept = entries.join(labels, "label").select("g", "id", "lo", "hi")
+    sizes = kept.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    sized = materialize(kept.join(sizes, "g"), "pair-entries")  # read by every branch below
     light = sized.filter(F.col("size") <= heavy).drop("size")
     big = sized.filter(F.col("size") > heavy)
 
-    light_pairs = _meetings(light).groupBy("label_1", "label_2").agg(F.count(F.lit(1)).alias("shared"))
+    light_pairs = _meetings(light).groupBy("id_1", "id_2").agg(F.count(F.lit(1)).alias("shared"))
 
     largest = [F.col("size").desc(), F.col("g").desc()]
-    tail = top_per(big, ["label"], largest, min_groups - 1).select("g", "label")
-    prefix = big.drop("size").join(tail, ["g", "label"], "left_anti")
-    heavy_only = _meetings(prefix).select("label_1", "label_2").distinct()
-    candidates = light_pairs.select("label_1", "label_2").unionByName(heavy_only).distinct()
+    tail = top_per(big, ["id"], largest, min_groups - 1).select("g", "id")
+    prefix = big.drop("size").join(tail, ["g", "id"], "left_anti")
+    heavy_only = _meetings(prefix).select("id_1", "id_2").distinct()
+    candidates = light_pairs.select("id_1", "id_2").unionByName(heavy_only).distinct()
     in_heavy = _shared_heavy(candidates, big.drop("size"))
     both = light_pairs.unionByName(in_heavy)
-    return (
-        both.groupBy("label_1", "label_2")
+    pairs = (
+        both.groupBy("id_1", "id_2")
         .agg(F.sum("shared").alias("shared"))
         .filter(F.col("shared") >= min_groups)
     )
+    return (
+        pairs.join(labels.select(F.col("id").alias("id_1"), F.col("label").alias("label_1")), "id_1")
+        .join(labels.select(F.col("id").alias("id_2"), F.col("label").alias("label_2")), "id_2")
+        .select("label_1", "label_2", "shared")
+    )
 
 
 def _meetings(entries: DataFrame) -> DataFrame:
-    """Ordered label pairs meeting in a group."""
-    first = entries.select("g", F.col("label").alias("label_1"), F.col("lo").alias("lo_1"))
-    second = entries.select("g", F.col("label").alias("label_2"), F.col("hi").alias("hi_2"))
-    return first.join(second, "g").filter(_precedes()).select("g", "label_1", "label_2")
+    """Ordered pairs meeting in a group."""
+    first = entries.select("g", F.col("id").alias("id_1"), F.col("lo").alias("lo_1"))
+    second = entries.select("g", F.col("id").alias("id_2"), F.col("hi").alias("hi_2"))
+    return first.join(second, "g").filter(_precedes()).select("g", "id_1", "id_2")
 
 
 def _precedes() -> Column:
@@ -69,26 +81,17 @@ def _precedes() -> Column:
 def _shared_heavy(candidates: DataFrame, big: DataFrame) -> DataFrame:
     """How many heavy groups each candidate pair shares.
 
-    The label with fewer heavy groups is expanded and the other is looked up by
-    (group, label), a unique key.
+    The side with fewer heavy groups is expanded and the other is looked up by
+    (group, id), a unique key.
     """
-    reach = big.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    reach = big.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     sized = candidates.join(
-        reach.select(F.col("label").alias("label_1"), F.col("n").alias("n_1")), "label_1"
-    ).join(reach.select(F.col("label").alias("label_2"), F.col("n").alias("n_2")), "label_2")
-    first = big.select("g", F.col("label").alias("label_1"), F.col("lo").alias("lo_1"))
-    second = big.select("g", F.col("label").alias("label_2"), F.col("hi").alias("hi_2"))
-    by_first = (
-        sized.filter(F.col("n_1") <= F.col("n_2"))
-        .join(first, "label_1")
-        .join(second, ["g", "label_2"])
-    )
-    by_second = (
-        sized.filter(F.col("n_1") > F.col("n_2"))
-        .join(second, "label_2")
-        .join(first, ["g", "label_1"])
-    )
-    met = by_first.select("label_1", "label_2", "lo_1", "hi_2").unionByName(
-        by_second.select("label_1", "label_2", "lo_1", "hi_2")
-    )
-    return met.filter(_precedes()).groupBy("label_1", "label_2").agg(F.count(F.lit(1)).alias("shared"))
+        reach.select(F.col("id").alias("id_1"), F.col("n").alias("n_1")), "id_1"
+    ).join(reach.select(F.col("id").alias("id_2"), F.col("n").alias("n_2")), "id_2")
+    first = big.select("g", F.col("id").alias("id_1"), F.col("lo").alias("lo_1"))
+    second = big.select("g", F.col("id").alias("id_2"), F.col("hi").alias("hi_2"))
+    by_first = sized.filter(F.col("n_1") <= F.col("n_2")).join(first, "id_1").join(second, ["g", "id_2"])
+    by_second = sized.filter(F.col("n_1") > F.col("n_2")).join(second, "id_2").join(first, ["g", "id_1"])
+    columns = ["id_1", "id_2", "lo_1", "hi_2"]
+    met = by_first.select(*columns).unionByName(by_second.select(*columns))
+    return met.filter(_precedes()).groupBy("id_1", "id_2").agg(F.count(F.lit(1)).alias("shared"))

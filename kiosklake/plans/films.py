@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kiosklake.functions import periods, text
-from kiosklake.functions.geo import distance_km
 from kiosklake.operators.availability import available_discs
 from kiosklake.operators.geojoin import radius_join
 from kiosklake.operators.membership import only
@@ -149,7 +148,7 @@ def stores_near_zips(t: Tables, zip_code=None, radius_m: float = ZIP_RADIUS_M) -
 
 
 def _km():
-    return distance_km(F.col("s_lat"), F.col("s_lng"), F.col("z_lat"), F.col("z_lng"), 1)
+    return F.round(F.col("distance_m") / 1000.0, 1)
 
 
 def nearest_stores(t: Tables, zip_code=None, k: int = 10, radius_m: float = ZIP_RADIUS_M) -> DataFrame:

@@ -14,6 +14,7 @@ from kiosklake.operators.maintain import (
 from kiosklake.operators.membership import not_in
 from kiosklake.operators.ranking import first_per
 from kiosklake.plans.stock import populate_inventory
+from kiosklake.session import materialize
 from kiosklake.sources.landing import elements
 from kiosklake.sources.schemas import CAST_DOC, COMPANY_DOC, CREW_DOC, RELEASE_DOC
 from kiosklake.sources.tables import Tables
@@ -189,6 +190,7 @@ def load_catalog(t: Tables, landed: Tables, as_of, *, recent: bool = True, seed:
         film_genre=insert_if_absent(t.film_genre, landed.film_genre, ["genre_id"], [F.col("name")])
     )
     found = newer_than(landed.film, "release_date", t.film) if recent else landed.film
+    found = materialize(found, "found-films")  # read by four steps
     new_films = insert_new(t.film, found, ["film_id"], [F.col("title")])
 
     def of_found(name: str) -> DataFrame:
@@ -205,10 +207,12 @@ def load_catalog(t: Tables, landed: Tables, as_of, *, recent: bool = True, seed:
     )
     t = transform_details(t)
     t = t.replaced(film=fill_film_details(t))
-    t = t.replaced(film=rate_films(t))
+    t = t.replaced(film=materialize(rate_films(t), "loaded-films"))
     cast, crew = flatten_credits(t.landed_credits)
-    t = t.replaced(staged_cast=cast, staged_crew=crew)
-    wanted = people_to_fetch(t)
+    t = t.replaced(
+        staged_cast=materialize(cast, "staged-cast"), staged_crew=materialize(crew, "staged-crew")
+    )
+    wanted = materialize(people_to_fetch(t), "people-wanted")
     people = landed.person.join(wanted, "person_id", "left_semi")
     unknown = delete_keys(wanted, landed.person, ["person_id"])
     t = t.replaced(
@@ -218,4 +222,10 @@ def load_catalog(t: Tables, landed: Tables, as_of, *, recent: bool = True, seed:
     )
     t = move_credits(t)
     t, _ = populate_inventory(t, as_of, seed)
+    # every changed table is counted for the report and then read again by the caller
+    t = t.replaced(**{
+        name: materialize(t[name], f"loaded-{name}")
+        for name in ("inventory", "film_cast", "film_crew", "person", "production_company",
+                     "film_production_company", "landed_detail")
+    })
     return t, count_delta(before, table_counts(t))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kiosklake.functions import periods
-from kiosklake.functions.geo import distance_m
+from kiosklake.functions.geo import distance_between, with_vector
 from kiosklake.functions.numbers import MONEY_SUM, money, percent, ratio
 from kiosklake.operators.membership import members
 from kiosklake.operators.pairs import shared_group_pairs
@@ -73,9 +73,9 @@ def travel_distances(t: Tables) -> DataFrame:
     Rentals are counted per (customer, store) first; each pair is measured once.
     """
     trips = t.rental.groupBy("customer_id", "store_id").agg(F.count(F.lit(1)).alias("n"))
-    home = t.customer.select("customer_id", F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng"))
-    shop = t.store.select("store_id", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
-    km = distance_m(F.col("c_lat"), F.col("c_lng"), F.col("s_lat"), F.col("s_lng")) / 1000.0
+    home = with_vector(t.customer.select("customer_id", "lat", "lng"), ("lat", "lng"), "c_").drop("lat", "lng")
+    shop = with_vector(t.store.select("store_id", "lat", "lng"), ("lat", "lng"), "s_").drop("lat", "lng")
+    km = distance_between("c_", "s_") / 1000.0
     banded = (
         trips.join(home, "customer_id")
         .join(shop, "store_id")
