@@ -8,6 +8,7 @@ and cast), so every registered query works on whole inputs and grows with them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from kiosklake.operators.maintain import signup_backfill
 from kiosklake.plans.ingest import flatten_credits
@@ -23,8 +24,19 @@ GIVEN = (
 ).split()
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
+def _open(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if (sf_dir, name) not in _SCHEMAS:
+        _SCHEMAS[sf_dir, name] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[sf_dir, name]).parquet(path)
+
+
 def given(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables({n: (lambda n=n: spark.read.parquet(f"{sf_dir}/{n}.parquet")) for n in GIVEN})
+    return Tables({n: (lambda n=n: _open(spark, sf_dir, n)) for n in GIVEN})
 
 
 def _day(start: str, offset) -> "F.Column":

@@ -19,7 +19,7 @@ def shared_group_pairs(
 ) -> DataFrame:
     """``(label_1, label_2, shared)`` for labels that share at least ``min_groups`` groups.
 
-    A group counts for an ordered label pair when it holds a member of the first
+    ``label`` is best a number: pairs are grouped by it. A group counts for an ordered label pair when it holds a member of the first
     label with a smaller id than some member of the second. The answer is exact:
 
     * groups with at most ``heavy`` labels are self-joined and counted;
@@ -29,20 +29,14 @@ def shared_group_pairs(
       ``min_groups`` of them must meet before the last ``min_groups - 1`` of each.
     """
     # per group and label only the smallest and largest member id matter
-    entries = rows.groupBy(F.col(group).alias("g"), F.col(label).alias("label")).agg(
+    entries = rows.groupBy(F.col(group).alias("g"), F.col(label).alias("id")).agg(
         F.min(member).alias("lo"), F.max(member).alias("hi")
     )
-    # a label is known by its smallest member id, so pairs are pairs of numbers
-    labels = (
-        entries.groupBy("label")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("id"))
-        .filter(F.col("n") >= min_groups)
-        .select("label", "id")
-    )
-    labels = materialize(labels, "pair-labels")
-    kept = entries.join(labels, "label").select("g", "id", "lo", "hi")
+    entries = materialize(entries, "pair-entries")
+    frequent = entries.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_groups)
+    kept = entries.join(frequent.select("id"), "id", "left_semi")
     sizes = kept.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    sized = materialize(kept.join(sizes, "g"), "pair-entries")  # read by every branch below
+    sized = materialize(kept.join(sizes, "g"), "pair-groups")  # read by every branch below
     light = sized.filter(F.col("size") <= heavy).drop("size")
     big = sized.filter(F.col("size") > heavy)
 
@@ -55,16 +49,11 @@ def shared_group_pairs(
     candidates = light_pairs.select("id_1", "id_2").unionByName(heavy_only).distinct()
     in_heavy = _shared_heavy(candidates, big.drop("size"))
     both = light_pairs.unionByName(in_heavy)
-    pairs = (
-        both.groupBy("id_1", "id_2")
+    return (
+        both.groupBy(F.col("id_1").alias("label_1"), F.col("id_2").alias("label_2"))
         .agg(F.sum("shared").alias("shared"))
         .filter(F.col("shared") >= min_groups)
     )
-    return (
-        pairs.join(labels.select(F.col("id").alias("id_1"), F.col("label").alias("label_1")), "id_1")
-        .join(labels.select(F.col("id").alias("id_2"), F.col("label").alias("label_2")), "id_2")
-        .select("label_1", "label_2", "shared")
-    )
 
 
 def _meetings(entries: DataFrame) -> DataFrame:

@@ -239,15 +239,21 @@ def top_directors(t: Tables, min_films: int = 2, k: int = 10) -> DataFrame:
 
 def actor_pairs(t: Tables, min_films: int = 5, k: int = 15, heavy: int = 1000) -> DataFrame:
     """Pairs of actor names by films together; people with equal names merge."""
-    named = t.film_cast.select("film_id", "person_id").join(
-        t.person.select("person_id", "name"), "person_id"
-    )
+    # a name is known by its smallest person id while pairs are counted
+    names = t.person.groupBy("name").agg(F.min("person_id").alias("name_id"))
+    ids = t.person.select("person_id", "name").join(names, "name").select("person_id", "name_id")
     pairs = shared_group_pairs(
-        named, group="film_id", label="name", member="person_id", min_groups=min_films, heavy=heavy
-    ).select(
-        F.col("label_1").alias("actor_1"),
-        F.col("label_2").alias("actor_2"),
-        F.col("shared").alias("films_together"),
+        t.film_cast.select("film_id", "person_id").join(ids, "person_id"),
+        group="film_id", label="name_id", member="person_id", min_groups=min_films, heavy=heavy,
+    )
+
+    def named(column: str, alias: str) -> DataFrame:
+        return names.select(F.col("name_id").alias(column), F.col("name").alias(alias))
+
+    pairs = (
+        pairs.join(named("label_1", "actor_1"), "label_1")
+        .join(named("label_2", "actor_2"), "label_2")
+        .select("actor_1", "actor_2", F.col("shared").alias("films_together"))
     )
     order = [F.col("films_together").desc(), F.col("actor_1"), F.col("actor_2")]
     return top_per(pairs, [], order, k)
