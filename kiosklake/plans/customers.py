@@ -16,7 +16,7 @@ from kiosklake.sources.tables import Tables
 
 
 def rented_since(t: Tables, since) -> DataFrame:
-    return t.rental.filter(F.col("period_start") >= since)
+    return t.within("rental", since).filter(F.col("period_start") >= since)
 
 
 def payments_per_rental(payment: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def above_average_renters(t: Tables, as_of, days: int, store_id=None) -> DataFra
 def customers_at_a_glance(t: Tables, as_of, days: int, customer_ids=None) -> DataFrame:
     """Rentals, open rentals and spending in the window; customers without any stay in."""
     since = periods.shift(as_of, days=-days)
-    paid = payments_per_rental(t.payment.filter(F.col("payment_date") >= since))
+    paid = payments_per_rental(t.within("payment", since).filter(F.col("payment_date") >= since))
     weight = F.coalesce(F.col("payments"), F.lit(1))
     recent = (
         only(rented_since(t, since), "customer_id", customer_ids)
@@ -84,9 +84,8 @@ def _newest_first(*tail: str) -> list:
 
 def account_history(t: Tables, as_of, days: int, customer_id=None, k: int = 20) -> DataFrame:
     """Newest ``k`` rentals of a customer within the window."""
-    rows = only(customer_rentals(t), "customer_id", customer_id).filter(
-        F.col("rental_date") >= periods.shift(as_of, days=-days)
-    )
+    recent = rented_since(t, periods.shift(as_of, days=-days))
+    rows = only(customer_rentals(t.replaced(rental=recent)), "customer_id", customer_id)
     newest = top_per(rows, ["customer_id"], _newest_first("payment_date", "amount"), k)
     return newest.select(
         "customer_id", "film_title", "rental_date", "return_date", "amount", "rental_store_id", "rating"

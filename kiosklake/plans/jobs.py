@@ -73,7 +73,9 @@ def insert_payments(t: Tables, around=None) -> JobResult:
     rental = t.rental
     if around is not None:
         lo, hi = periods.shift(around, days=-1), periods.shift(around, days=1)
-        rental = rental.filter((F.col("period_start") >= lo) & (F.col("period_start") <= hi))
+        rental = t.within("rental", lo, hi).filter(
+            (F.col("period_start") >= lo) & (F.col("period_start") <= hi)
+        )
     added = due_payments(t, rental)
     return JobResult(t.replaced(payment=append(t.payment, added)), {"payments": added})
 

@@ -105,7 +105,9 @@ def monthly_trend(
     A rental with two payments counts twice, as a plain outer join counts it;
     ``count_each_rental_once`` counts rentals instead.
     """
-    rental = t.rental if since is None else t.rental.filter(F.col("period_start") >= since)
+    rental = t.rental
+    if since is not None:
+        rental = t.within("rental", since).filter(F.col("period_start") >= since)
     paid = t.payment.groupBy("rental_id").agg(
         F.count(F.lit(1)).alias("payments"), F.sum("amount").alias("amount")
     )
@@ -126,7 +128,7 @@ def busiest_holidays(t: Tables, first: str, last: str, k: int = 10) -> DataFrame
     """Holidays in a date range by rentals started that day (none counts 0)."""
     days = t.holiday.filter(F.col("holiday_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     started = (
-        t.rental.filter(
+        t.within("rental", first, last).filter(
             (F.col("period_start") >= periods.moment(first))
             & (F.col("period_start") < periods.shift(last, days=1))
         )

@@ -165,7 +165,8 @@ def overdue_at_store(t: Tables, as_of, store_id=None, days: int = 5, k: int = 50
 
 
 def _recent(t: Tables, since, store_id, order: list, k: int) -> DataFrame:
-    rows = only(t.rental, "store_id", store_id).filter(F.col("period_start") > periods.moment(since))
+    recent = t.within("rental", since).filter(F.col("period_start") > periods.moment(since))
+    rows = only(recent, "store_id", store_id)
     newest = top_per(
         rows.select("rental_id", "store_id", "period_start", "period_end", "customer_id", "last_update"),
         ["store_id"], order, k,

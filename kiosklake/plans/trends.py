@@ -17,7 +17,7 @@ from kiosklake.sources.tables import Tables
 
 def busy_lately(t: Tables, as_of, days: int) -> DataFrame:
     """Rentals whose period touches the last ``days`` days."""
-    return busy(t.rental, periods.shift(as_of, days=-days), as_of)
+    return busy(t.within("rental", hi=as_of), periods.shift(as_of, days=-days), as_of)
 
 
 def genre_popularity(t: Tables, as_of, days: int, k: int = 10) -> DataFrame:
@@ -33,7 +33,8 @@ def monthly_revenue(t: Tables, as_of, months: int = 12) -> DataFrame:
 
 
 def _begun_after(t: Tables, as_of, days: int) -> DataFrame:
-    return t.rental.filter(F.col("period_start") > periods.shift(as_of, days=-days))
+    since = periods.shift(as_of, days=-days)
+    return t.within("rental", since).filter(F.col("period_start") > since)
 
 
 def actor_report(t: Tables, as_of, days: int = 30) -> DataFrame:
@@ -76,7 +77,9 @@ def top_stores(t: Tables, as_of, months_ago: int, k: int = 20) -> DataFrame:
     """Best stores of one past month. The month filters the payment scan itself."""
     month = periods.month_start(periods.shift(as_of, months=-months_ago))
     after = periods.month_start(periods.shift(as_of, months=1 - months_ago))
-    paid = t.payment.filter((F.col("payment_date") >= month) & (F.col("payment_date") < after))
+    paid = t.within("payment", month, after).filter(
+        (F.col("payment_date") >= month) & (F.col("payment_date") < after)
+    )
     rows = revenue_summary(t.replaced(payment=paid))
     return top_per(rows, [], [F.col("total_revenue").desc(), F.col("store_id")], k).select(
         "store_id", "street_name", "total_revenue", "payment_count", "unique_customers"
@@ -86,7 +89,7 @@ def top_stores(t: Tables, as_of, months_ago: int, k: int = 20) -> DataFrame:
 def month_comparison(t: Tables, as_of, months_ago: int) -> DataFrame:
     """Chain totals per month since a past month; the mean is over store means."""
     since = periods.month_start(periods.shift(as_of, months=-months_ago))
-    paid = t.payment.filter(F.col("payment_date") >= since)
+    paid = t.within("payment", since).filter(F.col("payment_date") >= since)
     rows = revenue_summary(t.replaced(payment=paid))
     return (
         rows.groupBy("revenue_month")

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: none of them fixes a partition count, so AQE sizes every
-# shuffle from the data (small local runs coalesce, large ones split).
+# shuffle from the data.
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,11 +19,20 @@ _RUNTIME = {
 }
 
 
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session and hand it back."""
     for key, value in _RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # AQE joins small shuffle partitions but cannot add any: on a cluster, start from
+    # several per core instead of the fixed default
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(_INITIAL, None) is None:
+        started = max(4 * context.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set(_INITIAL, str(started))
     return spark
 
 

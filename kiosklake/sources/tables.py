@@ -5,15 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from kiosklake.functions.periods import moment, month_text
 from kiosklake.sources.schemas import SCHEMAS
 
 
+# Large history tables are stored by month of this column, so time filters skip folders.
+_BY_MONTH = {"rental": "period_start", "payment": "payment_date"}
+
+
 class Tables(Mapping[str, DataFrame]):
-    """Tables by name or attribute; a table may be given lazily as a function."""
+    """Tables by name or attribute; a table may be given lazily as a function.
 
-    def __init__(self, entries: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    ``slices`` holds, for tables stored by month, a function of two instants that
+    opens only the months between them.
+    """
+
+    def __init__(
+        self,
+        entries: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        slices: Mapping[str, Callable[..., DataFrame]] | None = None,
+    ):
         self._entries = dict(entries)
+        self._slices = dict(slices or {})
+
+    def within(self, name: str, lo=None, hi=None) -> DataFrame:
+        """A table without the months that lie wholly outside ``[lo, hi]``.
+
+        Rows just outside can remain, so callers filter as if nothing was skipped;
+        a table that is not stored by month comes back whole.
+        """
+        return self._slices[name](lo, hi) if name in self._slices else self[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         entry = self._entries[name]
@@ -37,14 +60,25 @@ class Tables(Mapping[str, DataFrame]):
 
     def replaced(self, **changed: DataFrame) -> "Tables":
         """A new set with some tables exchanged; the rest is shared."""
-        return Tables({**self._entries, **changed})
+        slices = {name: cut for name, cut in self._slices.items() if name not in changed}
+        return Tables({**self._entries, **changed}, slices)
 
 
-def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One table with its declared schema (no inference, so columns prune and filters push)."""
+def load(spark: SparkSession, root: str, name: str, lo=None, hi=None) -> DataFrame:
+    """One table with its declared schema (no inference, so columns prune and filters push).
+
+    A table stored by month is cut to the folders of ``[lo, hi]`` when these are given.
+    """
     declared = SCHEMAS[name]
-    # tables laid out by month carry one more column in their folder names
-    return spark.read.schema(declared).parquet(f"{root}/{name}").select(*declared.names)
+    if name not in _BY_MONTH:
+        return spark.read.schema(declared).parquet(f"{root}/{name}")
+    stored = StructType([*declared.fields, StructField("month", StringType())])
+    df = spark.read.schema(stored).parquet(f"{root}/{name}")
+    if lo is not None:
+        df = df.filter(F.col("month") >= month_text(moment(lo)))
+    if hi is not None:
+        df = df.filter(F.col("month") <= month_text(moment(hi)))
+    return df.select(*declared.names)
 
 
 def load_all(spark: SparkSession, root: str, names=None) -> Tables:
@@ -66,19 +100,13 @@ def conformed(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-# Large history tables are laid out by month of this column so time filters skip files.
-_BY_MONTH = {"rental": "period_start", "payment": "payment_date"}
-
-
 def _write(df: DataFrame, name: str, path: str) -> None:
     out = conformed(df, name) if name in SCHEMAS else df
     if name in _BY_MONTH:
-        # repartition by month and a spread of the id, so that one busy month
-        # is still written by many tasks
-        month = F.date_format(_BY_MONTH[name], "yyyy-MM")
-        spread = F.pmod(F.xxhash64(F.col(SCHEMAS[name].fields[0].name)), F.lit(16))
-        out = out.withColumn("month", month).repartition(F.col("month"), spread)
-        out.sortWithinPartitions(_BY_MONTH[name]).write.partitionBy("month").parquet(path)
+        # a rebalance splits a busy month over tasks and joins quiet ones, by their real sizes
+        at = _BY_MONTH[name]
+        out = out.withColumn("month", month_text(F.col(at))).hint("rebalance", "month")
+        out.sortWithinPartitions("month", at).write.partitionBy("month").parquet(path)
     else:
         out.write.parquet(path)
 
@@ -126,5 +154,11 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     def opener(name: str, written: int) -> Callable[[], DataFrame]:
         return lambda: load(spark, f"{root}/v{written:06d}", name)
 
+    def slicer(name: str, written: int) -> Callable[..., DataFrame]:
+        return lambda lo, hi: load(spark, f"{root}/v{written:06d}", name, lo, hi)
+
     placed = _placement(spark, root, version)
-    return Tables({name: opener(name, written) for name, written in placed.items()})
+    return Tables(
+        {name: opener(name, written) for name, written in placed.items()},
+        {name: slicer(name, written) for name, written in placed.items() if name in _BY_MONTH},
+    )

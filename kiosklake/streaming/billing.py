@@ -30,8 +30,9 @@ def bill_closed_rentals(closed: DataFrame, t: Tables, sink: str, checkpoint: str
     def bill(batch: DataFrame, number: int) -> None:
         earlier = billed(spark, sink).filter(F.col("batch") < number).drop("batch")
         known = t.replaced(payment=t.payment.unionByName(earlier))
-        added = due_payments(known, batch.dropDuplicates(["rental_id"]))
-        added.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        rentals = batch.dropDuplicates(["rental_id"]).persist()  # ids need a second pass
+        due_payments(known, rentals).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        rentals.unpersist()
 
     return (
         closed.writeStream.foreachBatch(bill)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from kiosklake.plans import jobs, stock
+from kiosklake.plans import customers, jobs, stock
 from kiosklake.sources.tables import current_version, read_snapshot, write_snapshot
 from tests.conftest import AS_OF, dt, money
 
@@ -131,6 +131,13 @@ def test_snapshots_carry_unchanged_tables(spark, tables, tmp_path):
     now = read_snapshot(spark, root)
     assert now.payment.count() == 5 and now.rental.count() == 8
     assert read_snapshot(spark, root, 1).payment.count() == 3
+    # a time window opens only its months, in whatever report asks for it
+    since = customers.recent_rentals(now, AS_OF, 30)._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2025-05)" in since and "PartitionFilters: [isnotnull(month" in since
+    whole = tables.replaced(rental=tables.rental)
+    assert rows(customers.recent_rentals(now, AS_OF, 30), "rental_id") == rows(
+        customers.recent_rentals(whole, AS_OF, 30), "rental_id")
+    assert now.within("rental", "2025-06-01").count() == 4 and now.within("rental", hi="2024-07-01").count() == 1
     plan = now.rental.filter(F.col("period_start") < F.lit("2025-01-01").cast("timestamp_ntz"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(period_start" in text
