@@ -35,15 +35,15 @@ def rental_fee(start: Column, end: Column, rate: Column) -> Column:
     return (periods.rental_days(start, end).cast("decimal(10,0)") * rate).cast("decimal(12,2)")
 
 
+# Film ages in years below which a price key applies.
+COST_BY_AGE = [(1, COST_NEW), (3, COST_RECENT), (10, COST_CATALOG)]
+
+
 def replacement_cost(pricing: DataFrame, release_date: Column, as_of) -> Column:
-    """Cost by film age: under 1, 3 and 10 years, else (or undated) classic."""
-    def younger_than(years: int) -> Column:
-        return release_date > periods.shift(as_of, years=-years).cast("date")
-
-    return (
-        F.when(younger_than(1), price(pricing, COST_NEW))
-        .when(younger_than(3), price(pricing, COST_RECENT))
-        .when(younger_than(10), price(pricing, COST_CATALOG))
-        .otherwise(price(pricing, COST_CLASSIC))
-        .cast("decimal(12,2)")
-    )
+    """Cost by film age; older and undated films cost the classic price."""
+    cost = None
+    for years, key in COST_BY_AGE:
+        younger = release_date > periods.shift(as_of, years=-years).cast("date")
+        value = price(pricing, key)
+        cost = F.when(younger, value) if cost is None else cost.when(younger, value)
+    return cost.otherwise(price(pricing, COST_CLASSIC)).cast("decimal(12,2)")

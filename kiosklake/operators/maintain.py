@@ -12,6 +12,13 @@ from kiosklake.functions import periods
 from kiosklake.operators.ranking import first_per, shuffled_rank
 
 
+# Status-log entries as (status, reason, notes).
+SIGNUP = ("active", "signup", "Backfilled from existing customer data")
+SUSPENDED = ("suspended", "lost_item", "Item not returned, charged replacement cost")
+DORMANT = ("inactive", "inactivity", "No rental in %s days")
+WON_BACK = ("active", "winback", "Random reactivation (simulated marketing)")
+
+
 def append(target: DataFrame, rows: DataFrame) -> DataFrame:
     """All rows of both; columns the new rows lack become NULL."""
     return target.unionByName(rows, allowMissingColumns=True).select(*target.columns)
@@ -94,8 +101,8 @@ def update_from(
 
 
 def delete_keys(target: DataFrame, keys_frame: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not listed."""
-    return target.join(keys_frame.select(*keys), keys, "left_anti")
+    """Rows whose key is not listed. A key listed very often is one row before the shuffle."""
+    return target.join(keys_frame.select(*keys).distinct(), keys, "left_anti")
 
 
 def emptied(table: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def missing_keys(wanted: list[DataFrame], key: str, have: DataFrame) -> DataFram
     union = wanted[0].select(key)
     for frame in wanted[1:]:
         union = union.unionByName(frame.select(key))
-    return union.distinct().join(have.select(key), key, "left_anti")
+    return union.distinct().join(have.select(key).distinct(), key, "left_anti")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -159,22 +166,20 @@ def protect_column(
 
 
 def status_entries(
-    customers: DataFrame,
-    status: str,
-    reason: str,
-    *,
-    status_date,
-    notes: Column | str | None = None,
-    rental_id: Column | None = None,
+    customers: DataFrame, kind: tuple[str, str, str], *, status_date, days=None, rental_id: Column | None = None
 ) -> DataFrame:
-    """Status-log rows (without ids) for a frame of customers."""
-    text = notes if isinstance(notes, Column) else F.lit(notes)
+    """Status-log rows (without ids) of one kind for a frame of customers.
+
+    ``days`` fills the place in the notes of kinds that name a number of days.
+    """
+    status, reason, notes = kind
+    text = F.lit(notes) if days is None else F.format_string(notes, F.lit(str(days)))
     return customers.select(
         F.col("customer_id"),
         periods.moment(status_date).alias("status_date"),
         F.lit(status).alias("status"),
         F.lit(reason).alias("reason_code"),
-        text.cast("string").alias("notes"),
+        text.alias("notes"),
         (rental_id if rental_id is not None else F.lit(None)).cast("bigint").alias("rental_id"),
     )
 
@@ -186,11 +191,5 @@ def log_status(log: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def signup_backfill(customer: DataFrame) -> DataFrame:
-    """One ``active/signup`` entry per existing customer, dated at creation."""
-    return status_entries(
-        customer,
-        "active",
-        "signup",
-        status_date=F.col("create_date").cast("timestamp_ntz"),
-        notes="Backfilled from existing customer data",
-    )
+    """One sign-up entry per existing customer, dated at creation."""
+    return status_entries(customer, SIGNUP, status_date=F.col("create_date").cast("timestamp_ntz"))

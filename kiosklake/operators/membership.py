@@ -13,7 +13,8 @@ def members(df: DataFrame, array: str, name: str) -> DataFrame:
 def rows_in(df: DataFrame, column: str, values) -> DataFrame:
     """``column IN (...)``: a literal list becomes a pushed-down filter, a frame a semi-join."""
     if isinstance(values, DataFrame):
-        return df.join(values.select(F.col(values.columns[0]).alias(column)), column, "left_semi")
+        wanted = values.select(F.col(values.columns[0]).alias(column)).distinct()
+        return df.join(wanted, column, "left_semi")
     return df.filter(F.col(column).isin(list(values)))
 
 

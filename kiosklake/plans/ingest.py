@@ -150,7 +150,7 @@ def people_to_fetch(t: Tables) -> DataFrame:
     return missing_keys([t.staged_cast, t.staged_crew], "person_id", t.person)
 
 
-# Labels of the load report and the tables they count.
+# Labels of the load report, with the tables they count.
 REPORT = {
     "Films": "film",
     "People": "person",

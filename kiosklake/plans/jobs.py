@@ -16,8 +16,9 @@ from kiosklake.functions.numbers import MONEY_SUM, draw, sampled
 from kiosklake.functions.pricing import FALLBACK_COST, daily_rate, rental_fee, replacement_cost
 from kiosklake.operators.availability import IN_CIRCULATION
 from kiosklake.operators.maintain import (
-    append, log_status, row_counts, status_entries, update_from, with_next_ids,
+    DORMANT, SUSPENDED, WON_BACK, append, log_status, row_counts, status_entries, update_from, with_next_ids,
 )
+from kiosklake.operators.membership import only
 from kiosklake.operators.ranking import first_per, random_slice
 from kiosklake.plans.reports import NEARBY_M
 from kiosklake.plans.stock import random_near_store
@@ -57,7 +58,7 @@ def due_payments(t: Tables, rental: DataFrame) -> DataFrame:
     closed = (
         rental.filter(~periods.is_open(F.col("period_end")))
         .select("rental_id", "customer_id", "inventory_id", "period_start", "period_end")
-        .join(t.payment.select("rental_id"), "rental_id", "left_anti")
+        .join(t.payment.select("rental_id").distinct(), "rental_id", "left_anti")
         .join(disc_films(t).select("inventory_id"), "inventory_id", "left_semi")
     )
     charges = closed.select(
@@ -168,6 +169,29 @@ def complete_rentals(t: Tables, returns: DataFrame, as_of, default_store: bool =
     )
 
 
+def return_rentals(
+    t: Tables, as_of, rental_id=None, *, min_age_hours: int = 8, radius_m: float = NEARBY_M, seed: str = "return"
+) -> JobResult:
+    """Close one rental (or every open one of the given age) now, at a random store near its customer.
+
+    A disc whose customer has no store nearby stays where it is.
+    """
+    back = only(
+        t.rental.filter(
+            periods.is_open(F.col("period_end"))
+            & (F.col("period_start") < periods.shift(as_of, hours=-min_age_hours))
+        ),
+        "rental_id", rental_id,
+    ).select("rental_id", "customer_id")
+    stores = random_near_store(t, back, "rental_id", seed, radius_m).select(
+        "rental_id", F.col("store_id").alias("return_store_id")
+    )
+    returns = back.join(stores, "rental_id", "left").select(
+        "rental_id", periods.moment(as_of).alias("return_time"), "return_store_id"
+    )
+    return complete_rentals(t, returns, as_of, default_store=False)
+
+
 # --- losses ------------------------------------------------------------------
 
 
@@ -214,10 +238,7 @@ def process_lost_rentals(
     if suspend:
         hit = lost.groupBy("customer_id").agg(F.min("rental_id").alias("rental_id"))
         hit = hit.join(t.customer.select("customer_id"), "customer_id", "left_semi")
-        entries = status_entries(
-            hit, "suspended", "lost_item", status_date=as_of,
-            notes="Item not returned, charged replacement cost", rental_id=F.col("rental_id"),
-        )
+        entries = status_entries(hit, SUSPENDED, status_date=as_of, rental_id=F.col("rental_id"))
         tables = tables.replaced(
             customer=_set_active(t.customer, hit, False, as_of),
             customer_status_log=log_status(t.customer_status_log, entries),
@@ -276,8 +297,7 @@ def deactivate_dormant(t: Tables, as_of, dormant_days: int = 180) -> JobResult:
         )
         .select("customer_id")
     )
-    notes = F.format_string("No rental in %s days", F.lit(str(dormant_days)))
-    entries = status_entries(dormant, "inactive", "inactivity", status_date=as_of, notes=notes)
+    entries = status_entries(dormant, DORMANT, status_date=as_of, days=dormant_days)
     return JobResult(
         t.replaced(
             customer=_set_active(t.customer, dormant, False, as_of),
@@ -292,9 +312,7 @@ def win_back(t: Tables, as_of, reactivate_pct: float = 0.5, seed: str = "winback
     back = t.customer.filter(
         F.col("activebool").eqNullSafe(False) & sampled(reactivate_pct, seed, F.col("customer_id"))
     ).select("customer_id")
-    entries = status_entries(
-        back, "active", "winback", status_date=as_of, notes="Random reactivation (simulated marketing)"
-    )
+    entries = status_entries(back, WON_BACK, status_date=as_of)
     return JobResult(
         t.replaced(
             customer=_set_active(t.customer, back, True, as_of),

@@ -9,7 +9,7 @@ from kiosklake.functions.numbers import MONEY_SUM, half_even_int, ratio
 from kiosklake.functions.pricing import daily_rate, price, replacement_cost
 from kiosklake.operators.availability import IN_CIRCULATION, with_availability
 from kiosklake.operators.geojoin import count_within_radius
-from kiosklake.plans.showcase import with_share
+from kiosklake.plans.showcase import banded, with_share
 from kiosklake.plans.views import disc_films
 from kiosklake.session import materialize
 from kiosklake.sources.tables import Tables
@@ -46,17 +46,15 @@ def customer_balance(t: Tables, as_of) -> DataFrame:
     )
 
 
-def status_band(active: Column, last_rental: Column, as_of) -> Column:
-    def within(days: int) -> Column:
-        return last_rental > periods.shift(as_of, days=-days)
+# Activity bands as (days since the last rental, label), and the other two labels.
+STATUS_BANDS = [(30, "Active (30d)"), (90, "Recent (30-90d)"), (180, "Dormant (90-180d)")]
+INACTIVE = "Inactive"
+AT_RISK = "At Risk (>180d)"
 
-    return (
-        F.when(~active, "Inactive")
-        .when(within(30), "Active (30d)")
-        .when(within(90), "Recent (30-90d)")
-        .when(within(180), "Dormant (90-180d)")
-        .otherwise("At Risk (>180d)")
-    )
+
+def status_band(active: Column, last_rental: Column, as_of) -> Column:
+    recent = [(last_rental > periods.shift(as_of, days=-days), name) for days, name in STATUS_BANDS]
+    return banded([(~active, INACTIVE), *recent], AT_RISK)
 
 
 def customer_status_summary(

@@ -57,14 +57,21 @@ def rental_hotspots(t: Tables, k: int = 10) -> DataFrame:
     return top_per(cities, [], [F.col("total_rentals").desc(), F.col("city"), F.col("state_id")], k)
 
 
+# Distance bands as (below km, label), and the label beyond them.
+DISTANCE_BANDS = [(5, "< 5 km"), (10, "5-10 km"), (15, "10-15 km"), (20, "15-20 km")]
+FAR = "20+ km"
+
+
+def banded(tests: list[tuple[Column, str]], beyond: str) -> Column:
+    """Label of the first test that holds."""
+    label = None
+    for test, name in tests:
+        label = F.when(test, name) if label is None else label.when(test, name)
+    return label.otherwise(beyond)
+
+
 def distance_band(km: Column) -> Column:
-    return (
-        F.when(km < 5, "< 5 km")
-        .when(km < 10, "5-10 km")
-        .when(km < 15, "10-15 km")
-        .when(km < 20, "15-20 km")
-        .otherwise("20+ km")
-    )
+    return banded([(km < top, name) for top, name in DISTANCE_BANDS], FAR)
 
 
 def travel_distances(t: Tables) -> DataFrame:
@@ -76,14 +83,14 @@ def travel_distances(t: Tables) -> DataFrame:
     home = with_vector(t.customer.select("customer_id", "lat", "lng"), ("lat", "lng"), "c_").drop("lat", "lng")
     shop = with_vector(t.store.select("store_id", "lat", "lng"), ("lat", "lng"), "s_").drop("lat", "lng")
     km = distance_between("c_", "s_") / 1000.0
-    banded = (
+    bands = (
         trips.join(home, "customer_id")
         .join(shop, "store_id")
         .withColumn("km", km)
         .groupBy(distance_band(F.col("km")).alias("distance_bucket"))
         .agg(F.sum("n").alias("rentals"), F.min("km").alias("nearest"))
     )
-    shares = with_share(banded, "rentals", 1)
+    shares = with_share(bands, "rentals", 1)
     return shares.orderBy(F.col("nearest").asc_nulls_last()).drop("nearest")
 
 
