@@ -101,8 +101,8 @@ def paired_by_rank(left: DataFrame, right: DataFrame, by: list[str], rank: str =
 
 
 def dealt_round_robin(items: DataFrame, slots: DataFrame, total: Column) -> DataFrame:
-    """Items (column ``rn``) dealt in turn to slots (column ``slot_rank`` 1..total)."""
-    dealt = items.withColumn("slot_rank", (F.col("rn") - 1) % total + 1)
+    """Items (column ``rn``) dealt in turn to slots (column ``slot_rank`` 1..total); none without slots."""
+    dealt = items.withColumn("slot_rank", (F.col("rn") - 1) % F.nullif(total, F.lit(0)) + 1)
     return dealt.join(slots, "slot_rank")
 
 

@@ -170,3 +170,10 @@ def test_checks(spark, tables):
     ranked = spark.createDataFrame([("NR",), ("G",), ("X",)], "r string").select("r", checks.rating_rank(F.col("r")).alias("n"))
     assert {r.r: r.n for r in ranked.collect()} == {"NR": 6, "G": 1, "X": None}
     assert checks.outside(tables.film, "rating", checks.RATINGS).count() == 0
+
+
+def test_round_robin(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "rn long, item string")
+    slots = spark.createDataFrame([(1, "x"), (2, "y")], "slot_rank long, slot string")
+    assert ids(ranking.dealt_round_robin(items, slots, F.lit(2)), "item", "slot") == [("a", "x"), ("b", "y"), ("c", "x")]
+    assert ranking.dealt_round_robin(items, slots.limit(0), F.lit(0)).count() == 0
