@@ -18,7 +18,8 @@ ORACLE: dict[str, str] = {}
 def register(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None) -> None:
     """Register one query over the domain tables, with the SQL that must agree with it."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(build(binding.domain(session.prepare(spark), sf_dir)))
+        session.with_local_dir(session.prepare(spark))
+        return plain(build(binding.domain(spark, sf_dir)))
 
     if name in QUERIES:
         raise ValueError(f"{name} registered twice")

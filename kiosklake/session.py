@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: none of them fixes a partition count, so AQE sizes every
-# shuffle from the data.
+# shuffle from the data, within the number the session starts with.
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,8 +18,7 @@ _RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-
-_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SHARED = "spark.checkpoint.dir"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -27,28 +26,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in _RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    # AQE joins small shuffle partitions but cannot add any: on a cluster, start from
-    # several per core instead of the fixed default
-    context = spark.sparkContext
-    if not context.master.startswith("local") and spark.conf.get(_INITIAL, None) is None:
-        started = max(4 * context.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        spark.conf.set(_INITIAL, str(started))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    ``spark.checkpoint.dir`` decides. Only a session without it (a plain local
-    test session) gets a temporary folder of its own.
+    Raises when it is unset: a folder of the driver's own would lose what executors
+    write on other machines.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get(_SHARED, None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="kiosklake-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise RuntimeError(f"set {_SHARED} to a folder that the driver and all executors share")
     return configured
 
 
+def with_local_dir(spark: SparkSession) -> SparkSession:
+    """Give a one-machine session (tests, bench, local runs) a shared folder if it has none."""
+    one_machine = spark.conf.get("spark.master", "").split("[")[0] == "local"
+    if one_machine and not spark.conf.get(_SHARED, None):
+        spark.conf.set(_SHARED, tempfile.mkdtemp(prefix="kiosklake-"))
+    return spark
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/kiosklake/{label}-{uuid.uuid4().hex}"
