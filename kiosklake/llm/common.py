@@ -6,9 +6,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from kiosklake.session import prepare as prepare_session, with_local_dir
+from kiosklake.session import materialize, prepare as prepare_session, with_local_dir  # noqa: F401
 
 # Arrow batches are cut by bytes as well as rows, so that long texts cannot swell a worker.
 _BATCHES = {
@@ -144,3 +144,29 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.float64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def map_texts(
+    docs: DataFrame,
+    work: Callable[[pa.Array], list],
+    fields: dict[str, T.DataType],
+    *,
+    text: str = "text",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Add the columns ``fields`` that ``work`` makes of each batch of whole texts.
+
+    ``keep`` names the columns to carry along (all by default); one that bears the name of
+    a new column gives way to it. One pass over the rows, no shuffle.
+    """
+    prepare(docs.sparkSession)
+    carried = [c for c in (docs.columns if keep is None else keep) if c not in fields]
+    sent = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text).alias("_text"))
+    schema = T.StructType([*sent.schema.fields[:-1], *[T.StructField(n, t) for n, t in fields.items()]])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = work(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], schema.names)
+
+    return sent.mapInArrow(each, schema)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import oracles, quality_rules
-from kiosklake.llm.common import table
+from kiosklake.llm import language_id, oracles, quality_rank, quality_rules, toxicity
+from kiosklake.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,8 +23,46 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _fold(folds: int, held_out: int):
+    """Conditions on ``doc_id``: in the held-out fold, and in one of the others."""
+    fold = fold_of(F.col("doc_id"), folds)
+    return fold == held_out, fold != held_out
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out, learned = _fold(3, 1)
+    model = language_id.train(docs, train_on=learned)
+    return language_id.predict(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("op6_quality_rules", oracles.QUALITY_RULES)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *[F.col(f"quality.{f}") for f in fields])
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out, learned = _fold(3, 1)
+    lexicon = toxicity.train(docs, labels, train_on=learned)
+    toxic = (F.col("score") >= toxicity.ACCEPT).cast("int")
+    return toxicity.score(docs, lexicon, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", toxic.alias("predicted")
+    )
+
+
+@query("op8_quality_ranking")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out, learned = _fold(4, 2)
+    model = quality_rank.train(docs, labels, train_on=learned)
+    good = (F.col("score") >= quality_rank.ACCEPT).cast("int")
+    return quality_rank.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", good.alias("predicted")
+    )
