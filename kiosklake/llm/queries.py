@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import language_id, oracles, quality_rank, quality_rules, toxicity
+from kiosklake.llm import byte_bpe, language_id, oracles, quality_rank, quality_rules, token_counts, toxicity
 from kiosklake.llm.common import fold_of, table
 
+#: The rank file that ops 3 and 5 use; its first free id marks the end of a document.
+RANKS, END_OF_DOCUMENT = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), 50256
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -39,6 +43,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, keep=["doc_id"])
+    digests = coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        "ids", "ends",
+    )
+    decoded = byte_bpe.decode(digests, RANKS, keep=["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, keep=["doc_id"])
+    shards = token_counts.write_shards(coded, end=END_OF_DOCUMENT)
+    counts = token_counts.count_tokens(shards.blocks, end=END_OF_DOCUMENT)
+    return token_counts.with_ids(counts, shards.roster).select("doc_id", "n_tokens", "shard", "ordinal")
+
+
 @query("op6_quality_rules", oracles.QUALITY_RULES)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
