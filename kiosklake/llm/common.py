@@ -36,6 +36,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+SEPARATORS = " \t\n\u000b\f\r"
+
+
+def words(text: Column) -> Column:
+    """Runs of anything but ASCII white space, in order."""
+    bare = F.btrim(text, F.lit(SEPARATORS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

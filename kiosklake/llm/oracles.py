@@ -35,3 +35,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_stop_words / n_words >= 0.02 AND n_dup_lines / n_lines <= 0.6 AND n_words / n_lines >= 1.5 AS kept
 FROM judged
 """
+
+PERSPECTIVES = """
+WITH said AS (
+  SELECT conv_id, turn // 512 AS part, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), seen AS (
+  SELECT s.*, p.speaker, s.role = p.speaker AS own,
+         row_number() OVER (PARTITION BY conv_id, part, speaker ORDER BY turn, role, text) AS place,
+         '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role
+                                ELSE 'user name=' || role END || chr(10) AS head,
+         text || '<|im_end|>' AS body
+  FROM said s JOIN (SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system') p USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, part, speaker ORDER BY place)
+            - length(body) - 1 AS body_at
+  FROM seen
+)
+SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY place) AS rendered,
+       coalesce(string_agg(body_at::BIGINT || '-' || (body_at + length(body))::BIGINT, ' ' ORDER BY place) FILTER (WHERE own), '') AS spans
+FROM placed GROUP BY conv_id, speaker, part
+"""

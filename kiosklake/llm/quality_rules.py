@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kiosklake.llm.common import let
+from kiosklake.llm.common import SEPARATORS, let, words
 
 # Frequent function words of the corpus languages.
 STOP_WORDS = (
@@ -15,7 +15,6 @@ STOP_WORDS = (
     "de la le et les des en un une du dans qui que pour au sur pas plus par il est avec ce ne se on son cette "
     "el los las del y al una por con para su no lo como más pero sus le ya o este sí porque"
 )
-_SEPARATORS = " \t\n\u000b\f\r"
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 8
 
@@ -41,13 +40,7 @@ RULES = (
 )
 
 
-def _words(text: Column) -> Column:
-    """Runs of anything but ASCII white space."""
-    bare = F.btrim(text, F.lit(_SEPARATORS))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
-
-
-def _repeated_words(words: Column) -> Column:
+def _repeated_words(found: Column) -> Column:
     """Words inside windows of eight words that the text holds twice or more."""
     def covered(windows: Column) -> Column:
         in_order = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -69,21 +62,21 @@ def _repeated_words(words: Column) -> Column:
         )
         return let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w)))
 
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(F.size(words) < _WINDOW, F.lit(0)).otherwise(let(hashes, counted))
+    hashes = F.transform(found, lambda w: F.xxhash64(w))
+    return F.when(F.size(found) < _WINDOW, F.lit(0)).otherwise(let(hashes, counted))
 
 
 def _word_lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_SEPARATORS)) != "")
+    return F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SEPARATORS)) != "")
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the counts of each whole text as one struct column ``_m``; a null text counts as empty."""
     stop = sorted({form for w in STOP_WORDS.split() for form in (w, w[0].upper() + w[1:], w.upper())})
     whole = F.coalesce(F.col(text), F.lit(""))
-    counts = let(whole, lambda t: let(_words(t), lambda w: let(_word_lines(t), lambda lines: F.struct(
+    counts = let(whole, lambda t: let(words(t), lambda w: let(_word_lines(t), lambda lines: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
-        F.char_length(F.translate(t, _SEPARATORS, "")).cast("bigint").alias("word_chars"),
+        F.char_length(F.translate(t, SEPARATORS, "")).cast("bigint").alias("word_chars"),
         (F.char_length(t) - F.char_length(F.translate(t, _SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
         F.size(lines).cast("bigint").alias("n_lines"),
@@ -94,12 +87,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _measures(m: Column) -> dict[str, Column]:
-    words, lines = F.greatest(m["n_words"], F.lit(1)), F.greatest(m["n_lines"], F.lit(1))
+    n_words, lines = F.greatest(m["n_words"], F.lit(1)), F.greatest(m["n_lines"], F.lit(1))
     return {
         "n_words": m["n_words"].cast("double"),
-        "mean_word_chars": m["word_chars"] / words,
-        "symbols_per_word": m["n_symbols"] / words,
-        "stop_word_share": m["n_stop_words"] / words,
+        "mean_word_chars": m["word_chars"] / n_words,
+        "symbols_per_word": m["n_symbols"] / n_words,
+        "stop_word_share": m["n_stop_words"] / n_words,
         "dup_line_share": m["n_dup_lines"] / lines,
         "words_per_line": m["n_words"] / lines,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import byte_bpe, language_id, oracles, quality_rank, quality_rules, token_counts, toxicity
+from kiosklake.llm import byte_bpe, chat, language_id, mixing, oracles, quality_rank, quality_rules, token_counts, toxicity
 from kiosklake.llm.common import fold_of, table
 
 #: The rank file that ops 3 and 5 use; its first free id marks the end of a document.
@@ -54,6 +54,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op4_perspective_chat", oracles.PERSPECTIVES)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return seen.select("conv_id", "speaker", "part", "n_turns", "rendered", F.array_join(spans, " ").alias("spans"))
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, keep=["doc_id"])
@@ -89,3 +96,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rank.score(docs, model, keep=["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "score", good.alias("predicted")
     )
+
+
+@query("op10_temperature_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "_mix.n_tokens", "_mix.weight", "_mix.epoch", "_mix.block", "_mix.turn")
