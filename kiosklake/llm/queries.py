@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import byte_bpe, chat, language_id, mixing, oracles, quality_rank, quality_rules, token_counts, toxicity
+from kiosklake.llm import byte_bpe, chat, fingerprints, language_id, mixing, oracles, quality_rank, quality_rules, token_counts, toxicity
 from kiosklake.llm.common import fold_of, table
 
 #: The rank file that ops 3 and 5 use; its first free id marks the end of a document.
@@ -98,6 +98,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_weighted_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
 @query("op10_temperature_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
