@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import byte_bpe, chat, fingerprints, language_id, mixing, oracles, quality_rank, quality_rules, token_counts, toxicity
+from kiosklake.llm import byte_bpe, chat, fingerprints, language_id, mixing, near_dedup, oracles, quality_rank, quality_rules, token_counts, toxicity
 from kiosklake.llm.common import fold_of, table
 
 #: The rank file that ops 3 and 5 use; its first free id marks the end of a document.
@@ -33,6 +33,11 @@ def _fold(folds: int, held_out: int):
     return fold == held_out, fold != held_out
 
 
+@query("op1_order_minhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classify(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 @query("op2_language_id")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
