@@ -155,6 +155,17 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about CHUNK_BYTES, so that what is made of them stays small."""
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        for row, end, _, _ in chunks(column):
+            yield row, end
+        return
+    step = max(1, len(column) * CHUNK_BYTES // max(column.nbytes, CHUNK_BYTES))
+    for row in range(0, len(column), step):
+        yield row, min(row + step, len(column))
+
+
 def map_texts(
     docs: DataFrame,
     work: Callable[[pa.Array], list],
@@ -175,7 +186,9 @@ def map_texts(
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], schema.names)
+            column = batch.column(batch.num_columns - 1)
+            for row, end in _slices(column):
+                made = work(column.slice(row, end - row))
+                yield pa.RecordBatch.from_arrays([*batch.slice(row, end - row).columns[:-1], *made], schema.names)
 
     return sent.mapInArrow(each, schema)

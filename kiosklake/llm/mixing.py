@@ -189,7 +189,8 @@ def mix(
         {"_source": source, "_u": _place(F.col("doc_id"), F.col("text"), seed), "_n": n_tokens}
     )
     copies = (rule["epochs"] + (u <= rule["cut"]).cast("long")).cast("int")
-    drawn_rows = held.join(drawn, "_source").withColumn("_epoch", F.explode(F.sequence(F.lit(1), copies, F.lit(1))))
+    epochs = F.when(copies > 0, F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    drawn_rows = held.join(drawn, "_source").withColumn("_epoch", F.explode(epochs))
     block = F.floor(u * rule["blocks"])
     mixed = F.struct(
         F.col("_n").alias("n_tokens"), rule["weight"].alias("weight"), F.col("_epoch").alias("epoch"),

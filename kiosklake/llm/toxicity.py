@@ -61,23 +61,27 @@ def fold(text: str | None) -> str:
     return f" {' '.join(low.translate(_FOLDING).split())} "
 
 
-def _candidates(folded: str) -> list[dict]:
-    """Word beginnings and words, each with a hash of the words around it.
+def _candidates(column: pa.Array) -> list[pa.Array]:
+    """Per text word beginnings and words, and for each a hash of the words around it.
 
     Copies of a passage repeat its words in the same surroundings, so counting different
     surroundings counts independent uses.
     """
-    words = ["", *folded.split(), ""]
-    found: dict[tuple[str, str, str], None] = {}
-    for before, word, after in zip(words, words[1:], words[2:]):
-        found[before, word, after] = None
-    out = []
-    for before, word, after in found:
-        around = zlib.crc32(f"{before} {after}".encode())
-        out += [{"term": f" {word[:n]}", "around": around} for n in STEM_LENGTHS if n <= len(word)]
-        if len(word) <= LONGEST_WORD:
-            out.append({"term": f" {word} ", "around": around})
-    return out
+    terms: list[str] = []
+    around: list[int] = []
+    bounds = [0]
+    for text in column.to_pylist():
+        words = ["", *fold(text).split(), ""]
+        for before, word, after in set(zip(words, words[1:], words[2:])):
+            place = zlib.crc32(f"{before} {after}".encode())
+            found = [f" {word[:n]}" for n in STEM_LENGTHS if n <= len(word)]
+            if len(word) <= LONGEST_WORD:
+                found.append(f" {word} ")
+            terms += found
+            around += [place] * len(found)
+        bounds.append(len(terms))
+    offsets = pa.array(bounds, pa.int32())
+    return [pa.ListArray.from_arrays(offsets, pa.array(terms, pa.string())), pa.ListArray.from_arrays(offsets, pa.array(around, pa.int64()))]
 
 
 @dataclass(frozen=True)
@@ -208,12 +212,11 @@ def train(docs: DataFrame, labels: DataFrame, *, train_on: Column, limit: int =
     usable = labels.filter(train_on & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     share = usable.agg(F.avg("toxic")).first()[0]
 
-    kind = pa.list_(pa.struct([("term", pa.string()), ("around", pa.int64())]))
-    terms = map_texts(
-        sample, lambda col: [pa.array([_candidates(fold(x)) for x in col.to_pylist()], kind)],
-        {"terms": T.ArrayType(T.StructType().add("term", "string").add("around", "long"))}, keep=["y"],
+    found = map_texts(
+        sample, _candidates, {"terms": T.ArrayType(T.StringType()), "around": T.ArrayType(T.LongType())}, keep=["y"]
     )
-    used = terms.select("y", F.inline("terms")).groupBy("term", "around").agg(
+    terms = found.select("y", F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("around").alias("around"))).alias("_t"))
+    used = terms.select("y", "_t.term", "_t.around").groupBy("term", "around").agg(
         F.max("y").alias("t"), F.max(1 - F.col("y")).alias("c")
     )
     counts = used.groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
