@@ -91,7 +91,8 @@ CTES: dict[str, str] = {
         CASE WHEN p_partkey % 3 <> 1 THEN p_partkey * 104729 % 900000000 END AS revenue,
         CASE WHEN p_partkey % 3 <> 2 THEN p_size + 80 END AS runtime
         FROM part""",
-    "d_genre": "SELECT n_nationkey AS genre_id, n_name AS name FROM nation",
+    "d_genre": """SELECT n_nationkey AS genre_id, n_name AS name FROM nation
+        UNION ALL SELECT 25, n_name FROM nation WHERE n_nationkey = 3""",
     "d_person": """SELECT s_suppkey AS person_id,
         'Actor ' || (CASE WHEN s_suppkey % 10 = 9 THEN s_suppkey - 1 ELSE s_suppkey END) AS name,
         CASE WHEN s_suppkey % 13 <> 0 THEN s_acctbal::float END AS popularity FROM supplier""",

@@ -54,7 +54,7 @@ def _completed(t):
 
 register("p2_completed_rentals", lambda t: _completed(t).tables.rental, sql(f"""
     SELECT r.rental_id, r.period_start, coalesce(b.return_time, r.period_end) AS period_end, r.inventory_id, r.customer_id,
-    r.store_id, CASE WHEN b.rental_id IS NOT NULL THEN {AS_OF} ELSE r.last_update END AS last_update
+    r.store_id, r.last_update
     FROM d_rental r LEFT JOIN returned b ON b.rental_id = r.rental_id""", **RETURN_CTES))
 register("p2_moved_discs", lambda t: _completed(t).tables.inventory, sql(f"""
     SELECT i.inventory_id, i.film_id, coalesce(m.to_store, i.store_id) AS store_id, i.status_id, i.circulation_start,
@@ -104,7 +104,7 @@ register("p3_suspension_log", lambda t: jobs.process_lost_rentals(t, NOW).tables
          sql(log_sql(SUSPENDED), lost=LOST))
 register("p3_closed_rentals", lambda t: jobs.process_lost_rentals(t, NOW).tables.rental, sql(f"""
     SELECT r.rental_id, r.period_start, CASE WHEN l THEN {AS_OF} ELSE r.period_end END AS period_end, r.inventory_id,
-    r.customer_id, r.store_id, CASE WHEN l THEN {AS_OF} ELSE r.last_update END AS last_update
+    r.customer_id, r.store_id, r.last_update
     FROM (SELECT *, rental_id IN (SELECT rental_id FROM lost) AS l FROM d_rental) r""", lost=LOST))
 ACTIVE = lambda cond: f"SELECT customer_id, activebool AND NOT ({cond}) AS activebool FROM d_customer"
 register("p3_suspended_customers", lambda t: jobs.process_lost_rentals(t, NOW).tables.customer.select("customer_id", "activebool"),
@@ -113,15 +113,59 @@ register("p4_lost_without_suspension",
          lambda t: jobs.process_lost_rentals(t, NOW, suspend=False).summary(),
          sql("SELECT 'lost' AS label, count(*) AS n FROM lost UNION ALL SELECT 'payments', count(*) FROM lost", lost=LOST))
 IN_USE = f"SELECT * FROM ({LOST}) WHERE status_id = 1"
+
+
+def closed_rentals(stamped: bool) -> str:
+    """All rentals after those of ``lost`` were written off."""
+    dated = f"CASE WHEN l THEN {AS_OF} ELSE last_update END" if stamped else "last_update"
+    return f"""SELECT rental_id, period_start, CASE WHEN l THEN {AS_OF} ELSE period_end END AS period_end, inventory_id, customer_id,
+        store_id, {dated} AS last_update FROM (SELECT *, rental_id IN (SELECT rental_id FROM lost) AS l FROM d_rental)"""
+
+
+LOST_DISCS = f"""SELECT inventory_id, film_id, store_id, CASE WHEN l THEN 2 ELSE status_id END AS status_id, circulation_start,
+    CASE WHEN l THEN {AS_OF} ELSE last_update END AS last_update
+    FROM (SELECT *, inventory_id IN (SELECT inventory_id FROM lost) AS l FROM d_inventory)"""
+KEPT_PAYMENTS = "SELECT payment_id, customer_id, rental_id, amount::double AS amount, payment_date FROM d_payment"
+
+
+def all_payments(body: str) -> str:
+    added = numbered("payment_id", MAX_PAYMENT, "rental_id", body)
+    return f"{KEPT_PAYMENTS} UNION ALL SELECT payment_id, customer_id, rental_id, amount, payment_date FROM ({added})"
+
+
+def _kept_payments(tables):
+    return tables.payment.select("payment_id", "customer_id", "rental_id", "amount", "payment_date")
+
+
+register("p4_closed_rentals", lambda t: jobs.process_lost_rentals(t, NOW, suspend=False).tables.rental,
+         sql(closed_rentals(False), lost=LOST))
+register("p4_lost_discs", lambda t: jobs.process_lost_rentals(t, NOW, suspend=False).tables.inventory, sql(LOST_DISCS, lost=LOST))
+register("p4_all_payments", lambda t: _kept_payments(jobs.process_lost_rentals(t, NOW, suspend=False).tables),
+         sql(all_payments(LOST_PAID), lost=LOST))
+register("p5_closed_rentals", lambda t: jobs.process_lost_inventory(t, NOW).tables.rental, sql(closed_rentals(True), lost=IN_USE))
+register("p5_stopped_customers", lambda t: jobs.process_lost_inventory(t, NOW).tables.customer.select("customer_id", "activebool"),
+         sql("SELECT customer_id, activebool AND customer_id NOT IN (SELECT customer_id FROM lost) AS activebool FROM d_customer",
+             lost=IN_USE))
+register("p20_nightly_rentals", lambda t: jobs.nightly_maintenance(t, NOW, reactivate_pct=20.0).tables.rental,
+         sql(closed_rentals(True), lost=IN_USE))
+register("p20_nightly_discs", lambda t: jobs.nightly_maintenance(t, NOW, reactivate_pct=20.0).tables.inventory,
+         sql(LOST_DISCS, lost=IN_USE))
+register("p20_nightly_payments", lambda t: _kept_payments(jobs.nightly_maintenance(t, NOW, reactivate_pct=20.0).tables),
+         sql(all_payments(LOST_PAID), lost=IN_USE))
+register("s23_returned_rentals", lambda t: jobs.return_rentals(t, NOW).tables.rental, sql(f"""
+    SELECT rental_id, period_start, CASE WHEN b THEN {AS_OF} ELSE period_end END AS period_end, inventory_id, customer_id, store_id,
+    CASE WHEN b THEN {AS_OF} ELSE last_update END AS last_update
+    FROM (SELECT *, rental_id IN (SELECT rental_id FROM home) AS b FROM d_rental)""", pool=POOL, listed=LISTED, home=HOME))
 register("p5_lost_inventory_payments", lambda t: jobs.process_lost_inventory(t, NOW).rows["payments"],
          sql(numbered("payment_id", MAX_PAYMENT, "rental_id", LOST_PAID), lost=IN_USE))
 register("p5_lost_inventory_discs", lambda t: jobs.process_lost_inventory(t, NOW).tables.inventory.select("inventory_id", "status_id"),
          sql("SELECT inventory_id, CASE WHEN inventory_id IN (SELECT inventory_id FROM lost) THEN 2 ELSE status_id END AS status_id FROM d_inventory",
              lost=IN_USE))
 
-DORMANT = f"""SELECT c.customer_id FROM {{customer}} c LEFT JOIN {{rental}} r ON r.customer_id = c.customer_id WHERE c.activebool
-    GROUP BY c.customer_id HAVING (max(r.period_start) IS NULL OR max(r.period_start) < {AS_OF} - INTERVAL 180 DAY)
-    AND count(*) FILTER (r.period_end IS NULL) = 0"""
+# nobody who never rented: the rule reads the missing rental as an open one
+DORMANT = f"""SELECT customer_id FROM {{customer}} WHERE activebool AND customer_id IN (
+        SELECT customer_id FROM {{rental}} GROUP BY customer_id
+        HAVING bool_and(period_end IS NOT NULL) AND max(period_start) < {AS_OF} - INTERVAL 180 DAY)"""
 GONE = f"SELECT {LOG_COLS}, 'inactive' AS status, 'inactivity' AS reason_code, 'No rental in 180 days' AS notes, NULL::bigint AS rental_id FROM dormant"
 register("p6_deactivate_dormant", lambda t: jobs.deactivate_dormant(t, NOW).tables.customer_status_log,
          sql(log_sql(GONE), dormant=DORMANT.format(customer="d_customer", rental="d_rental")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -21,6 +22,12 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: (w != "") & ~F.array_contains(stop, w))
 
 
+def search_words(terms: list[str]) -> list[str]:
+    """Search terms cut as texts are: compounds into words, stopwords dropped, each once."""
+    found = [w for term in terms for w in re.split(r"[\W_]+", term.lower()) if w and w not in STOPWORDS]
+    return list(dict.fromkeys(found))
+
+
 def may_have_all(text: Column, terms: list[str]) -> Column:
     """Cheap necessary condition for ``has_all``: every term occurs somewhere in the text."""
     lowered = F.lower(text)
@@ -31,12 +38,12 @@ def may_have_all(text: Column, terms: list[str]) -> Column:
 def has_all(words: Column, terms: list[str]) -> Column:
     """Does a token array hold every search term?"""
     wanted = [t.lower() for t in terms]
-    return F.forall(F.array(*[F.lit(t) for t in wanted]), lambda t: F.array_contains(words, t))
+    return F.forall(F.array(*[F.lit(t) for t in wanted]).cast("array<string>"), lambda t: F.array_contains(words, t))
 
 
 def term_frequency(words: Column, terms: list[str]) -> Column:
     """Share of a text's tokens that are search terms (0 for an empty text)."""
-    wanted = F.array(*[F.lit(t.lower()) for t in terms])
+    wanted = F.array(*[F.lit(t.lower()) for t in terms]).cast("array<string>")
     hits = F.size(F.filter(words, lambda w: F.array_contains(wanted, w)))
     return F.when(F.size(words) > 0, hits.cast("double") / F.size(words)).otherwise(F.lit(0.0))
 

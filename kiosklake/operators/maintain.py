@@ -137,12 +137,12 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def count_delta(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Before/after/change of two row-count frames; a label missing later counts 0."""
+    """Before/after/change of two row-count frames; a label missing on one side counts 0 there."""
     b = before.select("label", F.col("n").alias("before_n"))
     a = after.select("label", F.col("n").alias("after_n"))
-    after_n = F.coalesce(F.col("after_n"), F.lit(0))
-    return b.join(a, "label", "left").select(
-        "label", "before_n", after_n.alias("after_n"), (after_n - F.col("before_n")).alias("delta")
+    before_n, after_n = F.coalesce("before_n", F.lit(0)), F.coalesce("after_n", F.lit(0))
+    return b.join(a, "label", "full").select(
+        "label", before_n.alias("before_n"), after_n.alias("after_n"), (after_n - before_n).alias("delta")
     )
 
 

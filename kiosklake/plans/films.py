@@ -93,13 +93,16 @@ def popular_films(t: Tables, k: int = 20) -> DataFrame:
 def search_films(film: DataFrame, terms: list[str], k: int = 20) -> DataFrame:
     """Films whose title or overview holds every term, by share of matching words.
 
-    Words are matched whole and in any case; there is no stemming. A plain substring
-    test drops most texts before they are split into words; texts are not shuffled.
+    Terms are cut into words as the texts are; stopwords among them are dropped, and without
+    any other word nothing is found. Words are matched whole and in any case; there is no
+    stemming. A plain substring test drops most texts before they are split into words; texts
+    are not shuffled.
     """
+    terms = text.search_words(terms)
     whole = F.concat_ws(" ", "title", "overview")
     words = text.tokens(whole)
     hits = (
-        film.filter(text.may_have_all(whole, terms))
+        film.filter(text.may_have_all(whole, terms) if terms else F.lit(False))
         .withColumn("_words", words)
         .filter(text.has_all(F.col("_words"), terms))
         .withColumn("rank", text.term_frequency(F.col("_words"), terms))

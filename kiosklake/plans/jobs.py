@@ -125,9 +125,13 @@ def plan_returns(
     )
 
 
-def complete_rentals(t: Tables, returns: DataFrame, as_of, default_store: bool = True) -> JobResult:
+def complete_rentals(
+    t: Tables, returns: DataFrame, as_of, default_store: bool = True, stamp_rentals: bool = False
+) -> JobResult:
     """Close returned rentals, bill them and move their discs.
 
+    The batch changes a rental's period alone; ``stamp_rentals`` also dates the change.
+
     ``returns`` has one row per rental: rental_id, return_time, return_store_id.
     Without a return store the disc goes to the renting store, or stays where it
     is when ``default_store`` is False.
@@ -148,7 +152,8 @@ def complete_rentals(t: Tables, returns: DataFrame, as_of, default_store: bool =
         .drop("_start")
     )
     done = materialize(done, "completed")  # feeds three tables
-    rental = update_from(t.rental, done, ["rental_id"], {"period_end": "return_time"}, stamp=as_of)
+    stamp = as_of if stamp_rentals else None
+    rental = update_from(t.rental, done, ["rental_id"], {"period_end": "return_time"}, stamp=stamp)
     moves = first_per(
         done.filter(F.col("new_store").isNotNull()).select("inventory_id", "new_store", "rental_id"),
         ["inventory_id"], [F.col("rental_id")],
@@ -189,7 +194,7 @@ def return_rentals(
     returns = back.join(stores, "rental_id", "left").select(
         "rental_id", periods.moment(as_of).alias("return_time"), "return_store_id"
     )
-    return complete_rentals(t, returns, as_of, default_store=False)
+    return complete_rentals(t, returns, as_of, default_store=False, stamp_rentals=True)
 
 
 # --- losses ------------------------------------------------------------------
@@ -202,14 +207,15 @@ def _open_longer_than(t: Tables, as_of, days: int) -> DataFrame:
     ).select("rental_id", "customer_id", "inventory_id")
 
 
-def _write_off(t: Tables, lost: DataFrame, as_of, amount: Column) -> tuple[Tables, DataFrame]:
-    """Close lost rentals, mark their discs lost and charge ``amount`` for each."""
+def _write_off(t: Tables, lost: DataFrame, as_of, stamp_rentals: bool) -> tuple[Tables, DataFrame]:
+    """Close lost rentals, mark their discs lost and charge each one's ``amount``."""
     now = periods.moment(as_of)
     closed = lost.select("rental_id", now.alias("loss_date"))
-    rental = update_from(t.rental, closed, ["rental_id"], {"period_end": "loss_date"}, stamp=as_of)
+    stamp = as_of if stamp_rentals else None
+    rental = update_from(t.rental, closed, ["rental_id"], {"period_end": "loss_date"}, stamp=stamp)
     discs = lost.select("inventory_id").distinct().withColumn("status", F.lit(LOST))
     inventory = update_from(t.inventory, discs, ["inventory_id"], {"status_id": "status"}, stamp=as_of)
-    charges = lost.select("customer_id", "rental_id", amount.alias("amount"), now.alias("payment_date"))
+    charges = lost.select("customer_id", "rental_id", "amount", now.alias("payment_date"))
     paid = _payments(t, charges)
     return t.replaced(rental=rental, inventory=inventory, payment=append(t.payment, paid)), paid
 
@@ -233,7 +239,8 @@ def process_lost_rentals(
         .join(t.film.select("film_id", "release_date"), "film_id")
     )
     cost = replacement_cost(t.pricing, F.col("release_date"), as_of)
-    tables, paid = _write_off(t, lost, as_of, cost)
+    lost = materialize(lost.withColumn("amount", cost), "lost")  # feeds five tables
+    tables, paid = _write_off(t, lost, as_of, stamp_rentals=False)
     rows = {"lost": lost, "payments": paid}
     if suspend:
         hit = lost.groupBy("customer_id").agg(F.min("rental_id").alias("rental_id"))
@@ -259,7 +266,8 @@ def process_lost_inventory(
     )
     cost = replacement_cost(t.pricing, F.col("release_date"), as_of)
     fallback = F.lit(FALLBACK_COST).cast("decimal(12,2)")
-    tables, paid = _write_off(t, lost, as_of, F.coalesce(cost, fallback))
+    lost = materialize(lost.withColumn("amount", F.coalesce(cost, fallback)), "lost")
+    tables, paid = _write_off(t, lost, as_of, stamp_rentals=True)
     if deactivate_customer:
         hit = lost.select("customer_id").distinct()
         tables = tables.replaced(customer=_set_active(t.customer, hit, False, as_of))
@@ -297,6 +305,7 @@ def deactivate_dormant(t: Tables, as_of, dormant_days: int = 180) -> JobResult:
         )
         .select("customer_id")
     )
+    dormant = materialize(dormant, "dormant")
     entries = status_entries(dormant, DORMANT, status_date=as_of, days=dormant_days)
     return JobResult(
         t.replaced(
@@ -312,6 +321,7 @@ def win_back(t: Tables, as_of, reactivate_pct: float = 0.5, seed: str = "winback
     back = t.customer.filter(
         F.col("activebool").eqNullSafe(False) & sampled(reactivate_pct, seed, F.col("customer_id"))
     ).select("customer_id")
+    back = materialize(back, "won-back")
     entries = status_entries(back, WON_BACK, status_date=as_of)
     return JobResult(
         t.replaced(
@@ -327,7 +337,12 @@ def update_customer_activity(
 ) -> JobResult:
     """Deactivation, then win-back over its result."""
     first = deactivate_dormant(t, as_of, dormant_days)
-    second = win_back(first.tables, as_of, reactivate_pct, seed)
+    # the second step reads both changed tables several times
+    between = first.tables.replaced(
+        customer=materialize(first.tables.customer, "activity-customer"),
+        customer_status_log=materialize(first.tables.customer_status_log, "activity-log"),
+    )
+    second = win_back(between, as_of, reactivate_pct, seed)
     return JobResult(second.tables, {**first.rows, **second.rows})
 
 

@@ -152,23 +152,22 @@ def busiest_holidays(t: Tables, first: str, last: str, k: int = 10) -> DataFrame
 
 
 def genre_rentals(t: Tables, rental: DataFrame, k: int | None = 10) -> DataFrame:
-    """Genres by rentals of their films; a film counts once per genre it lists."""
+    """Genre names by rentals of their films.
+
+    Several genre ids may bear one name: a film counts once per name, its rentals once
+    per id it lists.
+    """
     per_film = rentals_per_film(t, rental)
     tagged = members(t.film.select("film_id", "genre_ids"), "genre_ids", "genre_id")
-    genres = (
+    per_name = (
         per_film.join(tagged, "film_id")
-        .groupBy("genre_id")
-        .agg(F.sum("rentals").alias("rentals"), F.count(F.lit(1)).alias("films"))
         .join(t.film_genre, "genre_id")
+        .groupBy(F.col("name").alias("genre"), "film_id")
+        .agg(F.sum("rentals").alias("rentals"))
     )
-    return _by_genre_name(genres, k)
-
-
-def _by_genre_name(genres: DataFrame, k: int | None) -> DataFrame:
-    """Genre ids are unique per name in practice; equal names merge."""
     named = (
-        genres.groupBy(F.col("name").alias("genre"))
-        .agg(F.sum("rentals").alias("total_rentals"), F.sum("films").alias("films_in_genre"))
+        per_name.groupBy("genre")
+        .agg(F.sum("rentals").alias("total_rentals"), F.count(F.lit(1)).alias("films_in_genre"))
         .withColumn("rentals_per_film", ratio(F.col("total_rentals"), F.col("films_in_genre"), 0))
     )
     order = [F.col("total_rentals").desc(), F.col("genre")]

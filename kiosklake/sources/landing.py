@@ -30,7 +30,19 @@ def rejected(landed: DataFrame, key: str = "film_id") -> DataFrame:
 def elements(df: DataFrame, column: str, shape: str) -> DataFrame:
     """One row per array element of a JSON text column: ``pos`` and the struct ``item``.
 
-    Text that is not a JSON array of the shape yields no rows.
+    Text that is not a JSON array of the shape yields no rows; ``unparsed`` lists it.
     """
     parsed = F.from_json(F.col(column), shape, {"mode": "PERMISSIVE"})
     return df.select("*", F.posexplode(parsed).alias("pos", "item")).drop(column)
+
+
+def unparsed(df: DataFrame, key: str, shapes: dict[str, str]) -> DataFrame:
+    """``(key, column_name, document)`` for JSON text columns that do not parse as their shape."""
+    frames = []
+    for column, shape in shapes.items():
+        broken = F.col(column).isNotNull() & F.from_json(F.col(column), shape, {"mode": "PERMISSIVE"}).isNull()
+        frames.append(df.filter(broken).select(key, F.lit(column).alias("column_name"), F.col(column).alias("document")))
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out

@@ -106,9 +106,9 @@ def _write(df: DataFrame, name: str, path: str) -> None:
         # a rebalance splits a busy month over tasks and joins quiet ones, by their real sizes
         at = _BY_MONTH[name]
         out = out.withColumn("month", month_text(F.col(at))).hint("rebalance", "month")
-        out.sortWithinPartitions("month", at).write.partitionBy("month").parquet(path)
+        out.sortWithinPartitions("month", at).write.mode("overwrite").partitionBy("month").parquet(path)
     else:
-        out.write.parquet(path)
+        out.write.mode("overwrite").parquet(path)
 
 
 _MANIFEST = "version int, table string, written_in int"
@@ -120,12 +120,17 @@ def write_snapshot(tables: Mapping[str, DataFrame], root: str, version: int) ->
     Tables not given are carried over from the version before, so a job writes only
     what it changed. Readers follow the manifest, which is appended in one file
     after every table is complete: a job that dies half-way leaves the previous
-    version current.
+    version current, and its retry writes over what it left. A version that is not
+    above the current one raises ``ValueError``.
     """
     spark = next(iter(tables.values())).sparkSession
+    carried = _placement(spark, root)
+    current = current_version(spark, root)
+    if current is not None and version <= current:
+        raise ValueError(f"version {version} is not above the current version {current}")
     for name, df in tables.items():
         _write(df, name, f"{root}/v{version:06d}/{name}")
-    placed = {**_placement(spark, root), **dict.fromkeys(tables, version)}
+    placed = {**carried, **dict.fromkeys(tables, version)}
     rows = [(version, name, written) for name, written in placed.items()]
     spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 

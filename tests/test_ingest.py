@@ -119,3 +119,22 @@ def test_whole_load_reports_changes(spark, tables):
     assert after.inventory.filter("film_id = 50").groupBy("store_id").count().count() == 3
     again, second = ingest.load_catalog(after, offered, AS_OF)
     assert all(r.delta == 0 for r in second.collect() if not r.label.startswith("Staging"))
+
+
+def test_broken_documents_are_listed(spark):
+    from kiosklake.sources.landing import unparsed
+    from kiosklake.sources.schemas import CAST_DOC, CREW_DOC
+
+    rows = [(1, "[]", "[{"), (2, None, None), (3, "no json", "[]")]
+    landed = spark.createDataFrame(rows, "film_id long, film_cast string, film_crew string")
+    got = unparsed(landed, "film_id", {"film_cast": CAST_DOC, "film_crew": CREW_DOC}).collect()
+    assert sorted((r.film_id, r.column_name, r.document) for r in got) == [(1, "film_crew", "[{"), (3, "film_cast", "no json")]
+
+
+def test_count_delta_names_labels_of_either_side(spark):
+    from kiosklake.operators.maintain import count_delta
+
+    before, after = ([("a", 2), ("b", 1)], [("b", 4), ("c", 3)])
+    frames = [spark.createDataFrame(x, "label string, n long") for x in (before, after)]
+    got = sorted(tuple(r) for r in count_delta(*frames).collect())
+    assert got == [("a", 2, 0, -2), ("b", 1, 4, 3), ("c", 0, 3, 3)]

@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from kiosklake.plans import customers, jobs, stock
+from kiosklake.plans import customers, jobs, stock, stores
 from kiosklake.sources.tables import current_version, read_snapshot, write_snapshot
 from tests.conftest import AS_OF, dt, money
 
@@ -119,6 +120,39 @@ def test_pairing_uses_each_disc_and_customer_once(tables):
     assert sorted(rows(stock.store_pool(tables), "store_id", "customer_id"))[:2] == [(1, 1), (1, 2)]
 
 
+def test_batches_leave_the_rental_stamp(tables):
+    """A batch changes a rental's period alone; the single return and the lost discs' job date it."""
+    def stamps(after):
+        return {r.rental_id: r.last_update for r in after.rental.collect()}
+
+    before = stamps(tables)
+    returned = jobs.complete_rentals(tables, jobs.plan_returns(tables, AS_OF, completion_pct=100.0, skip_pct=0.0), AS_OF)
+    assert returned.rows["completed"].count() > 0 and stamps(returned.tables) == before
+    assert stamps(jobs.process_lost_rentals(tables, AS_OF).tables) == before
+    order = [r.rental_id for r in stores.recent_activity(tables, "2024-01-01", k=9).collect()]
+    assert [r.rental_id for r in stores.recent_activity(returned.tables, "2024-01-01", k=9).collect()] == order
+    assert stamps(jobs.return_rentals(tables, AS_OF).tables) != before
+    assert stamps(jobs.process_lost_inventory(tables, AS_OF).tables) != before
+
+
+def test_nightly_log_plan_reads_each_table_few_times(tables):
+    log = jobs.nightly_maintenance(tables, AS_OF).tables.customer_status_log
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") < 15
+
+
+def test_snapshot_retry_and_old_versions(spark, tables, tmp_path):
+    root = str(tmp_path / "snap")
+    write_snapshot({"payment": tables.payment}, root, 1)
+    # what a job that died half-way left behind
+    tables.payment.limit(1).write.parquet(f"{root}/v000002/payment")
+    write_snapshot({"payment": tables.payment}, root, 2)
+    assert read_snapshot(spark, root).payment.count() == tables.payment.count()
+    for version in (1, 2):
+        with pytest.raises(ValueError):
+            write_snapshot({"payment": tables.payment}, root, version)
+
+
 def test_snapshots_carry_unchanged_tables(spark, tables, tmp_path):
     root = str(tmp_path / "snap")
     kept = {n: tables[n] for n in ("rental", "payment", "inventory", "film", "pricing", "customer")}

@@ -131,6 +131,20 @@ def test_search_needs_every_term_in_whole_text(tables):
     assert rows(films.search_films(tables.film, ["star"]), "film_id") == [(1,), (4,)]
     assert rows(films.search_films(tables.film, ["island"]), "film_id") == [(2,), (1,)]
     assert rows(films.search_films(tables.film, ["sta"]), "film_id") == []
+    # stopwords are dropped, compounds cut; nothing but stopwords finds nothing
+    assert rows(films.search_films(tables.film, ["the", "star"]), "film_id") == [(1,), (4,)]
+    assert rows(films.search_films(tables.film, ["Star-Night"]), "film_id") == [(1,)]
+    assert rows(films.search_films(tables.film, ["the", "!"]), "film_id") == []
+
+
+def test_namesake_genres_count_a_film_once(tables, spark):
+    twice = tables.film_genre.unionByName(spark.createDataFrame([(7, "Drama")], tables.film_genre.schema))
+    both = tables.film.withColumn("genre_ids", F.when(F.col("film_id") == 1, F.array(F.lit(1), F.lit(7))).otherwise(F.col("genre_ids")))
+    rental = tables.rental
+    got = {r.genre: r for r in showcase.genre_rentals(tables.replaced(film_genre=twice, film=both), rental).collect()}
+    once = {r.genre: r for r in showcase.genre_rentals(tables, rental).collect()}
+    assert got["Drama"].films_in_genre == once["Drama"].films_in_genre == 1
+    assert got["Drama"].total_rentals == 2 * once["Drama"].total_rentals
 
 
 def test_catalog_pages(tables):
