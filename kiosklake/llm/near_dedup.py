@@ -24,6 +24,9 @@ SHINGLE, SIMILAR = 5, 0.8
 #: 0.8 they share no sketch with a chance of about 1 in 5,000, and less above it.
 SHORT, LONG = (3, 16, 0, 30), (5, 24, 24, 1 << 62)
 
+#: Cells of a parity sketch: a bit tells whether a cell got an odd number of labelled shingles.
+CELLS = 2048
+
 _MEMBER = np.zeros(256, bool)
 _MEMBER[128:] = True
 _MEMBER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
@@ -94,12 +97,31 @@ def _sketches(labels: np.ndarray, bounds: np.ndarray, keep: int, number: int, ki
     return out
 
 
+def _parities(labels: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """CELLS bits per text, as signed longs: which cells got an odd number of its labels.
+
+    Cells in which two texts' bits differ hold a label that one of them lacks, so their
+    number is a lower bound of the symmetric difference.
+    """
+    texts = len(bounds) - 1
+    out = np.zeros((texts, CELLS // 64), np.int64)
+    cells = (labels >> np.uint64(20)) % np.uint64(CELLS)
+    for at in range(0, texts, 256):
+        end = min(at + 256, texts)
+        owner = np.repeat(np.arange(end - at), np.diff(bounds[at : end + 1]))
+        some = cells[bounds[at] : bounds[end]].astype(np.int64)
+        odd = np.bincount(owner * CELLS + some, minlength=(end - at) * CELLS) & 1
+        out[at:end] = np.packbits(odd.astype(bool).reshape(end - at, CELLS), axis=1).view(np.int64)
+    return out
+
+
 def _describe(column: pa.Array) -> list[pa.Array]:
-    """Per text: two hashes of its words, its number of shingles, its sketches."""
+    """Per text: two hashes of its words, its number of shingles, its sketches, its parities."""
     keys: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
     sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
     flat: list[np.ndarray] = [np.zeros(0, np.int64)]
     lengths: list[np.ndarray] = [np.zeros(0, np.int64)]
+    parities: list[np.ndarray] = [np.zeros((0, CELLS // 64), np.int64)]
     for _, _, data, offsets in chunks(_lower(column)):
         hashes, bounds, digest = _shingles(data, offsets)
         counts = np.diff(bounds)
@@ -109,6 +131,7 @@ def _describe(column: pa.Array) -> list[pa.Array]:
         keys.append(np.vstack([mix(digest), mix(total[bounds[1:]] - total[bounds[:-1]])]).view(np.int64))
         sizes.append(counts)
         labels = _labelled(hashes, bounds)
+        parities.append(_parities(labels, bounds))
         per_text: list[list[np.ndarray]] = [[] for _ in counts]
         for kind, (keep, number, low, high) in enumerate((SHORT, LONG)):
             fits = np.flatnonzero((counts >= max(low, 1)) & (counts <= high))
@@ -122,7 +145,9 @@ def _describe(column: pa.Array) -> list[pa.Array]:
     bounds32 = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int32)
     both = np.concatenate(keys, 1)
     lists = pa.ListArray.from_arrays(pa.array(bounds32), pa.array(np.concatenate(flat)))
-    return [pa.array(both[0]), pa.array(both[1]), pa.array(np.concatenate(sizes)), lists]
+    odd = np.concatenate(parities)
+    odd_lists = pa.ListArray.from_arrays(pa.array(np.arange(0, odd.size + 1, CELLS // 64, dtype=np.int32)), pa.array(odd.ravel()))
+    return [pa.array(both[0]), pa.array(both[1]), pa.array(np.concatenate(sizes)), lists, odd_lists]
 
 
 # ---------------------------------------------------------------- alignment
@@ -218,13 +243,20 @@ _LONGEST = 1 / SIMILAR + 1e-9
 
 
 def _pairs_across(open_members: DataFrame) -> DataFrame:
-    """Pairs of bucket mates of different components that their distances to the pivot allow."""
-    x = open_members.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root", "low", "high")])
-    y = open_members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root", "low", "high")])
+    """Pairs of bucket mates of different components that may be similar: neither their distances
+    to the pivot nor their parities rule it out."""
+    fields = ("node", "n", "root", "low", "high", "odd")
+    x = open_members.select("key", *[F.col(c).alias(f"{c}_a") for c in fields])
+    y = open_members.select("key", *[F.col(c).alias(f"{c}_b") for c in fields])
     far = 1 - SIMILAR + 1e-9
     near = (F.col("low_a") - F.col("high_b") <= far) & (F.col("low_b") - F.col("high_a") <= far)
     alike = F.greatest("n_a", "n_b") <= F.least("n_a", "n_b") * _LONGEST
-    met = x.join(y, "key").filter((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & alike & near)
+    bits = F.zip_with("odd_a", "odd_b", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    apart = F.aggregate(bits, F.lit(0), lambda n, bit: n + bit)
+    # similarity SIMILAR leaves a symmetric difference of at most this
+    close = apart <= (F.col("n_a") + F.col("n_b")) * ((1 - SIMILAR) / (1 + SIMILAR)) + 1e-6
+    other = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    met = x.join(y, "key").filter(other & alike & near & close)
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
@@ -234,19 +266,22 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     described = materialize(map_texts(
         held, _describe,
-        {"k1": T.LongType(), "k2": T.LongType(), "n": T.LongType(), "sketches": T.ArrayType(T.LongType())},
+        {"k1": T.LongType(), "k2": T.LongType(), "n": T.LongType(), "sketches": T.ArrayType(T.LongType()),
+         "odd": T.ArrayType(T.LongType())},
         keep=["doc_id", "h"],
     ), "described")
     worded = described.filter("n > 0")
     # one node for all copies of a text, with one of its rows to take the text from
     nodes = materialize(
         worded.groupBy("k1", "k2", "n").agg(
-            F.min(F.struct("doc_id", "h")).alias("row"), F.first("sketches").alias("sketches")
+            F.min(F.struct("doc_id", "h")).alias("row"), F.first("sketches").alias("sketches"), F.first("odd").alias("odd")
         ).withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     entries = nodes.select("node", "n", F.explode("sketches").alias("key"))
-    shared = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot"), F.count(F.lit(1)).alias("_size"))
+    # another pivot in each bucket, so that members meet many
+    lot = F.struct(F.xxhash64("key", "node"), "node", "n")
+    shared = entries.groupBy("key").agg(F.min(lot).alias("pivot"), F.count(F.lit(1)).alias("_size"))
     buckets = shared.filter("_size > 1").select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
     members = materialize(entries.join(buckets, "key"), "bucket-members")
     wanted = members.select("node").distinct().join(nodes.select("node", "row"), "node")
@@ -270,7 +305,8 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     split = placed.groupBy("key").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).filter("_x <> _y").select("key")
     apart = 1 - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")
     own = F.col("node") == F.col("pivot")
-    known = placed.join(split, "key", "left_semi").join(
+    unsettled = placed.join(split, "key", "left_semi").join(nodes.select("node", "odd"), "node")
+    known = unsettled.join(
         near.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "low", "high"), ["pivot", "node"], "left"
     ).withColumns({
         "low": F.when(own, 0.0).otherwise(F.coalesce("low", apart)), "high": F.when(own, 0.0).otherwise(F.coalesce("high", F.lit(1.0))),
@@ -292,8 +328,8 @@ def classify(docs: DataFrame) -> DataFrame:
     alignment of similarity 0.8 or more, directly or through others, share a class; its id
     is the least ``doc_id`` in it. Copies of one text are one node. Each member of a bucket
     is aligned with the bucket's pivot; members left in different components are aligned
-    with each other unless their distances to the pivot rule a link out (the distance is a
-    metric), so no pair within the candidates is lost.
+    with each other unless a link is ruled out by their distances to the pivot (the distance
+    is a metric) or by their parity sketches, so no pair within the candidates is lost.
 
     A text without a word, null and empty ones included, is in no class: its id is its own
     ``doc_id``. Null ids take part; a class of null ids alone has a null id. Repeated rows

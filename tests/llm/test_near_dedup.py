@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given as forall, settings, strategies as st
 
@@ -76,6 +77,17 @@ def test_classes_against_all_pairs(spark, seed):
     assert kept == sorted(set(want))
 
 
+def test_parities_bound_the_difference():
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**63, 900).astype(np.uint64)
+    for changed in (0, 1, 40, 300):
+        other = base.copy()
+        other[:changed] = draw.integers(0, 2**63, changed).astype(np.uint64)
+        both = nd._parities(np.concatenate([base, other]), np.array([0, 900, 1800])).view(np.uint64)
+        apart = sum(int(x).bit_count() for x in both[0] ^ both[1])
+        assert apart <= 2 * changed and apart >= 1.5 * changed * (changed < 100)
+
+
 def test_order_counts():
     """The same shingles in another order are no near copy."""
     draw = random.Random(5)
