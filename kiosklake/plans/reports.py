@@ -9,6 +9,7 @@ from kiosklake.functions.numbers import MONEY_SUM, half_even_int, ratio
 from kiosklake.functions.pricing import daily_rate, price, replacement_cost
 from kiosklake.operators.availability import IN_CIRCULATION, with_availability
 from kiosklake.operators.geojoin import count_within_radius
+from kiosklake.operators.membership import only
 from kiosklake.plans.showcase import banded, with_share
 from kiosklake.plans.views import disc_films
 from kiosklake.session import materialize
@@ -18,26 +19,32 @@ from kiosklake.sources.tables import Tables
 NEARBY_M = 25_000.0
 
 
-def customer_balance(t: Tables, as_of) -> DataFrame:
-    """Per customer: payments on rentals begun by ``as_of``, less payments made by then."""
+def customer_balance(t: Tables, as_of, customer_id=None) -> DataFrame:
+    """Per customer, or for one: payments on rentals begun by ``as_of``, less payments made by then."""
     at = periods.moment(as_of)
-    fees_by_rental = t.payment.groupBy("rental_id").agg(F.sum("amount").cast(MONEY_SUM).alias("fee"))
+    customers = only(t.customer, "customer_id", customer_id).select("customer_id")
+    rental = only(t.rental, "customer_id", customer_id)
+    payment = only(t.payment, "customer_id", customer_id)
+    bills = t.payment
+    if customer_id is not None:
+        # others may have paid for the customer's rentals
+        bills = bills.join(rental.select("rental_id"), "rental_id", "left_semi")
+    fees_by_rental = bills.groupBy("rental_id").agg(F.sum("amount").cast(MONEY_SUM).alias("fee"))
     fees = (
-        t.rental.filter(F.col("period_start") <= at)
+        rental.filter(F.col("period_start") <= at)
         .select("rental_id", "customer_id")
         .join(fees_by_rental, "rental_id")
         .groupBy("customer_id")
         .agg(F.sum("fee").cast(MONEY_SUM).alias("fees"))
     )
     paid = (
-        t.payment.filter(F.col("payment_date") <= at)
+        payment.filter(F.col("payment_date") <= at)
         .groupBy("customer_id")
         .agg(F.sum("amount").cast(MONEY_SUM).alias("paid"))
     )
     zero = F.lit(0).cast(MONEY_SUM)
     return (
-        t.customer.select("customer_id")
-        .join(fees, "customer_id", "left")
+        customers.join(fees, "customer_id", "left")
         .join(paid, "customer_id", "left")
         .select(
             "customer_id",
@@ -220,18 +227,18 @@ def overdue_in_circulation(t: Tables, as_of, overdue_days: int = 7) -> DataFrame
     )
 
 
-def film_prices(t: Tables, as_of) -> DataFrame:
-    """Daily rate and replacement cost of every film."""
-    return t.film.select(
+def film_prices(t: Tables, as_of, film_id=None) -> DataFrame:
+    """Daily rate and replacement cost of every film, or of one."""
+    return only(t.film, "film_id", film_id).select(
         "film_id",
         daily_rate(t.pricing).alias("daily_rate"),
         replacement_cost(t.pricing, F.col("release_date"), as_of).alias("replacement_cost"),
     )
 
 
-def disc_prices(t: Tables, as_of) -> DataFrame:
-    """Replacement cost by disc."""
-    return disc_films(t).join(film_prices(t, as_of), "film_id").select("inventory_id", "replacement_cost")
+def disc_prices(t: Tables, as_of, inventory_id=None) -> DataFrame:
+    """Replacement cost by disc, of all or of one."""
+    return only(disc_films(t), "inventory_id", inventory_id).join(film_prices(t, as_of), "film_id").select("inventory_id", "replacement_cost")
 
 
 def price_of(t: Tables, key: str) -> DataFrame:
