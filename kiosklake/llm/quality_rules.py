@@ -70,11 +70,11 @@ def _word_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SEPARATORS)) != "")
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the counts of each whole text as one struct column ``_m``; a null text counts as empty."""
+def counts(text: Column) -> Column:
+    """The counts of a whole text as one struct; a null text counts as empty."""
     stop = sorted({form for w in STOP_WORDS.split() for form in (w, w[0].upper() + w[1:], w.upper())})
-    whole = F.coalesce(F.col(text), F.lit(""))
-    counts = let(whole, lambda t: let(words(t), lambda w: let(_word_lines(t), lambda lines: F.struct(
+    whole = F.coalesce(text, F.lit(""))
+    return let(whole, lambda t: let(words(t), lambda w: let(_word_lines(t), lambda lines: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
         F.char_length(F.translate(t, SEPARATORS, "")).cast("bigint").alias("word_chars"),
         (F.char_length(t) - F.char_length(F.translate(t, _SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
@@ -83,7 +83,6 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         _repeated_words(w).cast("bigint").alias("n_repeat_words"),
         F.size(F.filter(w, lambda x: x.isin(stop))).cast("bigint").alias("n_stop_words"),
     ))))
-    return docs.withColumn("_m", counts)
 
 
 def _measures(m: Column) -> dict[str, Column]:
@@ -107,6 +106,25 @@ def _broken(rule: Rule, value: Column) -> Column:
     return F.when(outside, F.lit(rule.name))
 
 
+def judge(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Counts and verdict of a text as one struct (see ``apply_rules``).
+
+    One expression that works out the counts once: a filter on a field of it is one
+    evaluation, wherever the optimizer moves the filter.
+    """
+    def verdict(m: Column) -> Column:
+        values = _measures(m)
+        failed = F.array_compact(F.array(*[_broken(r, values[r.measure]) for r in rules]))
+        base = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
+        shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        return let(failed, lambda f: F.struct(
+            *[m[c].alias(c) for c in shown], base.alias("base_failed"), f.alias("failed"),
+            (~base & (F.size(f) == 0)).alias("kept"),
+        ))
+
+    return let(counts(text), verdict)
+
+
 def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """Every row with its counts and verdict in one struct column ``quality``.
 
@@ -118,20 +136,9 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "t
     verdicts; repeated rows and null ids stay as they are; other columns pass through (one
     named ``quality`` is replaced). An empty table gives an empty table.
     """
-    m = F.col("_m")
-    values = _measures(m)
-    failed = F.array_compact(F.array(*[_broken(r, values[r.measure]) for r in rules]))
-    base = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
-    shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return measure(docs, text).withColumn("quality", F.struct(
-        *[m[c].alias(c) for c in shown],
-        base.alias("base_failed"),
-        failed.alias("failed"),
-        (~base & (F.size(failed) == 0)).alias("kept"),
-    )).drop("_m")
+    return docs.withColumn("quality", judge(F.col(text), rules))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Only the rows that pass every rule, with the columns they came with."""
-    held = docs.select(F.struct("*").alias("_row"), F.col("text").alias("text"))
-    return apply_rules(held, rules).filter("quality.kept").select("_row.*")
+    return docs.filter(judge(F.col("text"), rules)["kept"])
