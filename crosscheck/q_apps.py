@@ -47,9 +47,9 @@ register("s4_catalog_top_rated", lambda t: films.catalog_top_rated(t, 7.5), sql(
     popularity::double AS popularity, cast_count
     FROM ({V_CATALOG}) WHERE vote_average >= 7.5::float AND vote_count >= 100
     ORDER BY vote_average DESC NULLS FIRST, film_id LIMIT 25"""))
-register("s4_catalog_big_budget", lambda t: films.catalog_big_budget(t, NOW, 50_000_000, 10), sql(f"""
+register("s4_catalog_big_budget", lambda t: films.catalog_big_budget(t, NOW, 1_000_000, 6), sql(f"""
     SELECT film_id, title, genres, release_date::varchar AS release_date, budget, revenue, vote_average::double AS vote_average,
-    runtime FROM ({V_CATALOG}) WHERE budget >= 50000000 AND release_date >= {ago(10, 'YEAR')}
+    runtime FROM ({V_CATALOG}) WHERE budget >= 1000000 AND release_date >= {ago(6, 'YEAR')}
     ORDER BY revenue DESC NULLS LAST, film_id LIMIT 25"""))
 
 register("s5_films_in_genre", lambda t: films.films_in_genre(t, 7), sql(f"""
@@ -202,9 +202,9 @@ register("s27_dashboard", stores.dashboard,
          sql(f"SELECT store_id, status_code, status_description, disc_count, unique_films FROM ({V_STOCK})"))
 register("s27_compare_stores", stores.compare_stores,
          sql(f"SELECT store_id, street_name, status_code, disc_count, unique_films FROM ({V_STOCK})"))
-register("s27_low_stock", lambda t: stores.low_stock(t, 100_000), sql(f"""
+register("s27_low_stock", lambda t: stores.low_stock(t, 441), sql(f"""
     SELECT store_id, street_name, zip_code, disc_count, unique_films FROM ({V_STOCK})
-    WHERE status_code = 'in_circulation' AND unique_films < 100000 ORDER BY unique_films, store_id LIMIT 20"""))
+    WHERE status_code = 'in_circulation' AND unique_films < 441 ORDER BY unique_films, store_id LIMIT 20"""))
 register("s28_store_shelf", stores.store_shelf, sql(f"""
     SELECT i.store_id, f.film_id, f.title, f.rating, f.popularity::double AS popularity, count(*) AS total_copies,
     count(*) FILTER (i.is_available) AS available FROM d_disc i JOIN d_film f ON i.film_id = f.film_id

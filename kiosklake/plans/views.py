@@ -135,7 +135,7 @@ def store_inventory_summary(t: Tables) -> DataFrame:
     )
     return (
         counted.join(t.store.select("store_id", "street_name", "zip_code"), "store_id")
-        .join(F.broadcast(status), "status_id")  # four fixed rows
+        .join(status, "status_id")
         .select(
             "store_id", "street_name", "zip_code", "status_code", "status_description",
             "disc_count", "unique_films",
