@@ -67,7 +67,7 @@ def radius_join(
     point_key: str,
     point_at: tuple[str, str],
     distance: str = "distance_m",
-    rows_per_part: int = 200_000,
+    rows_per_part: int = 2_000,
 ) -> DataFrame:
     """Pairs of a site and a point at most ``radius_m`` apart, with the distance.
 
@@ -80,7 +80,8 @@ def radius_join(
     near = _spread(near, site_at, grid, radius_m).drop("_columns")
     placed = with_vector(_in_cells(_located(points, point_at), point_at, grid), point_at, "_v")
     # A hot cell becomes site parts x point parts; each side is copied to the
-    # other side's parts, so one task sees at most rows_per_part rows of each.
+    # other side's parts, so a part holds about rows_per_part rows of each and their
+    # product of pairs at most.
     site_parts = _hot_cells(near, "_sp", rows_per_part, radius_m)
     point_parts = _hot_cells(placed, "_pp", rows_per_part, radius_m)
 

@@ -11,7 +11,7 @@ from kiosklake.operators.geojoin import radius_join
 from kiosklake.operators.membership import only
 from kiosklake.operators.ranking import shuffled_rank, top_per
 from kiosklake.plans.reports import NEARBY_M
-from kiosklake.plans.views import customer_rentals, disc_films
+from kiosklake.plans.views import customer_rentals, disc_films, with_partners
 from kiosklake.sources.tables import Tables
 
 
@@ -82,10 +82,18 @@ def _newest_first(*tail: str) -> list:
     return [F.col("rental_date").desc(), F.col("rental_id").desc(), *[F.col(c).desc_nulls_first() for c in tail]]
 
 
+def _newest_rentals(t: Tables, rental: DataFrame, by: list[str], k: int) -> Tables:
+    """The tables with each group's newest ``k`` rentals alone: the newest ``k`` rows come from these."""
+    shown = with_partners(t, rental).select(*t.rental.columns)
+    order = [F.col("period_start").desc(), F.col("rental_id").desc()]
+    return t.replaced(rental=top_per(shown, by, order, k))
+
+
 def account_history(t: Tables, as_of, days: int, customer_id=None, k: int = 20) -> DataFrame:
     """Newest ``k`` rentals of a customer within the window."""
     recent = rented_since(t, periods.shift(as_of, days=-days))
-    rows = only(customer_rentals(t.replaced(rental=recent)), "customer_id", customer_id)
+    recent = only(recent, "customer_id", customer_id)
+    rows = customer_rentals(_newest_rentals(t, recent, ["customer_id"], k))
     newest = top_per(rows, ["customer_id"], _newest_first("payment_date", "amount"), k)
     return newest.select(
         "customer_id", "film_title", "rental_date", "return_date", "amount", "rental_store_id", "rating"
@@ -126,7 +134,8 @@ def account_spending(t: Tables, customer_id=None) -> DataFrame:
 
 def account_store_history(t: Tables, customer_id=None, store_id=None, k: int = 20) -> DataFrame:
     """Newest ``k`` rentals of a customer at one renting store."""
-    rows = only(only(customer_rentals(t), "customer_id", customer_id), "rental_store_id", store_id)
+    rental = only(only(t.rental, "customer_id", customer_id), "store_id", store_id)
+    rows = customer_rentals(_newest_rentals(t, rental, ["customer_id", "store_id"], k))
     keys = ["customer_id", "rental_store_id"]
     newest = top_per(rows, keys, _newest_first("payment_date", "amount"), k)
     return newest.select(*keys, "film_title", "rental_date", "return_date", "amount")

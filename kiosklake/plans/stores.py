@@ -12,7 +12,7 @@ from kiosklake.operators.membership import only
 from kiosklake.operators.ranking import top_per
 from kiosklake.plans.customers import payments_per_rental, rented_since
 from kiosklake.plans.showcase import rentals_per_disc
-from kiosklake.plans.views import disc_films, overdue_rentals, store_inventory_summary
+from kiosklake.plans.views import disc_films, overdue_rentals, store_inventory_summary, with_partners
 from kiosklake.sources.tables import Tables
 
 # Fixed value: status id of a disc taken out of use.
@@ -132,8 +132,11 @@ def store_shelf(t: Tables, store_id=None, k: int = 50) -> DataFrame:
 
 
 def longest_overdue(t: Tables, as_of, k: int = 50) -> DataFrame:
-    order = [F.col("days_outstanding").desc(), F.col("rental_id")]
-    return top_per(overdue_rentals(t, as_of), [], order, k).select(
+    """The ``k`` oldest open rentals; only these meet the names."""
+    late = with_partners(t, t.rental.filter(periods.is_open(F.col("period_end"))))
+    late = late.join(t.store.select("store_id"), "store_id", "left_semi").select(*t.rental.columns)
+    oldest = top_per(late, [], [F.col("period_start"), F.col("rental_id")], k)
+    return overdue_rentals(t.replaced(rental=oldest), as_of).orderBy(F.col("days_outstanding").desc(), "rental_id").select(
         "rental_id", "full_name", "email", "film_title", "days_outstanding", "store_address", "store_zip"
     )
 

@@ -68,6 +68,14 @@ def film_catalog(t: Tables) -> DataFrame:
     )
 
 
+def with_partners(t: Tables, rental: DataFrame) -> DataFrame:
+    """Rentals whose customer, disc and film are known: those that the joined views show."""
+    discs = disc_films(t).join(t.film.select("film_id"), "film_id", "left_semi")
+    return rental.join(t.customer.select("customer_id"), "customer_id", "left_semi").join(
+        discs, "inventory_id", "left_semi"
+    )
+
+
 def overdue_rentals(t: Tables, as_of, days: int = 5) -> DataFrame:
     """Open rentals that started more than ``days`` days ago."""
     now = periods.moment(as_of)
