@@ -89,8 +89,8 @@ def test_toxicity_learns_and_edges(spark, edge, empty):
         bad = i % 3 == 0
         if bad:
             said.insert(draw.randrange(30), draw.choice(["grumpelo", "zorrock"]))
-        if i % 5 == 1:
-            # the same word in a phrase that harmless texts have
+        if not bad and i % 40 == 1:
+            # now and then the same word in a phrase that harmless texts have
             said.insert(draw.randrange(30), "zorrock opera")
         texts.append((i, " ".join(said)))
         labels.append((i, int(bad)))
