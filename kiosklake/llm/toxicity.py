@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import unicodedata
 import zlib
 from dataclasses import dataclass
@@ -17,11 +19,17 @@ MAX_LABELLED, MAX_TERMS, MAX_PHRASES = 8_000, 2_000, 2_000
 #: Candidate terms are word beginnings of these lengths, and whole words up to the last length.
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 LONGEST_WORD = 24
-#: A term's log odds must exceed this, two standard errors below the estimate.
+#: A term's log odds must exceed this: two standard errors below the estimate by its surroundings,
+#: or by the estimate from its texts, if so many texts are toxic ones and chance would hardly deal
+#: them so. That evidence (in nats, a bound on the log of the chance) rests on the term's own texts
+#: and the shares of the labels, so it asks no more of a larger sample.
 LEAST_ODDS = 1.5
+LEAST_TEXTS, LEAST_EVIDENCE = 3, 8.0
 #: A phrase around a term is an exception from so many harmless texts on, if no toxic text has it.
 PHRASE_TEXTS = 3
 ACCEPT = 0.7
+#: Texts of the sample are copies if they share one of so many bands of so many least hashes.
+BANDS, BAND_ROWS = 16, 4
 
 # Characters that look like, or stand for, a Latin letter.
 _LOOKS = {
@@ -61,27 +69,79 @@ def fold(text: str | None) -> str:
     return f" {' '.join(low.translate(_FOLDING).split())} "
 
 
-def _candidates(column: pa.Array) -> list[pa.Array]:
-    """Per text word beginnings and words, and for each a hash of the words around it.
+def _key(folded: str) -> int:
+    return int.from_bytes(hashlib.blake2b(folded.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _sketch(column: pa.Array) -> list[list[int]]:
+    """Per text its key and the hashes of BANDS bands of least 3-word hashes; copies share some band."""
+    draw = np.random.default_rng(7)
+    times, plus = draw.integers(1, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
+    out = []
+    for text in column.to_pylist():
+        folded = fold(text)
+        words = folded.split()
+        grams = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        hashes = np.array([_key(g) for g in grams], np.int64).view(np.uint64)
+        least = np.full(BANDS * BAND_ROWS, np.uint64(2**64 - 1))
+        for at in range(0, len(hashes), 4096):
+            mixed = hashes[at : at + 4096, None] * (times | np.uint64(1)) + plus
+            least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
+        bands = [zlib.crc32(b.tobytes(), k) for k, b in enumerate(least.reshape(BANDS, BAND_ROWS))]
+        out.append([_key(folded), *[b * BANDS + k for k, b in enumerate(bands)]])
+    return out
+
+
+def _copies(sketches: list[list[int]]) -> dict[int, int]:
+    """The group of each text that has copies, by key: texts that share a band, and theirs in turn."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    first: dict[int, int] = {}
+    for key, *bands in sorted(sketches):
+        for band in bands:
+            a, b = top(key), top(first.setdefault(band, key))
+            above[max(a, b)] = min(a, b)
+    return {key: top(key) for key in above if top(key) != key}
+
+
+def _candidates(column: pa.Array, copies: dict[int, int]) -> list[pa.Array]:
+    """Per text word beginnings and words: each with a hash of the words around it (kind 0), and
+    each once with the text's group of copies (kind 1).
 
     Copies of a passage repeat its words in the same surroundings, so counting different
-    surroundings counts independent uses.
+    surroundings counts independent uses. A word always used in one phrase has but one
+    surrounding; counting texts, one for each group of copies, supports it.
     """
     terms: list[str] = []
-    around: list[int] = []
+    kinds: list[int] = []
+    keys: list[int] = []
     bounds = [0]
     for text in column.to_pylist():
-        words = ["", *fold(text).split(), ""]
+        folded = fold(text)
+        words = ["", *folded.split(), ""]
+        own = set()
         for before, word, after in set(zip(words, words[1:], words[2:])):
             place = zlib.crc32(f"{before} {after}".encode())
             found = [f" {word[:n]}" for n in STEM_LENGTHS if n <= len(word)]
             if len(word) <= LONGEST_WORD:
                 found.append(f" {word} ")
             terms += found
-            around += [place] * len(found)
+            keys += [place] * len(found)
+            own.update(found)
+        kinds += [0] * (len(terms) - len(kinds))
+        terms += own
+        kinds += [1] * len(own)
+        key = _key(folded)
+        keys += [copies.get(key, key)] * len(own)
         bounds.append(len(terms))
     offsets = pa.array(bounds, pa.int32())
-    return [pa.ListArray.from_arrays(offsets, pa.array(terms, pa.string())), pa.ListArray.from_arrays(offsets, pa.array(around, pa.int64()))]
+    made = (pa.array(terms, pa.string()), pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()))
+    return [pa.ListArray.from_arrays(offsets, values) for values in made]
 
 
 @dataclass(frozen=True)
@@ -138,11 +198,34 @@ def _weights(column: pa.Array, automaton) -> np.ndarray:
     return out
 
 
+def _evidence(t: Column, c: Column, share: Column) -> Column:
+    """Chernoff's bound, in nats, on the chance that of t + c texts t or more are toxic (or t or
+    fewer, below the share): (t + c) times the divergence of t / (t + c) from ``share``."""
+    n = (t + c).cast("double")
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    return part(t, share) + part(c, 1 - share)
+
+
 def _odds(counts: DataFrame, toxic: int, harmless: int) -> DataFrame:
-    """Log odds of each term with its lower bound, from counts of uses ``t`` and ``c``."""
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    odds = F.log(t / (toxic + 1.0)) - F.log(c / (harmless + 1.0))
-    return counts.withColumn("weight", odds).withColumn("least", odds - 2 * F.sqrt(1 / t + 1 / c))
+    """Log odds of each term, how sure they are, and whether they are enough for the lexicon.
+
+    Counted are surroundings ``t`` and ``c`` of toxic and harmless uses and texts ``toxic_texts``
+    and ``harmless_texts``, one for each group of copies.
+    """
+    def odds(t: Column, c: Column) -> tuple[Column, Column]:
+        at = F.log((t + 0.5) / (toxic + 1.0)) - F.log((c + 0.5) / (harmless + 1.0))
+        return at, at - 2 * F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+
+    by_use, least_by_use = odds(F.col("t"), F.col("c"))
+    t, c = F.col("toxic_texts"), F.col("harmless_texts")
+    by_text, least_by_text = odds(t, c)
+    sure = (t >= LEAST_TEXTS) & (by_text > LEAST_ODDS) & (_evidence(t, c, F.lit(toxic / (toxic + harmless))) >= LEAST_EVIDENCE)
+    often = least_by_use > LEAST_ODDS
+    return counts.withColumns({
+        "weight": F.greatest(F.when(often, by_use), F.when(sure, by_text)),
+        "least": F.greatest(F.when(often, least_by_use), F.when(sure, least_by_text)),
+        "good": often | sure,
+    })
 
 
 def _shortest(found: list[tuple[str, float, float]]) -> list[tuple[str, float]]:
@@ -212,15 +295,25 @@ def train(docs: DataFrame, labels: DataFrame, *, train_on: Column, limit: int =
     usable = labels.filter(train_on & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     share = usable.agg(F.avg("toxic")).first()[0]
 
+    copies = _copies([
+        r["sketch"] for r in map_texts(
+            sample, lambda col: [pa.array(_sketch(col), pa.list_(pa.int64()))], {"sketch": T.ArrayType(T.LongType())}, keep=[]
+        ).collect()
+    ])
     found = map_texts(
-        sample, _candidates, {"terms": T.ArrayType(T.StringType()), "around": T.ArrayType(T.LongType())}, keep=["y"]
+        sample, lambda col: _candidates(col, copies),
+        {"term": T.ArrayType(T.StringType()), "kind": T.ArrayType(T.IntegerType()), "key": T.ArrayType(T.LongType())}, keep=["y"],
     )
-    terms = found.select("y", F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("around").alias("around"))).alias("_t"))
-    used = terms.select("y", "_t.term", "_t.around").groupBy("term", "around").agg(
+    terms = found.select("y", F.explode(F.arrays_zip("term", "kind", "key")).alias("_t"))
+    used = terms.select("y", "_t.*").groupBy("term", "kind", "key").agg(
         F.max("y").alias("t"), F.max(1 - F.col("y")).alias("c")
     )
-    counts = used.groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    good = _odds(counts, toxic, harmless).filter(F.col("least") > LEAST_ODDS)
+    total = lambda y, kind: F.sum(F.when(F.col("kind") == kind, F.col(y)).otherwise(0))
+    counts = used.groupBy("term").agg(
+        total("t", 0).alias("t"), total("c", 0).alias("c"),
+        total("t", 1).alias("toxic_texts"), total("c", 1).alias("harmless_texts"),
+    )
+    good = _odds(counts, toxic, harmless).filter("good")
     best = good.orderBy(F.col("least").desc(), "term").limit(MAX_TERMS).collect()
     lexicon = Lexicon(tuple(_shortest([(r["term"], r["weight"], r["least"]) for r in best])))
 

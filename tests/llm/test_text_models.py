@@ -130,3 +130,55 @@ def test_ranking_edges(edge, empty, spark):
     assert quality_rank.score(empty, model).count() == 0
     kept = quality_rank.keep_good(edge, model)
     assert kept.columns == edge.columns
+
+
+def toxic_rows(spark, make, n=1200):
+    """Labelled rows of which every second is toxic; ``make`` adds words to 40 plain ones."""
+    draw = random.Random(5)
+    words = [f"{a}{b}{c}{d}" for a in "bcdf" for b in "aeio" for c in "lmnrst" for d in ("", "a", "o")]
+    rows = []
+    for i in range(n):
+        said = [draw.choice(words) for _ in range(40)]
+        make(i, i % 2, said, draw)
+        rows.append((i, " ".join(said), i % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return frame.select("doc_id", "text"), frame.select("doc_id", "toxic")
+
+
+def held_out(docs, labels, held):
+    lexicon = toxicity.train(docs, labels, train_on=~held)
+    rows = toxicity.score(docs, lexicon).join(labels, "doc_id").filter(held).select("score", "toxic").collect()
+    hit = [r["score"] >= toxicity.ACCEPT for r in rows]
+    right = sum(h and r["toxic"] == 1 for h, r in zip(hit, rows))
+    return lexicon, right / max(1, sum(r["toxic"] for r in rows)), right / max(1, sum(hit))
+
+
+def test_toxic_words_of_one_phrase_and_rare_ones(spark):
+    def make(i, bad, said, draw):
+        if bad and i % 10 == 1:
+            said[9:9] = "you utter snorvik fool".split()  # always in the same words
+        elif bad and i % 40 == 3:
+            said.insert(draw.randrange(40), "quagbert")  # one toxic text in 20
+        elif bad:
+            said.insert(draw.randrange(40), draw.choice(["grumpelo", "zorrock"]))
+
+    lexicon, recall, precision = held_out(*toxic_rows(spark, make), F.floor(F.col("doc_id") / 10) % 3 == 1)
+    for word in ("snorvik", "quagbert"):
+        assert any(f" {word} ".startswith(t) for t, _ in lexicon.terms), word
+    assert recall > 0.95 and precision > 0.95
+
+
+def test_support_does_not_grow_with_the_sample(spark):
+    for size in (300, 4000):
+        counts = spark.createDataFrame([("rare", 1, 0, 20, 0), ("copied", 1, 0, 1, 0), ("plain", 9, 9, 20, 20)],
+                                       "term string, t long, c long, toxic_texts long, harmless_texts long")
+        assert [r["term"] for r in toxicity._odds(counts, size, size).filter("good").collect()] == ["rare"]
+
+
+def test_copies_count_once():
+    base = [f"w{i}" for i in range(200)]
+    near = [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in range(0, 200, 9)]
+    other = [" ".join(f"v{j}x{i}" for i in range(50)) for j in range(5)]
+    sketches = toxicity._sketch(pa.array([" ".join(base), *near, *other, None]))
+    groups = toxicity._copies(sketches)
+    assert len({groups.get(s[0], s[0]) for s in sketches}) == 1 + 5 + 1
