@@ -6,6 +6,7 @@ import hashlib
 import math
 import unicodedata
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +26,10 @@ LONGEST_WORD = 24
 #: and the shares of the labels, so it asks no more of a larger sample.
 LEAST_ODDS = 1.5
 LEAST_TEXTS, LEAST_EVIDENCE = 3, 8.0
-#: A phrase around a term is an exception from so many harmless texts on, if no toxic text has it.
-PHRASE_TEXTS = 3
+#: A phrase around a term is an exception from so many harmless texts on: if no toxic text has it,
+#: or if its log odds are at most MOST_ODDS and its texts are less toxic than the word's texts are,
+#: with so much evidence. So many phrases of all words are weighed in a pass over the sample.
+PHRASE_TEXTS, MOST_ODDS, PHRASE_EVIDENCE, MAX_WEIGHED = 3, 0.5, 4.0, 20_000
 ACCEPT = 0.7
 #: Texts of the sample are copies if they share one of so many bands of so many least hashes.
 BANDS, BAND_ROWS = 16, 4
@@ -106,12 +109,55 @@ def _copies(sketches: list[list[int]]) -> dict[int, int]:
         for band in bands:
             a, b = top(key), top(first.setdefault(band, key))
             above[max(a, b)] = min(a, b)
-    return {key: top(key) for key in above if top(key) != key}
+    many = {top(key) for key in above if top(key) != key} | {key for key, n in Counter(k for k, *_ in sketches).items() if n > 1}
+    return {key: top(key) for key in above if top(key) in many}
 
 
-def _candidates(column: pa.Array, copies: dict[int, int]) -> list[pa.Array]:
+def _pairs(column: pa.Array, copies: dict[int, int]) -> list[pa.Array]:
+    """Per text its words and pairs of words, and its group of copies (null without copies)."""
+    found: list[list[str]] = []
+    groups: list[int | None] = []
+    for text in column.to_pylist():
+        folded = fold(text)
+        words = folded.split()
+        found.append([f" {p} " for p in {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))}])
+        groups.append(copies.get(_key(folded)))
+    return [pa.array(found, pa.list_(pa.string())), pa.array(groups, pa.int64())]
+
+
+def _harmless_phrases(sample: DataFrame, copies: dict[int, int], share: float) -> frozenset[str]:
+    """Phrases of two words, of any words of the sample that might be terms, that are exceptions by their odds.
+
+    A word's phrase counts if it is held against the word: its texts are toxic much less often
+    than all texts of the word. A word without so many toxic texts as a term needs is left out.
+    """
+    found = map_texts(sample, lambda col: _pairs(col, copies), {"phrase": T.ArrayType(T.StringType()), "group": T.LongType()}, keep=["y"])
+    each = found.select("y", "group", F.explode("phrase").alias("phrase"))
+    once = lambda n: F.when(F.col("group").isNull(), n).otherwise(F.least(n, F.lit(1)))
+    counts = each.groupBy("phrase", "group").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).groupBy(
+        "phrase"
+    ).agg(F.sum(once(F.col("t"))).alias("t"), F.sum(once(F.col("c"))).alias("c"))
+    least = max(LEAST_TEXTS, math.ceil(LEAST_EVIDENCE / -math.log(share)))
+    words_in = F.split(F.trim("phrase"), " ")
+    t, c = F.col("t"), F.col("c")
+    alone = F.size(words_in) == 1
+    odds = F.log((t + 0.5) / (c + 0.5)) - math.log(share / (1 - share))
+    counts = materialize(
+        counts.filter((c >= PHRASE_TEXTS) & F.when(alone, t >= least).otherwise(odds <= MOST_ODDS)).withColumn("words", words_in),
+        "toxic-phrases",
+    )
+    words = counts.filter(F.size("words") == 1).select(F.col("words")[0].alias("word"), (t / (t + c)).alias("_share"))
+    phrases = counts.filter(F.size("words") == 2).withColumn("word", F.explode("words")).join(F.broadcast(words), "word")
+    evidence = _evidence(t, c, F.col("_share"))
+    spared = phrases.filter((t / (t + c) < F.col("_share")) & (evidence >= PHRASE_EVIDENCE))
+    best = spared.groupBy("phrase").agg(F.max(evidence).alias("least")).orderBy(F.col("least").desc(), "phrase")
+    return frozenset(r["phrase"] for r in best.limit(MAX_WEIGHED).collect())
+
+
+def _candidates(column: pa.Array, copies: dict[int, int], spared: frozenset[str] = frozenset()) -> list[pa.Array]:
     """Per text word beginnings and words: each with a hash of the words around it (kind 0), and
-    each once with the text's group of copies (kind 1).
+    each once with the text's group of copies (kind 1; kind 2 and no key for a text without
+    copies). ``apart`` is 1 if the use, or one of the text's uses, is in none of the phrases ``spared``.
 
     Copies of a passage repeat its words in the same surroundings, so counting different
     surroundings counts independent uses. A word always used in one phrase has but one
@@ -120,27 +166,32 @@ def _candidates(column: pa.Array, copies: dict[int, int]) -> list[pa.Array]:
     terms: list[str] = []
     kinds: list[int] = []
     keys: list[int] = []
+    aparts: list[int] = []
     bounds = [0]
     for text in column.to_pylist():
         folded = fold(text)
         words = ["", *folded.split(), ""]
-        own = set()
+        own: dict[str, int] = {}
         for before, word, after in set(zip(words, words[1:], words[2:])):
             place = zlib.crc32(f"{before} {after}".encode())
+            apart = int(f" {before} {word} " not in spared and f" {word} {after} " not in spared)
             found = [f" {word[:n]}" for n in STEM_LENGTHS if n <= len(word)]
             if len(word) <= LONGEST_WORD:
                 found.append(f" {word} ")
             terms += found
             keys += [place] * len(found)
-            own.update(found)
+            aparts += [apart] * len(found)
+            for term in found:
+                own[term] = own.get(term, 0) | apart
         kinds += [0] * (len(terms) - len(kinds))
+        group = copies.get(_key(folded))
         terms += own
-        kinds += [1] * len(own)
-        key = _key(folded)
-        keys += [copies.get(key, key)] * len(own)
+        aparts += own.values()
+        kinds += [2 if group is None else 1] * len(own)
+        keys += [group or 0] * len(own)
         bounds.append(len(terms))
     offsets = pa.array(bounds, pa.int32())
-    made = (pa.array(terms, pa.string()), pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()))
+    made = (pa.array(terms, pa.string()), pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()), pa.array(aparts, pa.int32()))
     return [pa.ListArray.from_arrays(offsets, values) for values in made]
 
 
@@ -274,6 +325,33 @@ def _scale(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float, fl
     return tuple(float(v) for v in w)
 
 
+def _terms(
+    sample: DataFrame, copies: dict[int, int], toxic: int, harmless: int, spared: frozenset[str] = frozenset()
+) -> DataFrame:
+    """The terms that are good enough for the lexicon, by all their uses or by those outside the phrases ``spared``."""
+    parts = {"term": T.StringType(), "kind": T.IntegerType(), "key": T.LongType(), "apart": T.IntegerType()}
+    found = map_texts(sample, lambda col: _candidates(col, copies, spared), {n: T.ArrayType(t) for n, t in parts.items()}, keep=["y"])
+    terms = found.select("y", F.explode(F.arrays_zip(*parts)).alias("_t")).select("y", "_t.*")
+    seen = {"t": F.col("y"), "c": 1 - F.col("y"), "t_apart": F.col("y") * F.col("apart"), "c_apart": (1 - F.col("y")) * F.col("apart")}
+    # texts without copies are added up before they are shuffled; others and surroundings count once
+    used = terms.groupBy("term", "kind", "key").agg(*[F.sum(n).alias(k) for k, n in seen.items()])
+    once = lambda k: F.when(F.col("kind") == 2, F.col(k)).otherwise(F.least(k, F.lit(1)))
+    total = lambda k, kind: F.sum(F.when(kind, once(k)).otherwise(0))
+    counts = used.groupBy("term").agg(
+        *[total(k, F.col("kind") == 0).alias(k) for k in seen], *[total(k, F.col("kind") > 0).alias(f"{k}_texts") for k in seen]
+    )
+    ways = F.array(*[
+        F.struct(*[F.col(k + end).alias(n) for n, k, end in (
+            ("t", f"t{way}", ""), ("c", f"c{way}", ""), ("toxic_texts", f"t{way}", "_texts"), ("harmless_texts", f"c{way}", "_texts")
+        )])
+        for way in ("", "_apart")
+    ])
+    either = counts.select("term", F.explode(ways).alias("_w")).select("term", "_w.*")
+    return _odds(either, toxic, harmless).filter("good").groupBy("term").agg(
+        F.max_by("weight", "least").alias("weight"), F.max("least").alias("least")
+    )
+
+
 def train(docs: DataFrame, labels: DataFrame, *, train_on: Column, limit: int = MAX_LABELLED) -> Lexicon:
     """Learn terms, exception phrases and scale from the labels that ``train_on`` admits.
 
@@ -300,20 +378,9 @@ def train(docs: DataFrame, labels: DataFrame, *, train_on: Column, limit: int =
             sample, lambda col: [pa.array(_sketch(col), pa.list_(pa.int64()))], {"sketch": T.ArrayType(T.LongType())}, keep=[]
         ).collect()
     ])
-    found = map_texts(
-        sample, lambda col: _candidates(col, copies),
-        {"term": T.ArrayType(T.StringType()), "kind": T.ArrayType(T.IntegerType()), "key": T.ArrayType(T.LongType())}, keep=["y"],
-    )
-    terms = found.select("y", F.explode(F.arrays_zip("term", "kind", "key")).alias("_t"))
-    used = terms.select("y", "_t.*").groupBy("term", "kind", "key").agg(
-        F.max("y").alias("t"), F.max(1 - F.col("y")).alias("c")
-    )
-    total = lambda y, kind: F.sum(F.when(F.col("kind") == kind, F.col(y)).otherwise(0))
-    counts = used.groupBy("term").agg(
-        total("t", 0).alias("t"), total("c", 0).alias("c"),
-        total("t", 1).alias("toxic_texts"), total("c", 1).alias("harmless_texts"),
-    )
-    good = _odds(counts, toxic, harmless).filter("good")
+    balance = toxic / (toxic + harmless)
+    spared = _harmless_phrases(sample, copies, balance)
+    good = _terms(sample, copies, toxic, harmless, spared)
     best = good.orderBy(F.col("least").desc(), "term").limit(MAX_TERMS).collect()
     lexicon = Lexicon(tuple(_shortest([(r["term"], r["weight"], r["least"]) for r in best])))
 
@@ -324,8 +391,10 @@ def train(docs: DataFrame, labels: DataFrame, *, train_on: Column, limit: int =
     met = phrases.select("y", F.explode("phrases").alias("phrase")).groupBy("phrase").agg(
         F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")
     )
-    spared = met.filter((F.col("t") == 0) & (F.col("c") >= PHRASE_TEXTS))
-    exceptions = [r["phrase"] for r in spared.orderBy(F.col("c").desc(), "phrase").limit(MAX_PHRASES).collect()]
+    # few phrases meet a term of the lexicon, and of those these are exceptions
+    known = sample.sparkSession.createDataFrame([(p,) for p in sorted(spared)], "phrase string").withColumn("known", F.lit(True))
+    met = met.filter(F.col("c") >= PHRASE_TEXTS).join(known, "phrase", "left").filter((F.col("t") == 0) | F.col("known"))
+    exceptions = [r["phrase"] for r in met.orderBy(F.col("c").desc(), "phrase").limit(MAX_PHRASES).collect()]
     lexicon = Lexicon(lexicon.terms, tuple(sorted(exceptions)))
 
     pairs = map_texts(

@@ -182,3 +182,22 @@ def test_copies_count_once():
     sketches = toxicity._sketch(pa.array([" ".join(base), *near, *other, None]))
     groups = toxicity._copies(sketches)
     assert len({groups.get(s[0], s[0]) for s in sketches}) == 1 + 5 + 1
+
+
+def test_harmless_phrase_of_an_ambiguous_word(spark):
+    draw = random.Random(2)
+    words = [f"{a}{b}{c}" for a in "bcdf" for b in "aeio" for c in "lmnrst"]
+    texts = []
+    for i in range(300):
+        said = [draw.choice(words) for _ in range(30)]
+        bad = i % 3 == 0
+        if bad:
+            said.insert(draw.randrange(30), draw.choice(["grumpelo", "zorrock"]))
+        if i % 5 == 1:
+            # the same word in a phrase that harmless texts have, and toxic ones too
+            said.insert(draw.randrange(30), "zorrock opera")
+        texts.append((i, " ".join(said), int(bad)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    lexicon, recall, precision = held_out(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.col("doc_id") % 4 == 0)
+    assert " zorrock opera " in lexicon.exceptions
+    assert recall > 0.9 and precision > 0.9
