@@ -15,7 +15,7 @@ from kiosklake.llm.common import let, prepare, words
 from kiosklake.session import materialize
 
 #: Samples in a fingerprint, and buckets of the id order per shuffle partition.
-SAMPLES, BUCKETS_PER_PARTITION = 32, 4
+SAMPLES, BUCKETS_PER_PARTITION = 64, 4
 _LOW = 0xFFFFFFFF
 
 

@@ -107,6 +107,24 @@ def test_fingerprints_estimate_generalised_jaccard(spark):
             assert abs(got - jaccard(texts[i], texts[j])) < 0.11, (i, j)
 
 
+def test_production_likeness_against_exact_jaccard(spark):
+    shares = [0.2, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+    texts, exact = [], []
+    for k in range(280):
+        same = round(300 * shares[k % 7])
+        common, rest = [f"c{k}_{i}" for i in range(same)], (300 - same) // 2
+        pair = [" ".join([*common, *(f"{side}{k}_{i}" for i in range(rest))]) for side in "ab"]
+        texts += pair
+        exact.append(jaccard(*pair))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    picks = {r["doc_id"]: r["picks"] for r in fingerprints.fingerprint(frame, ["doc_id"]).collect()}
+    got = [sum(x == y for x, y in zip(picks[2 * k], picks[2 * k + 1])) / len(picks[2 * k]) for k in range(280)]
+    errors = [g - e for g, e in zip(got, exact)]
+    assert math.sqrt(sum(x * x for x in errors) / 280) < 0.065  # about 0.054 expected of 64 samples, 0.076 of 32
+    assert abs(sum(errors) / 280) < 0.015
+    assert max(map(abs, errors)) < 0.25
+
+
 def test_neighbours(spark, edge, empty):
     frame = edge.select("doc_id", "text", "score")
     for got, rows in ((fingerprints.edited_neighbours(frame).collect(), frame.collect()),):
