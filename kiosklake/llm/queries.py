@@ -8,11 +8,13 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import byte_bpe, chat, fingerprints, language_id, mixing, near_dedup, oracles, quality_rank, quality_rules, token_counts, toxicity
+from kiosklake.llm import byte_bpe, chat, fingerprints, language_id, mixing, near_dedup, oracles, quality_rank, quality_rules, sentence_piece, token_counts, toxicity
 from kiosklake.llm.common import fold_of, table
 
 #: The rank file that ops 3 and 5 use; its first free id marks the end of a document.
 RANKS, END_OF_DOCUMENT = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), 50256
+#: The model file of op13.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,4 +117,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "_mix.n_tokens", "_mix.weight", "_mix.epoch", "_mix.block", "_mix.turn")
 
 
+@query("op13_sentence_piece")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentence_piece.encode(table(spark, sf_dir, "documents"), PIECES, keep=["doc_id"])
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    digests = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"))
+    decoded = sentence_piece.decode(digests, PIECES, keep=["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
