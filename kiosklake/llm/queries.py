@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kiosklake.llm import byte_bpe, chat, fingerprints, language_id, mixing, near_dedup, oracles, quality_rank, quality_rules, sentence_piece, token_counts, toxicity
-from kiosklake.llm.common import fold_of, table
+from kiosklake.llm import byte_bpe, chat, fingerprints, hard_negatives, language_id, mixing, near_dedup, oracles, periodic_runs, quality_rank, quality_rules, sentence_piece, token_counts, toxicity
+from kiosklake.llm.common import fold_of, let, table, words
 
 #: The rank file that ops 3 and 5 use; its first free id marks the end of a document.
 RANKS, END_OF_DOCUMENT = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), 50256
@@ -117,6 +117,43 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "_mix.n_tokens", "_mix.weight", "_mix.epoch", "_mix.block", "_mix.turn")
 
 
+@query("op11_hard_negatives", oracles.HARD_NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return hard_negatives.mine(rows, asks=F.col("vec_id") % 100 == 0)
+
+
+def _repeated(text: Column, doc_id: Column) -> Column:
+    """The stated change of a tenth of the texts: from some word on, a few words over and over."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        often = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), often)), F.lit(1), n - a)
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " ")
+
+    changed = let(words(F.coalesce(text, F.lit(""))), lambda w: F.when(F.size(w) > 0, periodic(w)).otherwise(text))
+    return F.when(h % 10 == 0, changed).otherwise(text)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _repeated(F.col("text"), F.col("doc_id")).alias("text"))
+    marked = periodic_runs.mark(docs, keep=["doc_id"]).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[f].cast("string") for f in periodic_runs.RUN.names]), F.lit("\n"))
+    return marked.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_sentence_piece")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentence_piece.encode(table(spark, sf_dir, "documents"), PIECES, keep=["doc_id"])
