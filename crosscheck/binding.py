@@ -15,8 +15,8 @@ from kiosklake.plans.ingest import flatten_credits
 from kiosklake.sources import seeds
 from kiosklake.sources.tables import Tables
 
-# Disc id = film id * DISC_BASE + first store id.
-DISC_BASE = 1_000_000_000
+# Disc id = film id * DISC_BASE + first store id; a film has DISCS of them.
+DISC_BASE, DISCS = 1_000_000_000, 4
 AS_OF = "2001-06-01 00:00:00"
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents "
@@ -169,51 +169,66 @@ def film_crew(g: Tables) -> DataFrame:
     )
 
 
+def _lines(g: Tables) -> DataFrame:
+    """Order lines as (order, film, disc's store): a part has four discs, and a line rents one of them."""
+    p = F.col("l_partkey")
+    stores = g.supplier.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return g.lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"), p.alias("film_id"), (F.col("l_suppkey") % DISCS).alias("copy"),
+        "l_extendedprice",
+    ).withColumn("store_id", (F.col("film_id") * 7 + F.col("copy") * 13) % stores)
+
+
 def inventory(g: Tables) -> DataFrame:
-    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    p, s = F.col("film_id"), F.col("store_id")
     mix = p * 7 + s
-    return g.lineitem.select("l_partkey", "l_suppkey").distinct().select(
+    return _lines(g).select("film_id", "store_id").distinct().select(
         (p * DISC_BASE + s).alias("inventory_id"),
-        p.alias("film_id"),
-        s.alias("store_id"),
+        "film_id",
+        "store_id",
         F.greatest(mix % 20 - 15, F.lit(1)).cast("int").alias("status_id"),
         _hours("1996-01-01", mix % 1500 * 24).alias("circulation_start"),
         _hours("2001-01-01", (p + s) % 120).alias("last_update"),
     )
 
 
-def rental(g: Tables) -> DataFrame:
-    """One rental per order that has a line; its disc is the order's smallest one."""
-    disc = g.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min(F.col("l_partkey") * DISC_BASE + F.col("l_suppkey")).alias("inventory_id")
+def _rented(g: Tables) -> DataFrame:
+    """One row per order, part and disc, with its order; ``rental_id`` is unique."""
+    keys = ["o_orderkey", "film_id", "copy", "store_id"]
+    # dealt by order once, for the grouping and the join alike
+    lines = _lines(g).repartition("o_orderkey").groupBy(*keys).agg(F.min("l_extendedprice").alias("price"))
+    return lines.join(g.orders, "o_orderkey").withColumn(
+        "rental_id", F.col("o_orderkey") * DISC_BASE + F.col("film_id") * DISCS + F.col("copy")
     )
+
+
+def rental(g: Tables) -> DataFrame:
+    """One rental per order line; one in eight of the lines of orders with status O is still out."""
     k, start = F.col("o_orderkey"), F.col("o_orderdate")
-    end = F.when(
-        F.col("o_orderstatus") != "O", start + F.make_dt_interval(hours=(k % 62 + 10).cast("int"))
-    )
-    return g.orders.join(disc, "o_orderkey").select(
-        k.alias("rental_id"),
+    out = (F.col("o_orderstatus") == "O") & ((k + F.col("film_id")) % 8 == 0)
+    end = F.when(~out, start + F.make_dt_interval(hours=(k % 62 + 10).cast("int")))
+    return _rented(g).select(
+        "rental_id",
         start.alias("period_start"),
         end.alias("period_end"),
-        "inventory_id",
+        (F.col("film_id") * DISC_BASE + F.col("store_id")).alias("inventory_id"),
         F.col("o_custkey").alias("customer_id"),
-        (F.col("inventory_id") % DISC_BASE).alias("store_id"),
+        "store_id",
         F.coalesce(end, start).alias("last_update"),
     )
 
 
 def payment(g: Tables) -> DataFrame:
-    """One payment per order with status F, and a small second one for every eleventh."""
+    """One payment per rental of orders with status F, and a small second one for every eleventh order."""
     k = F.col("o_orderkey")
-    paid = g.orders.filter(F.col("o_orderstatus") == "F").withColumn(
+    paid = _rented(g).filter(F.col("o_orderstatus") == "F").withColumn(
         "part", F.explode(F.when(k % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     )
     return paid.select(
-        (k * 2 + F.col("part")).alias("payment_id"),
+        (F.col("rental_id") * 2 + F.col("part")).alias("payment_id"),
         F.col("o_custkey").alias("customer_id"),
-        k.alias("rental_id"),
-        F.when(F.col("part") == 0, F.col("o_totalprice")).otherwise(F.lit(1.99))
-        .cast("decimal(12,2)").alias("amount"),
+        "rental_id",
+        F.when(F.col("part") == 0, F.col("price")).otherwise(F.lit(1.99)).cast("decimal(12,2)").alias("amount"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=(k % 62 + 10).cast("int")))
         .alias("payment_date"),
     )

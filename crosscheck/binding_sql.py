@@ -61,6 +61,10 @@ def _rows(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join("'" + str(v) + "'" for v in r) + ")" for r in rows)
 
 
+# Degrees of latitude and longitude of a cell.
+CELL_ROW, CELL_COL = (f"{12500.0 / metres!r}::double" for metres in (110574.0, 111319.0))
+CELLS_FIRST = "g.cell_row, g.cell_col, g.lat, g.lng, g.store_id"
+
 CTES: dict[str, str] = {
     "d_customer": f"""SELECT c_custkey AS customer_id, c_custkey % (SELECT count(*) FROM supplier) AS store_id,
         c_name AS full_name, lower(c_name) || '@example.org' AS email, '555-' || c_custkey AS phone,
@@ -73,6 +77,10 @@ CTES: dict[str, str] = {
         '556-' || s_suppkey AS phone, s_nationkey AS zip_code,
         {spot(40.0, 's_suppkey', 37, 97, 4.0)} AS lat, {spot(-79.0, 's_suppkey', 53, 89, 6.0)} AS lng
         FROM supplier""",
+    # stores with the cell of 12.5 km that they lie in
+    "d_place": f"""SELECT *, floor((lng + 180) * columns / 360)::int % columns AS cell_col FROM (
+        SELECT *, greatest(floor(cos(radians(least(abs((cell_row + 0.5::double) * {CELL_ROW} - 90) + {CELL_ROW} / 2, 90))) * (360.0::double / {CELL_COL})), 1)::int AS columns
+        FROM (SELECT *, floor((lat + 90) / {CELL_ROW})::int AS cell_row FROM d_store))""",
     "d_zip": f"""SELECT n_nationkey AS zip_code, n_name AS city, r_name AS state_id,
         n_nationkey * 1000 + 500 AS population,
         {spot(40.0, 'n_nationkey', 7, 25, 4.0)} AS lat, {spot(-79.0, 'n_nationkey', 11, 25, 6.0)} AS lng
@@ -102,22 +110,23 @@ CTES: dict[str, str] = {
         CASE min(l_returnflag) WHEN 'A' THEN 'Directing' WHEN 'N' THEN 'Writing' ELSE 'Production' END AS department,
         CASE min(l_returnflag) WHEN 'A' THEN 'Director' WHEN 'N' THEN 'Writer' ELSE 'Producer' END AS job
         FROM lineitem GROUP BY l_partkey, l_suppkey""",
-    "d_inventory": f"""SELECT l_partkey * {BASE} + l_suppkey AS inventory_id, l_partkey AS film_id,
-        l_suppkey AS store_id, greatest((l_partkey * 7 + l_suppkey) % 20 - 15, 1)::int AS status_id,
-        TIMESTAMP '1996-01-01' + ((l_partkey * 7 + l_suppkey) % 1500 * 24)::int * INTERVAL 1 HOUR AS circulation_start,
-        TIMESTAMP '2001-01-01' + ((l_partkey + l_suppkey) % 120)::int * INTERVAL 1 HOUR AS last_update
-        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)""",
-    "d_rental": f"""SELECT o_orderkey AS rental_id, o_orderdate AS period_start,
-        CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + (o_orderkey % 62 + 10)::int * INTERVAL 1 HOUR END AS period_end,
-        inventory_id, o_custkey AS customer_id, inventory_id % {BASE} AS store_id,
-        coalesce(CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + (o_orderkey % 62 + 10)::int * INTERVAL 1 HOUR END,
-                 o_orderdate) AS last_update
-        FROM orders JOIN (SELECT l_orderkey, min(l_partkey * {BASE} + l_suppkey) AS inventory_id
-                          FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
-    "d_payment": """SELECT o_orderkey * 2 + part AS payment_id, o_custkey AS customer_id, o_orderkey AS rental_id,
-        (CASE WHEN part = 0 THEN o_totalprice ELSE 1.99::double END)::decimal(12,2) AS amount,
-        o_orderdate + (o_orderkey % 62 + 10)::int * INTERVAL 1 HOUR AS payment_date
-        FROM orders, (SELECT unnest([0, 1]) AS part)
+    "d_line": """SELECT l_orderkey AS o_orderkey, l_partkey AS film_id, l_suppkey % 4 AS copy, l_extendedprice,
+        (l_partkey * 7 + l_suppkey % 4 * 13) % (SELECT count(*) FROM supplier) AS store_id FROM lineitem""",
+    "d_inventory": f"""SELECT film_id * {BASE} + store_id AS inventory_id, film_id, store_id,
+        greatest((film_id * 7 + store_id) % 20 - 15, 1)::int AS status_id,
+        TIMESTAMP '1996-01-01' + ((film_id * 7 + store_id) % 1500 * 24)::int * INTERVAL 1 HOUR AS circulation_start,
+        TIMESTAMP '2001-01-01' + ((film_id + store_id) % 120)::int * INTERVAL 1 HOUR AS last_update
+        FROM (SELECT DISTINCT film_id, store_id FROM d_line)""",
+    "d_rented": f"""SELECT o_orderkey * {BASE} + film_id * 4 + copy AS rental_id, film_id, store_id, price, o.*,
+        o_orderdate + (o_orderkey % 62 + 10)::int * INTERVAL 1 HOUR AS due
+        FROM (SELECT o_orderkey, film_id, copy, store_id, min(l_extendedprice) AS price FROM d_line GROUP BY ALL) JOIN orders o USING (o_orderkey)""",
+    "d_rental": f"""SELECT rental_id, o_orderdate AS period_start, CASE WHEN NOT still_out THEN due END AS period_end,
+        film_id * {BASE} + store_id AS inventory_id, o_custkey AS customer_id, store_id,
+        CASE WHEN still_out THEN o_orderdate ELSE due END AS last_update
+        FROM (SELECT *, o_orderstatus = 'O' AND (o_orderkey + film_id) % 8 = 0 AS still_out FROM d_rented)""",
+    "d_payment": """SELECT rental_id * 2 + part AS payment_id, o_custkey AS customer_id, rental_id,
+        (CASE WHEN part = 0 THEN price ELSE 1.99::double END)::decimal(12,2) AS amount, due AS payment_date
+        FROM d_rented, (SELECT unnest([0, 1]) AS part)
         WHERE o_orderstatus = 'F' AND (part = 0 OR o_orderkey % 11 = 0)""",
     "d_holiday": """SELECT year(d) * 10000 + month(d) * 100 + day(d) AS id,
         (CASE month(d) WHEN 1 THEN 'New Year' WHEN 7 THEN 'Independence Day' WHEN 11 THEN 'Veterans Day'

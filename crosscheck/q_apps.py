@@ -2,7 +2,7 @@
 
 from crosscheck import binding
 from crosscheck.binding import AS_OF as NOW
-from crosscheck.binding_sql import AS_OF, cents, digest, dist, draw, rdiv, sql
+from crosscheck.binding_sql import AS_OF, CELLS_FIRST, cents, digest, dist, draw, rdiv, sql
 from crosscheck.q_showcase import ACTORS, DAYS, GENRES, MONTHS, film_counts
 from crosscheck.q_views import V_CATALOG, V_OVERDUE, V_RENTALS, V_REVENUE, V_STOCK
 from crosscheck.export import plain
@@ -76,17 +76,14 @@ ORACLE["s5_search_films"] = f"""
     WHERE list_contains(words, 'from') AND list_contains(words, 'erin')
     ORDER BY rank DESC, film_id LIMIT 20"""
 
-register("s6_disc_offers", customers.disc_offers, sql("""
-    SELECT n.customer_id, d.inventory_id, d.store_id
-    FROM (SELECT *, sum(discs) OVER (PARTITION BY customer_id ORDER BY store_id) AS upto,
-            sum(discs) OVER (PARTITION BY customer_id) AS total FROM near) n
-    JOIN ranked d ON d.store_id = n.store_id AND d.rn = floor(n.u * n.total) + 1 - (n.upto - n.discs)""",
-    ranked=f"""SELECT inventory_id, store_id, row_number() OVER (PARTITION BY store_id ORDER BY {digest('offer', 'inventory_id')},
-        inventory_id) AS rn FROM d_disc WHERE is_available""",
-    near=f"""SELECT customer_id, store_id, discs, {draw('offer', 'customer_id')} AS u FROM
-        (SELECT c.customer_id, s.store_id, k.discs, {dist('s.lat', 's.lng', 'c.lat', 'c.lng')} AS m
-         FROM d_customer c, d_store s JOIN (SELECT store_id, count(*) AS discs FROM d_disc WHERE is_available
-            GROUP BY store_id) k ON k.store_id = s.store_id
+register("s6_disc_offers", customers.disc_offers, sql(f"""
+    SELECT customer_id, inventory_id, store_id FROM (
+        SELECT n.customer_id, d.inventory_id, n.store_id, count(*) OVER (PARTITION BY n.customer_id) AS total,
+            row_number() OVER (PARTITION BY n.customer_id ORDER BY {CELLS_FIRST}, d.inventory_id) AS rn
+        FROM near n JOIN d_place g ON g.store_id = n.store_id JOIN d_disc d ON d.store_id = n.store_id AND d.is_available)
+    WHERE rn = floor({draw('offer', 'customer_id')} * total) + 1""",
+    near=f"""SELECT customer_id, store_id FROM (SELECT c.customer_id, s.store_id, {dist('s.lat', 's.lng', 'c.lat', 'c.lng')} AS m
+         FROM d_customer c, d_store s
          WHERE c.lat IS NOT NULL AND c.customer_id NOT IN (SELECT customer_id FROM d_rental WHERE period_end IS NULL))
         WHERE m <= 25000"""))
 
@@ -111,9 +108,9 @@ register("s8_recent_rentals", lambda t: customers.recent_rentals(t, NOW, 1200, k
 
 WORN = f"""SELECT store_id, inventory_id, title, rental_count FROM d_disc JOIN d_film USING (film_id)
     JOIN (SELECT inventory_id, count(*) AS rental_count FROM d_rental GROUP BY inventory_id) USING (inventory_id)
-    WHERE rental_count >= 2 AND status_id = 1 {top('store_id', 'rental_count DESC, inventory_id', 10)}"""
-register("s9_worn_discs", lambda t: stores.worn_discs(t, min_rentals=2), sql(WORN))
-register("s9_recycle_discs", lambda t: stores.recycle_discs(t, NOW, min_rentals=2)[0], sql(f"""
+    WHERE rental_count >= 15 AND status_id = 1 {top('store_id', 'rental_count DESC, inventory_id', 10)}"""
+register("s9_worn_discs", lambda t: stores.worn_discs(t), sql(WORN))
+register("s9_recycle_discs", lambda t: stores.recycle_discs(t, NOW)[0], sql(f"""
     SELECT i.inventory_id, i.film_id, i.store_id, CASE WHEN h THEN 4 ELSE i.status_id END AS status_id, i.circulation_start,
     CASE WHEN h THEN {AS_OF} ELSE i.last_update END AS last_update
     FROM (SELECT *, inventory_id IN (SELECT inventory_id FROM worn) AND NOT is_out AS h FROM d_disc) i""", worn=WORN))

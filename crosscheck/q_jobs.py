@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from crosscheck.binding import AS_OF as NOW
-from crosscheck.binding_sql import AS_OF, days, digest, dist, draw, rdiv, sql
+from crosscheck.binding_sql import AS_OF, CELLS_FIRST, days, digest, dist, draw, rdiv, sql
 from crosscheck.q_reports import NEAR, TARGETS, cost
 from crosscheck.registry import register
 from kiosklake.operators.ranking import random_slice
@@ -33,8 +33,8 @@ register("p1_charges_total", lambda t: jobs.charges_total(jobs.insert_payments(t
 
 POOL = f"""SELECT store_id, customer_id FROM (SELECT s.store_id, c.customer_id, {dist('s.lat', 's.lng', 'c.lat', 'c.lng')} AS m
     FROM d_store s, d_customer c WHERE c.lat IS NOT NULL AND abs(s.lat - c.lat) < 0.5) WHERE m <= 25000"""
-LISTED = """SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY store_id) AS pick,
-    count(*) OVER (PARTITION BY customer_id) AS reach FROM pool"""
+LISTED = f"""SELECT p.*, row_number() OVER (PARTITION BY customer_id ORDER BY {CELLS_FIRST}) AS pick,
+    count(*) OVER (PARTITION BY customer_id) AS reach FROM pool p JOIN d_place g ON g.store_id = p.store_id"""
 ELIGIBLE = f"""SELECT rental_id, customer_id, period_start, row_number() OVER (ORDER BY {digest('returns', 'rental_id')}, rental_id) AS rn,
     count(*) OVER () AS n FROM d_rental WHERE period_end IS NULL AND period_start < {AS_OF} - INTERVAL 16 HOUR"""
 RETURNS = f"""SELECT e.rental_id, greatest({AS_OF}, e.period_start + INTERVAL 16 HOUR
@@ -189,42 +189,45 @@ register("p20_nightly_summary", lambda t: jobs.nightly_maintenance(t, NOW, react
              lost=IN_USE, blocked=ACTIVE("customer_id IN (SELECT customer_id FROM lost)"), closed=CLOSED,
              dormant=DORMANT.format(customer="blocked", rental="closed"), quiet=AFTER_DORMANT.format("blocked")))
 
-register("p8_rebalance_moves", stock.rebalance_moves, sql(f"""
-    SELECT q.inventory_id, q.store_id AS from_store, s.to_store FROM (SELECT *, row_number() OVER (ORDER BY
+MOVES = f"""SELECT q.inventory_id, q.store_id AS from_store, s.to_store FROM (SELECT *, row_number() OVER (ORDER BY
         {digest('rebalance-all', 'inventory_id')}, inventory_id) AS g FROM given) q
-    JOIN slots s ON s.slot_rank = (q.g - 1) % (SELECT count(*) FROM slots) + 1 WHERE q.g <= 10000""",
+    JOIN slots s ON s.slot_rank = (q.g - 1) % (SELECT count(*) FROM slots) + 1 WHERE q.g <= 10000"""
+MOVE_CTES = dict(
     near=NEAR, targets=TARGETS,
     slots="""SELECT store_id AS to_store, row_number() OVER (ORDER BY target_inventory - current_inventory DESC, store_id) AS slot_rank
         FROM targets WHERE current_inventory < target_inventory * 0.9""",
     given=f"""SELECT inventory_id, store_id FROM (SELECT d.inventory_id, d.store_id, t.current_inventory - t.target_inventory AS excess,
         row_number() OVER (PARTITION BY d.store_id ORDER BY {digest('rebalance-store', 'inventory_id')}, inventory_id) AS rn
         FROM d_disc d JOIN targets t ON t.store_id = d.store_id
-        WHERE d.is_available AND t.current_inventory > t.target_inventory * 1.1) WHERE rn <= excess"""))
+        WHERE d.is_available AND t.current_inventory > t.target_inventory * 1.1) WHERE rn <= excess""")
+NIGHT = dict(lost=IN_USE, blocked=ACTIVE("customer_id IN (SELECT customer_id FROM lost)"), closed=CLOSED,
+             dormant=DORMANT.format(customer="blocked", rental="closed"), quiet=AFTER_DORMANT.format("blocked"))
+register("p20_nightly_log", lambda t: jobs.nightly_maintenance(t, NOW, reactivate_pct=20.0).tables.customer_status_log,
+         sql(log_sql(BACK("quiet"), "SELECT * FROM first_log", "(SELECT max(log_id) FROM first_log)"), **NIGHT, first_log=log_sql(GONE)))
+
+register("p8_rebalance_moves", stock.rebalance_moves, sql(MOVES, **MOVE_CTES))
+register("p8_rebalanced_discs", lambda t: stock.rebalance_inventory(t, NOW)[0].inventory, sql(f"""
+    SELECT i.inventory_id, i.film_id, coalesce(m.to_store, i.store_id) AS store_id, i.status_id, i.circulation_start,
+    CASE WHEN m.to_store IS NOT NULL THEN {AS_OF} ELSE i.last_update END AS last_update
+    FROM d_inventory i LEFT JOIN ({MOVES}) m ON m.inventory_id = i.inventory_id""", **MOVE_CTES))
 
 TIER = f"""CASE WHEN popularity >= 100 OR release_date > {AS_OF} - INTERVAL 1 YEAR THEN 'A'
     WHEN popularity >= 30 OR release_date > {AS_OF} - INTERVAL 3 YEAR THEN 'B'
     WHEN popularity >= 10 OR vote_average >= 7.0::float THEN 'C' ELSE 'D' END"""
 
 
-def _allocation(t):
-    plan = stock.allocation(t, NOW, clear_existing=True)
-    return plan.groupBy("film_id", "tier").agg(
-        F.count(F.lit(1)).alias("stores"), F.sum("copies").alias("copies"), F.max("copies").alias("most")
-    )
-
-
 ALLOCATION = f"""SELECT f.film_id, s.store_id, f.tier, floor({draw('stock-copies', 'f.film_id', 's.store_id')} * k.steps + k.low)::int AS copies
         FROM (SELECT film_id, {TIER} AS tier FROM d_film) f
         JOIN (VALUES ('A', 1.0, 10, 5), ('B', 0.6, 5, 3), ('C', 0.3, 2, 3), ('D', 0.1, 1, 2)) k(tier, share, low, steps) ON k.tier = f.tier
         JOIN (SELECT store_id, {draw('stock-store', 'store_id')} AS chance FROM d_store) s
           ON k.share >= 1.0 OR s.chance < k.share::double"""
-register("p9_allocation", _allocation, sql(f"""SELECT film_id, tier, count(*) AS stores, sum(copies)::bigint AS copies,
-    max(copies) AS most FROM ({ALLOCATION}) GROUP BY film_id, tier"""))
-register("p9_populate_inventory", lambda t: stock.populate_inventory(t, NOW, clear_existing=True)[1].groupBy("store_id").agg(
-    F.count(F.lit(1)).alias("discs"), F.min("inventory_id").alias("first_id"), F.max("inventory_id").alias("last_id")),
-    sql(f"""SELECT store_id, count(*) AS discs, min(id) AS first_id, max(id) AS last_id FROM (
-        SELECT store_id, row_number() OVER (ORDER BY {digest('inventory_id', 'film_id', 'store_id', 'copy')}, film_id, store_id, copy) AS id
-        FROM (SELECT film_id, store_id, unnest(generate_series(1, copies)) AS copy FROM ({ALLOCATION}))) GROUP BY store_id"""))
+register("p9_allocation", lambda t: stock.allocation(t, NOW, clear_existing=True), sql(ALLOCATION))
+register("p9_populate_inventory", lambda t: stock.populate_inventory(t, NOW, clear_existing=True)[1].groupBy(
+    "film_id", "store_id", "status_id").agg(F.count(F.lit(1)).alias("discs"), F.min("inventory_id").alias("first_id"),
+    F.max("inventory_id").alias("last_id"), F.sum("inventory_id").alias("id_sum")), sql(f"""
+    SELECT film_id, store_id, 1 AS status_id, count(*) AS discs, min(id) AS first_id, max(id) AS last_id, sum(id)::bigint AS id_sum FROM (
+        SELECT film_id, store_id, row_number() OVER (ORDER BY {digest('inventory_id', 'film_id', 'store_id', 'copy')}, film_id, store_id, copy) AS id
+        FROM (SELECT film_id, store_id, unnest(generate_series(1, copies)) AS copy FROM ({ALLOCATION}))) GROUP BY ALL"""))
 
 register("p10_random_slice", lambda t: random_slice(
     t.rental.filter(F.col("period_end").isNull()).select("rental_id", "customer_id"), "slice", ["rental_id"], 2.5, 40.0), sql(f"""

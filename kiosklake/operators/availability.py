@@ -4,24 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kiosklake.functions import periods
+from kiosklake.sources.tables import Tables
 
 # Fixed value: status id of a disc in circulation.
 IN_CIRCULATION = 1
 
 
-def discs_out(rental: DataFrame) -> DataFrame:
+def discs_out(t: Tables) -> DataFrame:
     """Distinct discs with an open rental."""
-    return rental.filter(periods.is_open(F.col("period_end"))).select("inventory_id").distinct()
+    return t.still_open("rental").select("inventory_id").distinct()
 
 
-def with_availability(inventory: DataFrame, rental: DataFrame) -> DataFrame:
+def with_availability(inventory: DataFrame, t: Tables) -> DataFrame:
     """Inventory plus boolean ``is_out`` and ``is_available``.
 
     Open rentals are reduced to one row per disc first, so the join has unique
     keys on both sides however often a disc was rented.
     """
-    out = discs_out(rental).withColumn("_out", F.lit(True))
+    out = discs_out(t).withColumn("_out", F.lit(True))
     is_out = F.coalesce(F.col("_out"), F.lit(False))
     return (
         inventory.join(out, "inventory_id", "left")
@@ -31,12 +31,7 @@ def with_availability(inventory: DataFrame, rental: DataFrame) -> DataFrame:
     )
 
 
-def available_discs(inventory: DataFrame, rental: DataFrame) -> DataFrame:
+def available_discs(t: Tables) -> DataFrame:
     """In-circulation discs without an open rental."""
-    on_hand = inventory.filter(F.col("status_id") == IN_CIRCULATION)
-    return on_hand.join(discs_out(rental), "inventory_id", "left_anti")
-
-
-def busy(rental: DataFrame, lo, hi) -> DataFrame:
-    """Rentals whose period touches ``[lo, hi)``."""
-    return rental.filter(periods.overlaps(F.col("period_start"), F.col("period_end"), lo, hi))
+    on_hand = t.inventory.filter(F.col("status_id") == IN_CIRCULATION)
+    return on_hand.join(discs_out(t), "inventory_id", "left_anti")

@@ -1,8 +1,8 @@
-"""Radius joins and radius counts over latitude/longitude columns.
+"""Radius joins over latitude/longitude columns.
 
-Both are equi-joins on a grid cell followed by the exact distance test, so they
-shuffle on the cell and never compare every site with every point. Cells that
-hold many rows are salted on either side.
+An equi-join on a grid cell followed by the exact distance test, so it shuffles on the
+cell and never compares every site with every point. Cells that hold many rows are
+salted on either side. Counts within a radius are in ``geotree``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kiosklake.functions.geo import (
-    Grid, chord_limit, cos_bounds, distance_between, half_chord_squared, with_vector,
+    Grid, chord_limit, distance_between, half_chord_squared, with_vector,
 )
 from kiosklake.operators.ranking import top_per
 
@@ -20,7 +20,7 @@ _CELL = ["_row", "_col"]
 _BROADCAST_CELL_M = 10_000.0
 
 
-def _located(df: DataFrame, at: tuple[str, str]) -> DataFrame:
+def located(df: DataFrame, at: tuple[str, str]) -> DataFrame:
     return df.filter(F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull())
 
 
@@ -31,17 +31,17 @@ def _in_cells(df: DataFrame, at: tuple[str, str], grid: Grid) -> DataFrame:
     return df.withColumn("_col", grid.col(F.col(at[1]), F.col("_columns"))).drop("_columns")
 
 
-def _spread(df: DataFrame, at: tuple[str, str], grid: Grid, radius_m: float) -> DataFrame:
+def spread(df: DataFrame, at: tuple[str, str], grid: Grid, radius_m: float, row: str = "_row", col: str = "_col") -> DataFrame:
     """Each row once per cell its circle can touch (band, column, columns of the band)."""
     lat, lng = F.col(at[0]), F.col(at[1])
     df = df.withColumn("_reach", grid.lng_reach(lat, radius_m))
-    df = df.withColumn("_row", F.explode(grid.rows_near(lat, radius_m)))
-    df = df.withColumn("_columns", grid.columns_in(F.col("_row")))
-    df = df.withColumn("_col", F.explode(grid.cols_near(lng, F.col("_reach"), F.col("_columns"))))
-    return df.withColumn("_col", F.pmod(F.col("_col"), F.col("_columns"))).drop("_reach")
+    df = df.withColumn(row, F.explode(grid.rows_near(lat, radius_m)))
+    df = df.withColumn("_columns", grid.columns_in(F.col(row)))
+    df = df.withColumn(col, F.explode(grid.cols_near(lng, F.col("_reach"), F.col("_columns"))))
+    return df.withColumn(col, F.pmod(F.col(col), F.col("_columns"))).drop("_reach", "_columns")
 
 
-def _within(first: str, second: str, radius_m: float) -> Column:
+def within(first: str, second: str, radius_m: float) -> Column:
     """Exact radius test, behind a cheap one that needs only arithmetic."""
     near = half_chord_squared(first, second) <= chord_limit(radius_m)
     return near & (distance_between(first, second) <= radius_m)
@@ -76,9 +76,9 @@ def radius_join(
     """
     grid = Grid(radius_m)
     vectors = [f"{side}{axis}" for side in ("_u", "_v") for axis in "xyz"]
-    near = with_vector(_located(sites, site_at), site_at, "_u")
-    near = _spread(near, site_at, grid, radius_m).drop("_columns")
-    placed = with_vector(_in_cells(_located(points, point_at), point_at, grid), point_at, "_v")
+    near = with_vector(located(sites, site_at), site_at, "_u")
+    near = spread(near, site_at, grid, radius_m)
+    placed = with_vector(_in_cells(located(points, point_at), point_at, grid), point_at, "_v")
     # A hot cell becomes site parts x point parts; each side is copied to the
     # other side's parts, so a part holds about rows_per_part rows of each and their
     # product of pairs at most.
@@ -102,68 +102,12 @@ def radius_join(
     right = split(placed, point_key, "_pp", "_sp", "_pi", "_si")
     return (
         left.join(right, [*_CELL, "_si", "_pi"])
-        .filter(_within("_u", "_v", radius_m))
+        .filter(within("_u", "_v", radius_m))
         .withColumn(distance, distance_between("_u", "_v"))
         .drop(*_CELL, "_si", "_pi", *vectors)
     )
 
 
-def count_within_radius(
-    sites: DataFrame,
-    points: DataFrame,
-    radius_m: float,
-    *,
-    site_key: str,
-    site_at: tuple[str, str],
-    point_at: tuple[str, str],
-    name: str = "nearby",
-    cells_per_radius: int = 6,
-) -> DataFrame:
-    """``(site_key, name)``: number of points within the radius of every site.
-
-    Pairs are not formed. Points are first counted per distinct position and per
-    fine cell; a cell wholly inside a circle adds its count, and only positions
-    in cells on the rim are measured. Sites without a position count 0.
-    """
-    grid = Grid(radius_m / cells_per_radius)
-    slat, slng = F.col("_slat"), F.col("_slng")
-    spots = (
-        _located(points, point_at)
-        .groupBy(F.col(point_at[0]).alias("_plat"), F.col(point_at[1]).alias("_plng"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    spots = with_vector(_in_cells(spots, ("_plat", "_plng"), grid), ("_plat", "_plng"), "_v")
-    cells = spots.groupBy(*_CELL).agg(F.sum("_n").alias("_cell_n"))
-
-    cos_min, cos_max = cos_bounds(slat, radius_m)
-    places = (
-        _located(sites, site_at)
-        .select(F.col(site_at[0]).alias("_slat"), F.col(site_at[1]).alias("_slng"))
-        .distinct()
-        .withColumns({"_cos_min": cos_min, "_cos_max": cos_max})
-    )
-    places = with_vector(places, ("_slat", "_slng"), "_u")
-    probes = _spread(places, ("_slat", "_slng"), grid, radius_m)
-    cell = (F.col("_row"), F.col("_col"), F.col("_columns"))
-    inside = grid.wholly_within(slat, slng, *cell, F.col("_cos_max"), radius_m)
-    outside = grid.wholly_beyond(slat, slng, *cell, F.col("_cos_min"), radius_m)
-
-    whole = probes.filter(inside).join(cells, _CELL).select("_slat", "_slng", F.col("_cell_n").alias("_n"))
-    rim = (
-        probes.filter(~inside & ~outside)
-        .join(spots, _CELL)
-        .filter(_within("_u", "_v", radius_m))
-        .select("_slat", "_slng", "_n")
-    )
-    per_place = whole.unionByName(rim).groupBy("_slat", "_slng").agg(F.sum("_n").alias("_n"))
-    keyed = sites.select(
-        site_key, F.col(site_at[0]).alias("_slat"), F.col(site_at[1]).alias("_slng")
-    )
-    return keyed.join(per_place, ["_slat", "_slng"], "left").select(
-        site_key, F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias(name)
-    )
-
-
 def nearest_sites(
     sites: DataFrame,
     points: DataFrame,

@@ -100,6 +100,12 @@ def update_from(
     return joined.select(*picked)
 
 
+def changed_rows(target: DataFrame, changes: DataFrame, keys: list[str], columns: dict[str, str], **given) -> DataFrame:
+    """What ``update_from`` makes of the rows that ``changes`` names, without the other rows."""
+    named = target.join(changes.select(*keys), keys, "left_semi")
+    return update_from(named, changes, keys, columns, **given)
+
+
 def delete_keys(target: DataFrame, keys_frame: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not listed. A key listed very often is one row before the shuffle."""
     return target.join(keys_frame.select(*keys).distinct(), keys, "left_anti")
@@ -184,10 +190,15 @@ def status_entries(
     )
 
 
+def numbered_entries(log: DataFrame, entries: DataFrame) -> DataFrame:
+    """Entries as rows of the log with fresh ids."""
+    keys = ["customer_id", "status", "status_date"]
+    return with_next_ids(entries, "log_id", log, keys).select(*log.columns)
+
+
 def log_status(log: DataFrame, entries: DataFrame) -> DataFrame:
     """Append entries to the log with fresh ids."""
-    keys = ["customer_id", "status", "status_date"]
-    return append(log, with_next_ids(entries, "log_id", log, keys))
+    return append(log, numbered_entries(log, entries))
 
 
 def signup_backfill(customer: DataFrame) -> DataFrame:

@@ -1,86 +1,89 @@
-"""Pairs of members that share many groups, safe against very large groups."""
+"""Pairs of members that share many groups, counted by tiles of the groups' members."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kiosklake.operators.ranking import top_per
 from kiosklake.session import materialize
 
+#: Labels of a group in one block: a task meets at most this many times as many pairs at once.
+BLOCK = 512
+#: Labels, those of most groups, whose pairs are counted first to learn how good the best are.
+PILOTS = 32
+
 
 def shared_group_pairs(
-    rows: DataFrame,
-    *,
-    group: str,
-    label: str,
-    member: str,
-    min_groups: int,
-    heavy: int = 1000,
+    rows: DataFrame, *, group: str, label: str, member: str, min_groups: int, best: int | None = None,
 ) -> DataFrame:
     """``(label_1, label_2, shared)`` for labels that share at least ``min_groups`` groups.
 
-    ``label`` is best a number: pairs are grouped by it. A group counts for an ordered label pair when it holds a member of the first
-    label with a smaller id than some member of the second. The answer is exact:
+    ``label`` is best a number: pairs are grouped by it. A group counts for an ordered label pair
+    when it holds a member of the first label with a smaller id than some member of the second.
+
+    With ``best`` only the pairs that can be among the ``best`` with the most groups are sure to
+    be in the result, with all that tie with them: the pairs of a few frequent labels are counted
+    first, the best of them set a number of groups to reach, and labels of fewer groups drop out.
 
-    * groups with at most ``heavy`` labels are self-joined and counted;
-    * larger groups never emit their pairs. A pair that shares a light group is
-      looked up in them, and a pair that shares only heavy groups is found by the
-      overlap prefix rule: with groups ordered by size, two labels sharing
-      ``min_groups`` of them must meet before the last ``min_groups - 1`` of each.
+    The ``min_groups - 1`` largest groups never emit their pairs: whoever shares ``min_groups``
+    also meets in some other group, and the large ones are looked up for the pairs that can still
+    get there. Of every other group the labels are dealt to blocks, and pairs are met and counted
+    block by block, so a group of any size is spread over as many tasks as it has tiles; tasks
+    add up pairs before they are shuffled.
     """
     # per group and label only the smallest and largest member id matter
     entries = rows.groupBy(F.col(group).alias("g"), F.col(label).alias("id")).agg(
         F.min(member).alias("lo"), F.max(member).alias("hi")
     )
     entries = materialize(entries, "pair-entries")
-    frequent = entries.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_groups)
-    kept = entries.join(frequent.select("id"), "id", "left_semi")
-    sizes = kept.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    sized = materialize(kept.join(sizes, "g"), "pair-groups")  # read by every branch below
-    light = sized.filter(F.col("size") <= heavy).drop("size")
-    big = sized.filter(F.col("size") > heavy)
-
-    light_pairs = _meetings(light).groupBy("id_1", "id_2").agg(F.count(F.lit(1)).alias("shared"))
-
-    largest = [F.col("size").desc(), F.col("g").desc()]
-    tail = top_per(big, ["id"], largest, min_groups - 1).select("g", "id")
-    prefix = big.drop("size").join(tail, ["g", "id"], "left_anti")
-    heavy_only = _meetings(prefix).select("id_1", "id_2").distinct()
-    candidates = light_pairs.select("id_1", "id_2").unionByName(heavy_only).distinct()
-    in_heavy = _shared_heavy(candidates, big.drop("size"))
-    both = light_pairs.unionByName(in_heavy)
-    return (
-        both.groupBy(F.col("id_1").alias("label_1"), F.col("id_2").alias("label_2"))
-        .agg(F.sum("shared").alias("shared"))
-        .filter(F.col("shared") >= min_groups)
+    size = F.count(F.lit(1))
+    reach = materialize(entries.groupBy("id").agg(size.alias("n")).filter(F.col("n") >= min_groups), "pair-labels")
+    least = min_groups if best is None else max(min_groups, _reached(entries, reach, best))
+    kept = entries.join(reach.filter(F.col("n") >= least).select("id"), "id", "left_semi")
+    sizes = kept.groupBy("g").agg(size.alias("size"))
+    sized = materialize(kept.join(sizes, "g"), "pair-groups")  # met, and looked up
+    aside = top_per(sizes, [], [F.col("size").desc(), F.col("g").desc()], min_groups - 1).select("g")
+    aside = materialize(aside, "pair-aside")
+    found = _counted(sized.join(aside, "g", "left_anti")).filter(F.col("shared") > least - min_groups)
+    found = materialize(found, "pair-found")
+    more = _looked_up(found, sized.join(aside, "g", "left_semi"))
+    total = found.unionByName(more).groupBy("id_1", "id_2").agg(F.sum("shared").alias("shared"))
+    return total.filter(F.col("shared") >= least).select(
+        F.col("id_1").alias("label_1"), F.col("id_2").alias("label_2"), "shared"
     )
 
 
-def _meetings(entries: DataFrame) -> DataFrame:
-    """Ordered pairs meeting in a group."""
+def _reached(entries: DataFrame, reach: DataFrame, best: int) -> int:
+    """How many groups the last of the ``best`` pairs of frequent labels shares; 0 if there are fewer."""
+    pilots = top_per(reach, [], [F.col("n").desc(), F.col("id")], max(PILOTS, math.isqrt(4 * best) + 1)).select("id")
+    sizes = entries.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    first = _counted(entries.join(pilots, "id", "left_semi").join(sizes, "g"))
+    last = top_per(first, [], [F.col("shared").desc(), F.col("id_1"), F.col("id_2")], best).agg(
+        F.count(F.lit(1)).alias("n"), F.min("shared").alias("least")
+    ).first()
+    return last["least"] if last["n"] == best else 0
+
+
+def _counted(entries: DataFrame) -> DataFrame:
+    """``(id_1, id_2, shared)`` of all ordered pairs that meet in a group of ``size`` labels."""
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    tiled = entries.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    first = tiled.select("g", F.col("own").alias("i"), every.alias("j"), F.col("id").alias("id_1"), F.col("lo").alias("lo_1"))
+    second = tiled.select("g", every.alias("i"), F.col("own").alias("j"), F.col("id").alias("id_2"), F.col("hi").alias("hi_2"))
+    met = first.join(second, ["g", "i", "j"]).filter(_precedes())
+    return met.groupBy("id_1", "id_2").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _looked_up(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """How many of the groups of ``entries`` each pair shares."""
     first = entries.select("g", F.col("id").alias("id_1"), F.col("lo").alias("lo_1"))
     second = entries.select("g", F.col("id").alias("id_2"), F.col("hi").alias("hi_2"))
-    return first.join(second, "g").filter(_precedes()).select("g", "id_1", "id_2")
+    met = pairs.select("id_1", "id_2").join(first, "id_1").join(second, ["g", "id_2"]).filter(_precedes())
+    return met.groupBy("id_1", "id_2").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def _precedes() -> Column:
     return F.col("lo_1") < F.col("hi_2")
-
-
-def _shared_heavy(candidates: DataFrame, big: DataFrame) -> DataFrame:
-    """How many heavy groups each candidate pair shares.
-
-    The side with fewer heavy groups is expanded and the other is looked up by
-    (group, id), a unique key.
-    """
-    reach = big.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    sized = candidates.join(
-        reach.select(F.col("id").alias("id_1"), F.col("n").alias("n_1")), "id_1"
-    ).join(reach.select(F.col("id").alias("id_2"), F.col("n").alias("n_2")), "id_2")
-    first = big.select("g", F.col("id").alias("id_1"), F.col("lo").alias("lo_1"))
-    second = big.select("g", F.col("id").alias("id_2"), F.col("hi").alias("hi_2"))
-    by_first = sized.filter(F.col("n_1") <= F.col("n_2")).join(first, "id_1").join(second, ["g", "id_2"])
-    by_second = sized.filter(F.col("n_1") > F.col("n_2")).join(second, "id_2").join(first, ["g", "id_1"])
-    columns = ["id_1", "id_2", "lo_1", "hi_2"]
-    met = by_first.select(*columns).unionByName(by_second.select(*columns))
-    return met.filter(_precedes()).groupBy("id_1", "id_2").agg(F.count(F.lit(1)).alias("shared"))

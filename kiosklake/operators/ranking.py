@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kiosklake.functions.numbers import shuffle_key
+from kiosklake.session import materialize
 
 
 def top_per(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
@@ -24,37 +25,51 @@ def first_per(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     return top_per(df, by, order, 1)
 
 
-def numbered(
-    df: DataFrame,
-    *,
-    order: list[Column],
-    buckets: list[Column],
-    by: tuple[str, ...] | list[str] = (),
-    name: str = "rn",
-) -> DataFrame:
-    """``row_number()`` over ``by`` (or the whole frame) split across tasks.
+#: Rows of one group that a single task may number.
+ROWS_PER_TASK = 1_000_000
+
 
-    ``buckets`` are ascending expressions that never run against ``order``. Rows
-    are numbered inside each bucket, and the number of rows in earlier buckets is
-    added from a small per-bucket count. No task holds a whole group.
+def _with_offsets(placed: DataFrame, name: str) -> DataFrame:
+    """Numbers over all partitions from ``_part`` and the place ``_at`` of each row in its partition.
+
+    ``placed`` is written already, so that counting reads one column of it and nothing is
+    worked out twice. There is one count per partition; offsets add up within blocks of 256
+    of them, and then over the blocks.
     """
-    keys = [f"_b{i}" for i in range(len(buckets))]
-    df = df.withColumns(dict(zip(keys, buckets)))
-    parts = [*by, *keys]
-    counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(
-        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0))
-    ).drop("_n")
-    inner = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    counts = placed.groupBy("_part").agg(F.max("_at").alias("_n")).withColumn("_block", F.floor(F.col("_part") / 256))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = earlier.partitionBy("_block").orderBy("_part")
+    blocks = counts.groupBy("_block").agg(F.sum("_n").alias("_all")).withColumn("_one", F.lit(1))
+    ahead = earlier.partitionBy("_one").orderBy("_block")
+    blocks = blocks.withColumn("_ahead", F.coalesce(F.sum("_all").over(ahead), F.lit(0))).select("_block", "_ahead")
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(blocks, "_block")
+    offsets = offsets.select("_part", (F.col("_before") + F.col("_ahead")).alias("_before"))
     return (
-        df.withColumn("_i", inner)
-        .join(offsets, parts)
-        .withColumn(name, (F.col("_i") + F.col("_before")).cast("bigint"))
-        .drop("_i", "_before", *keys)
+        placed.join(offsets, "_part")
+        .withColumn(name, (F.col("_at") + F.col("_before")).cast("bigint"))
+        .drop("_part", "_at", "_before")
     )
 
 
+def _placed(dealt: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """Rows of each partition in order, with the partition and their place in it, written."""
+    at = F.monotonically_increasing_id()
+    rows = dealt.sortWithinPartitions(*order).withColumn("_at", at)
+    # an id holds the partition above 33 bits that count its rows
+    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    return materialize(rows, label)
+
+
+def numbered(df: DataFrame, *, order: list[Column], name: str = "rn") -> DataFrame:
+    """``row_number()`` over the whole frame by ``order``, which ends in a unique key.
+
+    Rows are dealt by ranges of the order and written once; each partition's rows then get
+    the number of rows in earlier partitions added. No task holds more than its range.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _with_offsets(_placed(df.repartitionByRange(parts, *order), order, "ranges"), name)
+
+
 def shuffled_rank(
     df: DataFrame,
     seed: str,
@@ -65,20 +80,40 @@ def shuffled_rank(
 ) -> DataFrame:
     """Row number in a seeded random order; ``keys`` identify a row.
 
-    The digest that gives the order is uniform, so its leading digits are even
-    buckets: 256 per group, 4096 for a whole frame.
+    The order is that of a digest, which is uniform: over a whole frame its leading digits
+    deal rows evenly without a sample, and the input is read once. Within groups only those
+    of more than ``ROWS_PER_TASK`` rows are cut, into digits enough for their counted rows.
     """
     digest = F.col("_digest")
-    digits = 2 if by else 3
+    order = [digest, *[F.col(k) for k in keys]]
     df = df.withColumn("_digest", shuffle_key(seed, *[F.col(k) for k in keys]))
-    out = numbered(
-        df,
-        order=[digest, *[F.col(k) for k in keys]],
-        buckets=[F.substring(digest, 1, digits)],
-        by=by,
-        name=name,
+    if not by:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint")
+        dealt = df.repartitionById(parts, F.floor(share * parts / 16**7).cast("int"))
+        return _with_offsets(_placed(dealt, order, "shuffled"), name).drop("_digest")
+    return _ranked_in_groups(materialize(df, "to-rank"), list(by), order, name).drop("_digest")
+
+
+def _ranked_in_groups(rows: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
+    """Numbers within groups; a very large group is cut by leading digits of ``_digest``."""
+    size = F.count(F.lit(1))
+    large = rows.groupBy(*by).agg(size.alias("_n")).filter(F.col("_n") > ROWS_PER_TASK)
+    digits = F.ceil(F.log(16.0, F.col("_n") / F.lit(float(ROWS_PER_TASK)))).cast("int")
+    large = large.select(*by, F.greatest(digits, F.lit(1)).alias("_digits"))
+    cut = rows.join(large, by, "left").withColumn(
+        "_piece", F.when(F.col("_digits").isNull(), F.lit("")).otherwise(F.expr("substring(_digest, 1, _digits)"))
+    )
+    counts = cut.filter(F.col("_digits").isNotNull()).groupBy(*by, "_piece").agg(size.alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inner = F.row_number().over(Window.partitionBy(*by, "_piece").orderBy(*order))
+    return (
+        cut.withColumn("_i", inner)
+        .join(offsets, [*by, "_piece"], "left")
+        .withColumn(name, (F.col("_i") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint"))
+        .drop("_i", "_before", "_piece", "_digits")
     )
-    return out.drop("_digest")
 
 
 def pick_random(df: DataFrame, by: list[str], seed: str, keys: list[str], k: int = 1) -> DataFrame:

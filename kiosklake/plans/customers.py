@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from kiosklake.functions import periods
 from kiosklake.functions.numbers import MONEY_SUM, draw, money, ratio
 from kiosklake.operators.availability import available_discs
-from kiosklake.operators.geojoin import radius_join
+from kiosklake.operators.geotree import pick_within
 from kiosklake.operators.membership import only
-from kiosklake.operators.ranking import shuffled_rank, top_per
+from kiosklake.operators.ranking import top_per
 from kiosklake.plans.reports import NEARBY_M
 from kiosklake.plans.views import customer_rentals, disc_films, with_partners
 from kiosklake.sources.tables import Tables
@@ -165,35 +165,17 @@ def recent_rentals(t: Tables, as_of, days: int, customer_id=None, k: int = 20) -
 def disc_offers(t: Tables, customer_id=None, seed: str = "offer", radius_m: float = NEARBY_M) -> DataFrame:
     """For each customer with nothing out, one seeded random available disc near them.
 
-    Discs are numbered inside their store and a customer draws a position among
-    all discs of the nearby stores, so customers are joined to stores and to one
-    disc each, never to every disc in reach.
+    Discs stand at their stores and are drawn down a tree of counted cells, so customers are
+    listed neither with the discs nor with the stores in their reach.
     """
-    open_now = t.rental.filter(periods.is_open(F.col("period_end"))).select("customer_id").distinct()
+    open_now = t.still_open("rental").select("customer_id").distinct()
     free = only(t.customer, "customer_id", customer_id).select(
         "customer_id", F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng")
     ).join(open_now, "customer_id", "left_anti")
-    discs = shuffled_rank(
-        available_discs(t.inventory, t.rental).select("inventory_id", "store_id"),
-        seed, ["inventory_id"], by=["store_id"],
+    discs = available_discs(t).select("inventory_id", "store_id").join(
+        t.store.select("store_id", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng")), "store_id"
     )
-    stock = available_discs(t.inventory, t.rental).groupBy("store_id").agg(F.count(F.lit(1)).alias("discs"))
-    stores = t.store.select("store_id", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng")).join(
-        stock, "store_id"
-    )
-    near = radius_join(
-        stores, free, radius_m, site_key="store_id", site_at=("s_lat", "s_lng"),
-        point_key="customer_id", point_at=("c_lat", "c_lng"),
-    ).select("customer_id", "store_id", "discs")
-    running = Window.partitionBy("customer_id").orderBy("store_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    reach = Window.partitionBy("customer_id")
-    position = F.floor(draw(seed, F.col("customer_id")) * F.col("_all")) + 1
-    chosen = (
-        near.withColumn("_upto", F.sum("discs").over(running))
-        .withColumn("_all", F.sum("discs").over(reach))
-        .withColumn("rn", (position - (F.col("_upto") - F.col("discs"))).cast("bigint"))
-        .filter((F.col("rn") >= 1) & (F.col("rn") <= F.col("discs")))
-    )
-    return chosen.join(discs, ["store_id", "rn"]).select("customer_id", "inventory_id", "store_id")
+    return pick_within(
+        free, discs, radius_m, row_at=("c_lat", "c_lng"), item_at=("s_lat", "s_lng"),
+        item_keys=["store_id", "inventory_id"], draw=draw(seed, F.col("customer_id")),
+    ).select("customer_id", "inventory_id", "store_id")

@@ -10,15 +10,15 @@ from kiosklake.operators.ranking import first_per
 from kiosklake.sources.tables import Tables
 
 
-def _held(rental: DataFrame, as_of) -> DataFrame:
+def _held(t: Tables, as_of) -> DataFrame:
     """Rentals that hold their disc: open, or covering the instant."""
-    start, end = F.col("period_start"), F.col("period_end")
-    return rental.filter(periods.is_open(end) | periods.contains(start, end, as_of))
+    covering = t.holding("rental", as_of).filter(~periods.is_open(F.col("period_end")))
+    return t.still_open("rental").unionByName(covering)
 
 
 def discs_with_stock_flag(t: Tables, as_of) -> DataFrame:
     """Every disc with ``in_stock``: no rental is open or covers the instant."""
-    held = _held(t.rental, as_of).select("inventory_id").distinct().withColumn("_held", F.lit(True))
+    held = _held(t, as_of).select("inventory_id").distinct().withColumn("_held", F.lit(True))
     return t.inventory.join(held, "inventory_id", "left").select(
         "inventory_id", "film_id", "store_id", F.col("_held").isNull().alias("in_stock")
     )
@@ -36,7 +36,7 @@ def film_in_stock(t: Tables, as_of, film_id=None, store_id=None, in_stock: bool
 
 def disc_holders(t: Tables, as_of) -> DataFrame:
     """Who holds each disc; of overlapping rentals the lowest id answers."""
-    held = _held(t.rental, as_of).select("inventory_id", "customer_id", "rental_id")
+    held = _held(t, as_of).select("inventory_id", "customer_id", "rental_id")
     return first_per(held, ["inventory_id"], [F.col("rental_id")]).drop("rental_id")
 
 

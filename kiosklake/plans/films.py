@@ -166,7 +166,7 @@ def film_near_zip(
 ) -> DataFrame:
     """Stores near a zip code with free copies of a film, nearest first."""
     free = (
-        only(available_discs(t.inventory, t.rental), "film_id", film_id)
+        only(available_discs(t), "film_id", film_id)
         .groupBy("film_id", "store_id")
         .agg(F.count(F.lit(1)).alias("copies_available"))
     )

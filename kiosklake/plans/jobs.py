@@ -2,12 +2,14 @@
 
 Every frame a job returns is computed from the tables it was given, so the parts
 of one job never see each other's changes except where stated. Nothing is written
-here; ``kiosklake.sources.tables.write_snapshot`` publishes a result.
+here; ``kiosklake.sources.tables.write_changes`` publishes the changed rows of a result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,7 +18,7 @@ from kiosklake.functions.numbers import MONEY_SUM, draw, sampled
 from kiosklake.functions.pricing import FALLBACK_COST, daily_rate, rental_fee, replacement_cost
 from kiosklake.operators.availability import IN_CIRCULATION
 from kiosklake.operators.maintain import (
-    DORMANT, SUSPENDED, WON_BACK, append, log_status, row_counts, status_entries, update_from, with_next_ids,
+    DORMANT, SUSPENDED, WON_BACK, append, changed_rows, numbered_entries, row_counts, status_entries, update_from, with_next_ids,
 )
 from kiosklake.operators.membership import only
 from kiosklake.operators.ranking import first_per, random_slice
@@ -32,10 +34,16 @@ LOST = 2
 
 @dataclass
 class JobResult:
-    """Outcome of a job: the next tables, the rows it added or touched, and their counts."""
+    """Outcome of a job: the next tables, the rows it added or touched, and their counts.
+
+    ``changes`` holds, per table, the new and changed rows alone, as ``write_changes`` takes
+    them. Numbered rows are written when they are first asked for, so a caller who wants one
+    table does not pay for the others.
+    """
 
     tables: Tables
-    rows: dict[str, DataFrame] = field(default_factory=dict)
+    rows: Tables = field(default_factory=lambda: Tables({}))
+    changes: Tables = field(default_factory=lambda: Tables({}))
 
     def summary(self) -> DataFrame:
         """``(label, n)``: how many rows of each kind the job produced."""
@@ -50,6 +58,10 @@ def _payments(t: Tables, charges: DataFrame) -> DataFrame:
     return with_next_ids(rows, "payment_id", t.payment, ["rental_id"]).select(*t.payment.columns)
 
 
+def _billed(t: Tables, paid: Callable[[], DataFrame]) -> Tables:
+    return t.replaced(payment=lambda: append(t.payment, paid()))
+
+
 # --- billing -----------------------------------------------------------------
 
 
@@ -77,14 +89,14 @@ def insert_payments(t: Tables, around=None) -> JobResult:
         rental = t.within("rental", lo, hi).filter(
             (F.col("period_start") >= lo) & (F.col("period_start") <= hi)
         )
-    added = due_payments(t, rental)
-    return JobResult(t.replaced(payment=append(t.payment, added)), {"payments": added})
+    added = cache(lambda: due_payments(t, rental))
+    return JobResult(_billed(t, added), Tables({"payments": added}), Tables({"payment": added}))
 
 
 def single_payment(t: Tables, rental_id: int) -> JobResult:
     """Bill one rental."""
-    added = due_payments(t, t.rental.filter(F.col("rental_id") == rental_id))
-    return JobResult(t.replaced(payment=append(t.payment, added)), {"payments": added})
+    added = cache(lambda: due_payments(t, t.rental.filter(F.col("rental_id") == rental_id)))
+    return JobResult(_billed(t, added), Tables({"payments": added}), Tables({"payment": added}))
 
 
 # --- returns -----------------------------------------------------------------
@@ -103,9 +115,8 @@ def plan_returns(
     seed: str = "returns",
 ) -> DataFrame:
     """Seeded choice of rentals to close, each with a return time and a nearby return store."""
-    eligible = t.rental.filter(
-        periods.is_open(F.col("period_end"))
-        & (F.col("period_start") < periods.shift(as_of, hours=-min_age_hours))
+    eligible = t.still_open("rental").filter(
+        F.col("period_start") < periods.shift(as_of, hours=-min_age_hours)
     ).select("rental_id", "customer_id", "period_start")
     chosen = random_slice(eligible, seed, ["rental_id"], skip_pct, completion_pct)
     chosen = materialize(chosen, "chosen-returns")
@@ -140,7 +151,7 @@ def complete_rentals(
     if default_store:
         back = F.coalesce(back, F.col("store_id"))
     done = (
-        t.rental.filter(periods.is_open(F.col("period_end")))
+        t.still_open("rental")
         .join(returns, "rental_id")
         .select(
             "rental_id", "customer_id", "inventory_id", "period_start",
@@ -153,24 +164,27 @@ def complete_rentals(
     )
     done = materialize(done, "completed")  # feeds three tables
     stamp = as_of if stamp_rentals else None
-    rental = update_from(t.rental, done, ["rental_id"], {"period_end": "return_time"}, stamp=stamp)
+    closing = (done, ["rental_id"], {"period_end": "return_time"})
+    rental = update_from(t.rental, *closing, stamp=stamp)
     moves = first_per(
         done.filter(F.col("new_store").isNotNull()).select("inventory_id", "new_store", "rental_id"),
         ["inventory_id"], [F.col("rental_id")],
     )
     moved_if = ~F.col("store_id").eqNullSafe(F.col("_new_new_store"))
-    inventory = update_from(
-        t.inventory, moves, ["inventory_id"], {"store_id": "new_store"}, only_if=moved_if, stamp=as_of
-    )
+    moving = (t.inventory, moves, ["inventory_id"], {"store_id": "new_store"})
+    inventory = update_from(*moving, only_if=moved_if, stamp=as_of)
     charges = done.join(disc_films(t).select("inventory_id"), "inventory_id", "left_semi").select(
         "customer_id", "rental_id",
         rental_fee(F.col("period_start"), F.col("return_time"), daily_rate(t.pricing)).alias("amount"),
         F.col("return_time").alias("payment_date"),
     )
-    paid = _payments(t, charges)
+    paid = cache(lambda: _payments(t, charges))
     return JobResult(
-        t.replaced(rental=rental, inventory=inventory, payment=append(t.payment, paid)),
-        {"completed": done, "payments": paid},
+        _billed(t, paid).replaced(rental=rental, inventory=inventory), Tables({"completed": done, "payments": paid}),
+        Tables({
+            "rental": lambda: changed_rows(t.still_open("rental"), *closing, stamp=stamp),
+            "inventory": lambda: changed_rows(*moving, only_if=moved_if, stamp=as_of), "payment": paid,
+        }),
     )
 
 
@@ -182,10 +196,7 @@ def return_rentals(
     A disc whose customer has no store nearby stays where it is.
     """
     back = only(
-        t.rental.filter(
-            periods.is_open(F.col("period_end"))
-            & (F.col("period_start") < periods.shift(as_of, hours=-min_age_hours))
-        ),
+        t.still_open("rental").filter(F.col("period_start") < periods.shift(as_of, hours=-min_age_hours)),
         "rental_id", rental_id,
     ).select("rental_id", "customer_id")
     stores = random_near_store(t, back, "rental_id", seed, radius_m).select(
@@ -201,28 +212,51 @@ def return_rentals(
 
 
 def _open_longer_than(t: Tables, as_of, days: int) -> DataFrame:
-    return t.rental.filter(
-        periods.is_open(F.col("period_end"))
-        & (F.col("period_start") < periods.shift(as_of, days=-days))
+    return t.still_open("rental").filter(
+        F.col("period_start") < periods.shift(as_of, days=-days)
     ).select("rental_id", "customer_id", "inventory_id")
 
 
-def _write_off(t: Tables, lost: DataFrame, as_of, stamp_rentals: bool) -> tuple[Tables, DataFrame]:
-    """Close lost rentals, mark their discs lost and charge each one's ``amount``."""
+def _write_off(t: Tables, lost: DataFrame, as_of, stamp_rentals: bool) -> tuple[Tables, Tables]:
+    """Close lost rentals, mark their discs lost and charge each one's ``amount``.
+
+    Returns the next tables, and the changed rows of each.
+    """
     now = periods.moment(as_of)
     closed = lost.select("rental_id", now.alias("loss_date"))
     stamp = as_of if stamp_rentals else None
-    rental = update_from(t.rental, closed, ["rental_id"], {"period_end": "loss_date"}, stamp=stamp)
+    closing = (closed, ["rental_id"], {"period_end": "loss_date"})
+    rental = update_from(t.rental, *closing, stamp=stamp)
     discs = lost.select("inventory_id").distinct().withColumn("status", F.lit(LOST))
-    inventory = update_from(t.inventory, discs, ["inventory_id"], {"status_id": "status"}, stamp=as_of)
+    marking = (t.inventory, discs, ["inventory_id"], {"status_id": "status"})
+    inventory = update_from(*marking, stamp=as_of)
     charges = lost.select("customer_id", "rental_id", "amount", now.alias("payment_date"))
-    paid = _payments(t, charges)
-    return t.replaced(rental=rental, inventory=inventory, payment=append(t.payment, paid)), paid
+    paid = cache(lambda: _payments(t, charges))
+    changes = Tables({
+        "rental": lambda: changed_rows(t.still_open("rental"), *closing, stamp=stamp),
+        "inventory": lambda: changed_rows(*marking, stamp=as_of), "payment": paid,
+    })
+    return _billed(t, paid).replaced(rental=rental, inventory=inventory), changes
 
 
-def _set_active(customer: DataFrame, ids: DataFrame, active: bool, as_of) -> DataFrame:
+def _set_active(t: Tables, ids: DataFrame, active: bool, as_of) -> tuple[DataFrame, Tables]:
+    """The customers after some were switched, and those alone."""
     flagged = ids.select("customer_id").withColumn("flag", F.lit(active))
-    return update_from(customer, flagged, ["customer_id"], {"activebool": "flag"}, stamp=as_of)
+    switching = (t.customer, flagged, ["customer_id"], {"activebool": "flag"})
+    return update_from(*switching, stamp=as_of), Tables({"customer": lambda: changed_rows(*switching, stamp=as_of)})
+
+
+def _logged(t: Tables, entries: DataFrame) -> tuple[Callable[[], DataFrame], Tables]:
+    """The log with entries added, and the new rows of it; both open when asked for."""
+    new = cache(lambda: numbered_entries(t.customer_status_log, entries))
+    return (lambda: append(t.customer_status_log, new())), Tables({"customer_status_log": new})
+
+
+def _switched(t: Tables, ids: DataFrame, entries: DataFrame, active: bool, as_of) -> tuple[Tables, Tables]:
+    """Switch customers and log it: the next tables, and the changed rows of each."""
+    customer, people = _set_active(t, ids, active, as_of)
+    log, added = _logged(t, entries)
+    return t.replaced(customer=customer, customer_status_log=log), people.joined(added)
 
 
 def process_lost_rentals(
@@ -240,18 +274,16 @@ def process_lost_rentals(
     )
     cost = replacement_cost(t.pricing, F.col("release_date"), as_of)
     lost = materialize(lost.withColumn("amount", cost), "lost")  # feeds five tables
-    tables, paid = _write_off(t, lost, as_of, stamp_rentals=False)
-    rows = {"lost": lost, "payments": paid}
+    tables, changes = _write_off(t, lost, as_of, stamp_rentals=False)
+    rows = {"lost": lost, "payments": lambda: changes.payment}
     if suspend:
         hit = lost.groupBy("customer_id").agg(F.min("rental_id").alias("rental_id"))
         hit = hit.join(t.customer.select("customer_id"), "customer_id", "left_semi")
         entries = status_entries(hit, SUSPENDED, status_date=as_of, rental_id=F.col("rental_id"))
-        tables = tables.replaced(
-            customer=_set_active(t.customer, hit, False, as_of),
-            customer_status_log=log_status(t.customer_status_log, entries),
-        )
+        tables, suspended = _switched(tables, hit, entries, False, as_of)
+        changes = changes.joined(suspended)
         rows["suspended"] = entries
-    return JobResult(tables, rows)
+    return JobResult(tables, Tables(rows), changes)
 
 
 def process_lost_inventory(
@@ -267,11 +299,12 @@ def process_lost_inventory(
     cost = replacement_cost(t.pricing, F.col("release_date"), as_of)
     fallback = F.lit(FALLBACK_COST).cast("decimal(12,2)")
     lost = materialize(lost.withColumn("amount", F.coalesce(cost, fallback)), "lost")
-    tables, paid = _write_off(t, lost, as_of, stamp_rentals=True)
+    tables, changes = _write_off(t, lost, as_of, stamp_rentals=True)
+    rows = Tables({"lost": lost, "payments": lambda: changes.payment})
     if deactivate_customer:
-        hit = lost.select("customer_id").distinct()
-        tables = tables.replaced(customer=_set_active(t.customer, hit, False, as_of))
-    return JobResult(tables, {"lost": lost, "payments": paid})
+        customer, stopped = _set_active(t, lost.select("customer_id").distinct(), False, as_of)
+        return JobResult(tables.replaced(customer=customer), rows, changes.joined(stopped))
+    return JobResult(tables, rows, changes)
 
 
 def charges_total(result: JobResult) -> DataFrame:
@@ -307,13 +340,8 @@ def deactivate_dormant(t: Tables, as_of, dormant_days: int = 180) -> JobResult:
     )
     dormant = materialize(dormant, "dormant")
     entries = status_entries(dormant, DORMANT, status_date=as_of, days=dormant_days)
-    return JobResult(
-        t.replaced(
-            customer=_set_active(t.customer, dormant, False, as_of),
-            customer_status_log=log_status(t.customer_status_log, entries),
-        ),
-        {"deactivated": entries},
-    )
+    tables, changes = _switched(t, dormant, entries, False, as_of)
+    return JobResult(tables, Tables({"deactivated": entries}), changes)
 
 
 def win_back(t: Tables, as_of, reactivate_pct: float = 0.5, seed: str = "winback") -> JobResult:
@@ -323,13 +351,8 @@ def win_back(t: Tables, as_of, reactivate_pct: float = 0.5, seed: str = "winback
     ).select("customer_id")
     back = materialize(back, "won-back")
     entries = status_entries(back, WON_BACK, status_date=as_of)
-    return JobResult(
-        t.replaced(
-            customer=_set_active(t.customer, back, True, as_of),
-            customer_status_log=log_status(t.customer_status_log, entries),
-        ),
-        {"reactivated": entries},
-    )
+    tables, changes = _switched(t, back, entries, True, as_of)
+    return JobResult(tables, Tables({"reactivated": entries}), changes)
 
 
 def update_customer_activity(
@@ -339,11 +362,11 @@ def update_customer_activity(
     first = deactivate_dormant(t, as_of, dormant_days)
     # the second step reads both changed tables several times
     between = first.tables.replaced(
-        customer=materialize(first.tables.customer, "activity-customer"),
-        customer_status_log=materialize(first.tables.customer_status_log, "activity-log"),
+        customer=cache(lambda: materialize(first.tables.customer, "activity-customer")),
+        customer_status_log=cache(lambda: materialize(first.tables.customer_status_log, "activity-log")),
     )
     second = win_back(between, as_of, reactivate_pct, seed)
-    return JobResult(second.tables, {**first.rows, **second.rows})
+    return JobResult(second.tables, first.rows.joined(second.rows))
 
 
 def nightly_maintenance(
@@ -358,4 +381,4 @@ def nightly_maintenance(
     """Lost inventory, then customer activity over its result."""
     lost = process_lost_inventory(t, as_of, lost_threshold_days, deactivate_lost_customers)
     activity = update_customer_activity(lost.tables, as_of, dormant_days, reactivate_pct, seed)
-    return JobResult(activity.tables, {**lost.rows, **activity.rows})
+    return JobResult(activity.tables, lost.rows.joined(activity.rows))

@@ -8,7 +8,7 @@ from kiosklake.functions import periods
 from kiosklake.functions.numbers import MONEY_SUM, half_even_int, ratio
 from kiosklake.functions.pricing import daily_rate, price, replacement_cost
 from kiosklake.operators.availability import IN_CIRCULATION, with_availability
-from kiosklake.operators.geojoin import count_within_radius
+from kiosklake.operators.geotree import count_within
 from kiosklake.operators.membership import only
 from kiosklake.plans.showcase import banded, with_share
 from kiosklake.plans.views import disc_films
@@ -109,7 +109,7 @@ def customer_status_summary(
 def film_availability(t: Tables, min_stores: int = 0) -> DataFrame:
     """Per film: stores holding it, copies, and copies free to rent."""
     discs = with_availability(
-        t.inventory.select("inventory_id", "film_id", "store_id", "status_id"), t.rental
+        t.inventory.select("inventory_id", "film_id", "store_id", "status_id"), t
     )
     per_store = discs.groupBy("film_id", "store_id").agg(
         F.count(F.lit(1)).alias("copies"), F.count_if("is_available").alias("free")
@@ -134,7 +134,7 @@ def film_availability(t: Tables, min_stores: int = 0) -> DataFrame:
 
 def nearby_customer_counts(t: Tables, radius_m: float = NEARBY_M, customers: DataFrame | None = None) -> DataFrame:
     """``(store_id, nearby_customers)`` for every store."""
-    return count_within_radius(
+    return count_within(
         t.store.select("store_id", "lat", "lng"),
         t.customer if customers is None else customers,
         radius_m,
@@ -205,9 +205,8 @@ def inventory_status_summary(t: Tables) -> DataFrame:
 def overdue_in_circulation(t: Tables, as_of, overdue_days: int = 7) -> DataFrame:
     """Open rentals past a number of days whose disc is in circulation, with its replacement cost."""
     now = periods.moment(as_of)
-    late = t.rental.filter(
-        periods.is_open(F.col("period_end"))
-        & (F.col("period_start") < periods.shift(as_of, days=-overdue_days))
+    late = t.still_open("rental").filter(
+        F.col("period_start") < periods.shift(as_of, days=-overdue_days)
     ).select("rental_id", "period_start", "customer_id", "inventory_id")
     discs = t.inventory.filter(F.col("status_id") == IN_CIRCULATION).select("inventory_id", "film_id")
     return (

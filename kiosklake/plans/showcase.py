@@ -245,14 +245,14 @@ def top_directors(t: Tables, min_films: int = 2, k: int = 10) -> DataFrame:
     )
 
 
-def actor_pairs(t: Tables, min_films: int = 5, k: int = 15, heavy: int = 1000) -> DataFrame:
+def actor_pairs(t: Tables, min_films: int = 5, k: int = 15) -> DataFrame:
     """Pairs of actor names by films together; people with equal names merge."""
     # a name is known by its smallest person id while pairs are counted
     names = t.person.groupBy("name").agg(F.min("person_id").alias("name_id"))
     ids = t.person.select("person_id", "name").join(names, "name").select("person_id", "name_id")
     pairs = shared_group_pairs(
         t.film_cast.select("film_id", "person_id").join(ids, "person_id"),
-        group="film_id", label="name_id", member="person_id", min_groups=min_films, heavy=heavy,
+        group="film_id", label="name_id", member="person_id", min_groups=min_films, best=k,
     )
 
     def named(column: str, alias: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from kiosklake.functions import periods
 from kiosklake.functions.numbers import draw
-from kiosklake.operators.availability import IN_CIRCULATION, available_discs, busy
+from kiosklake.operators.availability import IN_CIRCULATION, available_discs
 from kiosklake.operators.geojoin import radius_join
+from kiosklake.operators.geotree import pick_within
 from kiosklake.operators.maintain import append, emptied, update_from, with_next_ids
 from kiosklake.operators.membership import not_in
 from kiosklake.operators.ranking import dealt_round_robin, numbered, paired_by_rank, shuffled_rank
@@ -40,24 +41,15 @@ def random_near_store(
 ) -> DataFrame:
     """One seeded random store near the customer of every row; rows without one drop out.
 
-    ``rows`` has ``key`` and ``customer_id``. A customer's stores are numbered once
-    and each row draws a number, so rows never multiply by the stores in reach.
+    ``rows`` has ``key`` and ``customer_id``. Stores are drawn down a tree of counted cells,
+    so customers are never listed with the stores in their reach.
     """
-    wanted = rows.select("customer_id").distinct()
-    near = store_pool(t, radius_m, t.customer.join(wanted, "customer_id", "left_semi"))
-    mine = Window.partitionBy("customer_id")
-    listed = near.withColumn("pick", F.row_number().over(mine.orderBy("store_id"))).withColumn(
-        "reach", F.count(F.lit(1)).over(mine)
-    )
-    listed = materialize(listed, "near-stores")  # read twice below
-    reach = listed.filter(F.col("pick") == 1).select("customer_id", "reach")
-    return (
-        rows.join(reach, "customer_id")
-        .withColumn("pick", (F.floor(draw(seed, F.col(key)) * F.col("reach")) + 1).cast("int"))
-        .drop("reach")
-        .join(listed.drop("reach"), ["customer_id", "pick"])
-        .drop("pick")
-    )
+    placed = rows.join(t.customer.select("customer_id", F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng")), "customer_id")
+    stores = t.store.select("store_id", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
+    return pick_within(
+        placed, stores, radius_m, row_at=("c_lat", "c_lng"), item_at=("s_lat", "s_lng"), item_keys=["store_id"],
+        draw=draw(seed, F.col(key)),
+    ).drop("c_lat", "c_lng")
 
 
 def day_targets(t: Tables, total: int, radius_m: float = NEARBY_M) -> DataFrame:
@@ -75,7 +67,7 @@ def pair_rentals(t: Tables, day: str, total: int, seed: str = "pair", radius_m:
     A customer near several stores is first given one of them at random.
     """
     lo, hi = periods.moment(day), periods.shift(day, days=1)
-    out = busy(t.rental, lo, hi)
+    out = t.touching("rental", lo, hi)
     targets = day_targets(t, total, radius_m).filter(F.col("target") > 0).select("store_id", "target")
     targets = materialize(targets, "day-targets")  # joined to customers and to discs
     idle = t.customer.filter(F.col("activebool")).select("customer_id").join(
@@ -116,14 +108,9 @@ def rebalance_moves(
     # buffers of 10 % either way, in whole numbers
     under = levels.filter(have * 10 < want * 9).select("store_id", (want - have).alias("need"))
     over = levels.filter(have * 10 > want * 11).select("store_id", (have - want).alias("excess"))
-    slots = numbered(
-        under,
-        order=[F.col("need").desc(), F.col("store_id")],
-        buckets=[-F.col("need"), F.floor(F.col("store_id") / 1_000_000)],
-        name="slot_rank",
-    ).select("slot_rank", F.col("store_id").alias("to_store"))
+    slots = numbered(under, order=[F.col("need").desc(), F.col("store_id")], name="slot_rank").select("slot_rank", F.col("store_id").alias("to_store"))
     total = under.agg(F.count(F.lit(1)).alias("n")).scalar()
-    free = available_discs(t.inventory, t.rental).select("inventory_id", "store_id").join(over, "store_id")
+    free = available_discs(t).select("inventory_id", "store_id").join(over, "store_id")
     given = shuffled_rank(free, f"{seed}-store", ["inventory_id"], by=["store_id"]).filter(
         F.col("rn") <= F.col("excess")
     )

@@ -43,7 +43,7 @@ def recycle_discs(
     retired = (
         worn_discs(t, store_id, min_rentals, batch)
         .select("inventory_id")
-        .join(discs_out(t.rental), "inventory_id", "left_anti")
+        .join(discs_out(t), "inventory_id", "left_anti")
         .withColumn("status", F.lit(RETIRED))
     )
     inventory = update_from(
@@ -78,7 +78,7 @@ def utilization(t: Tables, as_of, days: int, store_id=None, k: int = 50) -> Data
 def _discs(t: Tables, store_id, circulating: bool = False) -> DataFrame:
     inventory = _circulating(t, store_id) if circulating else only(t.inventory, "store_id", store_id)
     return with_availability(
-        inventory.select("inventory_id", "film_id", "store_id", "status_id"), t.rental
+        inventory.select("inventory_id", "film_id", "store_id", "status_id"), t
     )
 
 
@@ -133,7 +133,7 @@ def store_shelf(t: Tables, store_id=None, k: int = 50) -> DataFrame:
 
 def longest_overdue(t: Tables, as_of, k: int = 50) -> DataFrame:
     """The ``k`` oldest open rentals; only these meet the names."""
-    late = with_partners(t, t.rental.filter(periods.is_open(F.col("period_end"))))
+    late = with_partners(t, t.still_open("rental"))
     late = late.join(t.store.select("store_id"), "store_id", "left_semi").select(*t.rental.columns)
     oldest = top_per(late, [], [F.col("period_start"), F.col("rental_id")], k)
     return overdue_rentals(t.replaced(rental=oldest), as_of).orderBy(F.col("days_outstanding").desc(), "rental_id").select(
@@ -151,9 +151,8 @@ def overdue_by_store(t: Tables, as_of, store_id=None) -> DataFrame:
 def overdue_at_store(t: Tables, as_of, store_id=None, days: int = 5, k: int = 50) -> DataFrame:
     """A store's oldest open rentals past the limit with whole days out."""
     now = periods.moment(as_of)
-    late = only(t.rental, "store_id", store_id).filter(
-        periods.is_open(F.col("period_end"))
-        & (F.col("period_start") < periods.shift(as_of, days=-days))
+    late = only(t.still_open("rental"), "store_id", store_id).filter(
+        F.col("period_start") < periods.shift(as_of, days=-days)
     ).select("rental_id", "store_id", "period_start", "customer_id", "inventory_id")
     oldest = top_per(late, ["store_id"], [F.col("period_start"), F.col("rental_id")], k)
     return (

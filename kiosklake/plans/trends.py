@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from kiosklake.functions import periods
 from kiosklake.functions.numbers import MONEY_SUM
-from kiosklake.operators.availability import busy
 from kiosklake.operators.membership import only
 from kiosklake.operators.ranking import top_per
 from kiosklake.plans import showcase
@@ -17,7 +16,7 @@ from kiosklake.sources.tables import Tables
 
 def busy_lately(t: Tables, as_of, days: int) -> DataFrame:
     """Rentals whose period touches the last ``days`` days."""
-    return busy(t.within("rental", hi=as_of), periods.shift(as_of, days=-days), as_of)
+    return t.touching("rental", periods.shift(as_of, days=-days), as_of)
 
 
 def genre_popularity(t: Tables, as_of, days: int, k: int = 10) -> DataFrame:

@@ -79,9 +79,8 @@ def with_partners(t: Tables, rental: DataFrame) -> DataFrame:
 def overdue_rentals(t: Tables, as_of, days: int = 5) -> DataFrame:
     """Open rentals that started more than ``days`` days ago."""
     now = periods.moment(as_of)
-    late = t.rental.filter(
-        periods.is_open(F.col("period_end"))
-        & (F.col("period_start") < periods.shift(as_of, days=-days))
+    late = t.still_open("rental").filter(
+        F.col("period_start") < periods.shift(as_of, days=-days)
     ).select("rental_id", "period_start", "customer_id", "inventory_id", "store_id")
     return (
         late.join(t.customer.select("customer_id", "full_name", "email", "phone"), "customer_id")

@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from kiosklake.plans import customers, jobs, stock, stores
-from kiosklake.sources.tables import current_version, read_snapshot, write_snapshot
+from kiosklake.plans import customers, earlier, jobs, reports, stock, stores, views
+from kiosklake.sources.tables import Tables, current_version, read_snapshot, write_changes, write_snapshot
 from tests.conftest import AS_OF, dt, money
 
 
@@ -145,7 +145,7 @@ def test_snapshot_retry_and_old_versions(spark, tables, tmp_path):
     root = str(tmp_path / "snap")
     write_snapshot({"payment": tables.payment}, root, 1)
     # what a job that died half-way left behind
-    tables.payment.limit(1).write.parquet(f"{root}/v000002/payment")
+    tables.payment.limit(1).write.parquet(f"{root}/payment/written=2/month=2025-06")
     write_snapshot({"payment": tables.payment}, root, 2)
     assert read_snapshot(spark, root).payment.count() == tables.payment.count()
     for version in (1, 2):
@@ -175,3 +175,76 @@ def test_snapshots_carry_unchanged_tables(spark, tables, tmp_path):
     plan = now.rental.filter(F.col("period_start") < F.lit("2025-01-01").cast("timestamp_ntz"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(period_start" in text
+
+
+KEPT = ("rental", "payment", "inventory", "film", "pricing", "customer", "customer_status_log")
+
+
+def _files(df):
+    """Folders below the snapshot that the scans of a plan read, once partitions are pruned."""
+    leaves, found = df._jdf.queryExecution().sparkPlan().collectLeaves(), set()
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() != "FileSourceScanExec":
+            continue
+        listed = leaf.relation().location().listFiles(leaf.partitionFilters(), leaf.dataFilters())
+        files = [listed.apply(i).files() for i in range(listed.size())]
+        found |= {fs.apply(k).getPath().toString() for fs in files for k in range(fs.size())}
+    return {f.split("/snap/")[1].rsplit("/", 1)[0] for f in found if "/snap/" in f}
+
+
+def test_open_questions_open_the_open_folders(spark, tables, tmp_path):
+    root = str(tmp_path / "snap")
+    write_snapshot({n: tables[n] for n in KEPT}, root, 1)
+    t = read_snapshot(spark, root).joined(Tables({n: tables[n] for n in ("store", "film_genre", "inventory_status")}))
+    assert {f.split("/until=")[1] for f in _files(t.still_open("rental"))} == {"open"}
+    for frame in (
+        views.overdue_rentals(t, AS_OF), reports.film_availability(t), reports.overdue_in_circulation(t, AS_OF),
+        stores.stock_of_stores(t), jobs._open_longer_than(t, AS_OF, 30),
+    ):
+        read = {f for f in _files(frame) if f.startswith("rental/")}
+        assert read and all(f.endswith("until=open") for f in read)
+    whole = tables
+    assert rows(views.overdue_rentals(t, AS_OF), "rental_id") == rows(views.overdue_rentals(whole, AS_OF), "rental_id")
+    # overlap: months that begin later or end earlier stay shut
+    busy = _files(t.touching("rental", "2025-05-01", "2025-06-01"))
+    assert busy == {f"rental/written=1/month=2025-0{m}/until=open" for m in (3, 4)}
+    for lo, hi in (("2025-05-01", "2025-06-01"), ("2024-06-01", "2024-06-01 12:00:00"), ("2025-06-02", "2025-06-04"), ("2025-06-03 10:00:00", "2025-06-05")):
+        assert rows(t.touching("rental", lo, hi), "rental_id") == rows(whole.touching("rental", lo, hi), "rental_id")
+    for at in ("2025-06-02 10:00:00", "2025-06-03 10:00:00", "2024-06-01 05:00:00", "2020-01-01"):
+        assert rows(t.holding("rental", at), "rental_id") == rows(whole.holding("rental", at), "rental_id")
+        assert rows(earlier.disc_holders(t, at), "inventory_id", "customer_id") == rows(earlier.disc_holders(whole, at), "inventory_id", "customer_id")
+
+
+@pytest.mark.parametrize("job", [
+    lambda t: jobs.process_lost_rentals(t, AS_OF), lambda t: jobs.insert_payments(t), lambda t: jobs.process_lost_inventory(t, AS_OF),
+    lambda t: jobs.deactivate_dormant(t, AS_OF), lambda t: jobs.win_back(t, AS_OF, 100.0),
+    lambda t: jobs.complete_rentals(t, t.rental.filter("rental_id = 5").selectExpr(
+        "rental_id", "timestamp_ntz'2025-06-15 12:00:00' AS return_time", "2 AS return_store_id"), AS_OF),
+])
+def test_changes_alone_make_the_next_version(spark, tables, tmp_path, job):
+    root = str(tmp_path / "snap")
+    write_snapshot({n: tables[n] for n in KEPT}, root, 1)
+    t = read_snapshot(spark, root)
+    result = job(t)
+    write_changes(result.changes, root, 2)
+    now = read_snapshot(spark, root)
+    assert set(now) == set(t)
+    for name in KEPT:
+        columns = now[name].columns
+        assert rows(now[name], *columns) == rows(result.tables[name].select(*columns), *columns), name
+        assert rows(read_snapshot(spark, root, 1)[name], *columns) == rows(tables[name], *columns)
+
+
+def test_closing_writes_only_its_folders(spark, tables, tmp_path):
+    root = str(tmp_path / "snap")
+    write_snapshot({n: tables[n] for n in KEPT}, root, 1)
+    t = read_snapshot(spark, root)
+    returns = t.rental.filter("rental_id = 6").selectExpr(
+        "rental_id", "timestamp_ntz'2025-06-15 12:00:00' AS return_time", "cast(null AS int) AS return_store_id")
+    write_changes(jobs.complete_rentals(t, returns, AS_OF).changes, root, 2)
+    now = read_snapshot(spark, root)
+    moved = {f for f in _files(now.rental) if "written=2" in f}
+    # the other open rental of its month moves with the folder, nothing else is written
+    assert moved == {"rental/written=2/month=2025-04/until=2025-06", "rental/written=2/month=2025-04/until=open"}
+    assert len(_files(now.rental)) == len(_files(t.rental)) + 1
+    assert {f for f in _files(now.payment) if "written=2" in f} == {"payment/written=2/month=2025-06"}

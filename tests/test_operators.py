@@ -1,9 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from kiosklake.functions.geo import distance_m
-from kiosklake.operators import checks, geojoin, maintain, membership, pairs, ranking
+from kiosklake.operators import checks, geojoin, geotree, maintain, membership, pairs, ranking
 from tests.conftest import dt, frame
 
 
@@ -22,7 +23,7 @@ def scattered(spark, seed, n, box):
 BOXES = [(40.0, 41.0, -75.0, -74.0), (-1.0, 1.0, 179.3, 181.0), (88.6, 90.0, -180.0, 180.0), (69.0, 70.0, 10.0, 14.0)]
 
 
-def test_radius_join_and_count_match_brute_force(spark):
+def test_radius_join_and_count_match_brute_force(spark, monkeypatch):
     for number, box in enumerate(BOXES):
         sites = spark.createDataFrame(scattered(spark, number, 40, box) + [(999, None, None)], "s int, s_lat double, s_lng double")
         points = spark.createDataFrame(scattered(spark, 100 + number, 300, box) + [(999, None, 1.0)], "p int, p_lat double, p_lng double")
@@ -34,11 +35,57 @@ def test_radius_join_and_count_match_brute_force(spark):
         # a part size of 3 splits almost every cell on both sides
         assert ids(geojoin.radius_join(sites, points, 25000.0, rows_per_part=3, **keys), "s", "p") == expected
         keys.pop("point_key")
-        counts = geojoin.count_within_radius(sites, points, 25000.0, name="n", **keys)
         per_site = {}
         for s, _ in expected:
             per_site[s] = per_site.get(s, 0) + 1
-        assert {r.s: r.n for r in counts.collect()} == {r.s: per_site.get(r.s, 0) for r in sites.collect()}
+        for measured in (64, 2) if number % 2 else (64,):  # with 2 positions a cell most cells are cut several times
+            monkeypatch.setattr(geotree, "MEASURED", measured)
+            counts = geotree.count_within(sites, points, 25000.0, name="n", **keys)
+            assert {r.s: r.n for r in counts.collect()} == {r.s: per_site.get(r.s, 0) for r in sites.collect()}
+
+
+@pytest.mark.parametrize("measured", [64, 2])
+def test_picks_are_the_nth_in_reach(spark, monkeypatch, measured):
+    monkeypatch.setattr(geotree, "MEASURED", measured)
+    box = BOXES[0]
+    items = spark.createDataFrame(scattered(spark, 5, 60, box) + scattered(spark, 5, 20, box) + [(999, None, None)], "s int, s_lat double, s_lng double")
+    items = items.withColumn("k", F.monotonically_increasing_id())  # some share their position
+    rows = spark.createDataFrame(scattered(spark, 6, 12, box) + [(99, None, 1.0)], "p int, p_lat double, p_lng double")
+    rows = rows.withColumn("draw", F.explode(F.expr("transform(sequence(0, 19), i -> i / 20.0D)")))
+    got = geotree.pick_within(rows, items, 25000.0, row_at=("p_lat", "p_lng"), item_at=("s_lat", "s_lng"),
+                              item_keys=["s", "k"], draw=F.col("draw"))
+    metres = distance_m(F.col("s_lat"), F.col("s_lng"), F.col("p_lat"), F.col("p_lng"))
+    reach = {}
+    for r in rows.select("p", "p_lat", "p_lng").distinct().crossJoin(items).filter(metres <= 25000).collect():
+        reach.setdefault(r.p, set()).add(r.k)
+    picks = {}
+    for r in got.collect():
+        assert r.k in reach[r.p]
+        picks.setdefault(r.p, []).append((r.draw, r.k))
+    assert set(picks) == set(reach) and max(map(len, reach.values())) > 5
+    for p, drawn in picks.items():
+        order = list(dict.fromkeys(k for _, k in sorted(drawn)))  # each item's draws lie together
+        assert [k for k in order] == [k for i, k in enumerate(order) if k not in order[:i]] and len(drawn) == 20
+        n = len(reach[p])
+        if n <= 20:
+            assert set(order) == reach[p]
+            assert all(abs(sum(k == q for _, k in drawn) - 20 / n) < 1.01 for q in order)
+
+
+def test_dense_cells_are_cut(spark, monkeypatch):
+    """A crowd on the rim of many circles: no cell that is measured holds more than it may."""
+    monkeypatch.setattr(geotree, "MEASURED", 16)
+    crowd = spark.range(3000).select(
+        F.col("id").alias("p"), (40.2250 + (F.col("id") % 50) * 1e-5).alias("p_lat"), (-74.0 + F.floor(F.col("id") / 50) * 1e-5).alias("p_lng"))
+    sites = spark.range(40).select(F.col("id").alias("s"), (40.0 + F.col("id") * 1e-5).alias("s_lat"), F.lit(-74.0).alias("s_lng"))
+    made = geotree.tree(crowd, ("p_lat", "p_lng"), 25000.0)
+    assert 1 < len(made.levels) < 6
+    leaves = made.spots.groupBy(*made.keys(len(made.levels) - 1)).count().agg(F.max("count")).first()[0]
+    assert leaves <= 16
+    counts = geotree.count_within(sites, crowd, 25000.0, site_key="s", site_at=("s_lat", "s_lng"), point_at=("p_lat", "p_lng"), name="n")
+    metres = distance_m(F.col("s_lat"), F.col("s_lng"), F.col("p_lat"), F.col("p_lng"))
+    want = {r.s: r.n for r in sites.crossJoin(crowd).filter(metres <= 25000).groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {r.s: r.n for r in counts.collect() if r.n} == want and 0 < min(want.values()) < 3000
 
 
 def test_nearest_sites(spark):
@@ -60,9 +107,26 @@ def test_numbered_equals_plain_window(spark):
     assert sorted(r.rn for r in whole.collect()) == list(range(1, 3001))
 
 
-def test_numbered_descending_buckets(spark):
+def test_large_groups_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS_PER_TASK", 40)
+    test_numbered_equals_plain_window(spark)
+
+
+def test_numbering_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).mapInArrow(look, "id long")
+    assert ranking.shuffled_rank(df, "x", ["id"]).agg(F.max("rn")).first()[0] == 1000 and seen.value == 1000
+
+
+def test_numbered_descending(spark):
     df = spark.createDataFrame([(i, i % 4) for i in range(50)], "id long, need long")
-    got = ranking.numbered(df, order=[F.col("need").desc(), F.col("id")], buckets=[-F.col("need"), F.floor(F.col("id") / 10)])
+    got = ranking.numbered(df, order=[F.col("need").desc(), F.col("id")])
     want = [r.id for r in df.orderBy(F.col("need").desc(), "id").collect()]
     assert [r.id for r in got.orderBy("rn").collect()] == want
 
@@ -83,28 +147,46 @@ def test_top_per_cuts_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_pairs_match_brute_force_with_heavy_groups(spark):
+def _cast_with_large_groups(spark):
     rng = random.Random(3)
     rows = set()
     for f in range(30):
         size = 25 if f < 8 else rng.randint(2, 8)
         rows |= {(f, p) for p in rng.sample(range(40), size)}
-    cast = spark.createDataFrame(sorted(rows), "f int, p int").withColumn(
+    return spark.createDataFrame(sorted(rows), "f int, p int").withColumn(
         "name", F.concat(F.lit("n"), (F.col("p") - F.when(F.col("p") % 7 == 6, 1).otherwise(0)).cast("string"))
     )
+
+
+def test_pairs_match_brute_force(spark, monkeypatch):
+    cast = _cast_with_large_groups(spark)
     a = cast.select("f", F.col("p").alias("p1"), F.col("name").alias("n1"))
     b = cast.select("f", F.col("p").alias("p2"), F.col("name").alias("n2"))
-    for least in (1, 3, 5, 9):
-        want = (
-            a.join(b, "f").filter("p1 < p2").groupBy("n1", "n2")
-            .agg(F.countDistinct("f").alias("n")).filter(F.col("n") >= least)
-        )
-        expected = ids(want, "n1", "n2", "n")
-        for heavy in (1000, 10, 1):
-            got = pairs.shared_group_pairs(
-                cast, group="f", label="name", member="p", min_groups=least, heavy=heavy
-            )
-            assert ids(got, "label_1", "label_2", "shared") == expected
+    want = a.join(b, "f").filter("p1 < p2").groupBy("n1", "n2").agg(F.countDistinct("f").alias("n")).collect()
+    for least, block in ((1, 512), (3, 3), (5, 7), (9, 512)):
+        monkeypatch.setattr(pairs, "BLOCK", block)
+        expected = sorted((r.n1, r.n2, r.n) for r in want if r.n >= least)
+        got = pairs.shared_group_pairs(cast, group="f", label="name", member="p", min_groups=least)
+        assert ids(got, "label_1", "label_2", "shared") == expected
+    monkeypatch.setattr(pairs, "PILOTS", 5)
+    for best in (1, 4, 10):
+        top = sorted((r.n for r in want), reverse=True)[best - 1]
+        got = pairs.shared_group_pairs(cast, group="f", label="name", member="p", min_groups=2, best=best)
+        assert set(ids(got, "label_1", "label_2", "shared")) >= {(r.n1, r.n2, r.n) for r in want if r.n >= top}
+
+
+def test_the_largest_group_emits_no_pairs(spark, monkeypatch):
+    """A third of all rows in one group: its pairs are looked up, never met."""
+    crowd = spark.range(2000).select(F.lit(0).alias("f"), F.col("id").alias("p"))
+    rest = spark.range(4000).select((F.col("id") % 800 + 1).cast("int").alias("f"), (F.col("id") * 7 % 1999).alias("p"))
+    cast = crowd.union(rest).withColumn("name", F.col("p"))
+    met = []
+    counted = pairs._counted
+    monkeypatch.setattr(pairs, "_counted", lambda entries: met.append(entries.agg(F.max("size")).first()[0]) or counted(entries))
+    got = pairs.shared_group_pairs(cast, group="f", label="name", member="p", min_groups=2)
+    a, b = cast.select("f", F.col("p").alias("p1")), cast.select("f", F.col("p").alias("p2"))
+    want = a.join(b, "f").filter("p1 < p2").groupBy("p1", "p2").agg(F.countDistinct("f").alias("n")).filter("n >= 2")
+    assert ids(got, "label_1", "label_2", "shared") == ids(want, "p1", "p2", "n") and max(met) < 10
 
 
 def test_members_counts_a_repeated_element_once(tables):
