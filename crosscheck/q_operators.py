@@ -235,7 +235,7 @@ def _bill_stream(spark, sf_dir):
     root = session.scratch_path(spark, "billing")
     closed = binding.rental(g).filter(F.col("period_end").isNotNull())
     billing.bill_closed_rentals(closed, t, f"{root}/payments", f"{root}/state").awaitTermination()
-    return plain(billing.billed(spark, f"{root}/payments").drop("batch"))
+    return plain(billing.billed(spark, f"{root}/payments").drop("batch", "month"))
 
 
 QUERIES["j1_bill_closed_rentals"] = _bill_stream

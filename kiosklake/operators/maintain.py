@@ -24,15 +24,20 @@ def append(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows, allowMissingColumns=True).select(*target.columns)
 
 
-def with_next_ids(rows: DataFrame, id_column: str, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Number new rows after the target's largest id.
+def with_next_ids(
+    rows: DataFrame, id_column: str, target: DataFrame, keys: list[str], top: int | None = None
+) -> DataFrame:
+    """Number new rows after the target's largest id, or after ``top`` where the caller knows it.
 
     The numbering is dense, depends only on the row's own ``keys`` (unique per
     row), and is split over tasks.
     """
-    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
+    if top is None:
+        after = target.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
+    else:
+        after = F.lit(top)
     ranked = shuffled_rank(rows, id_column, keys, name="_new")
-    return ranked.withColumn(id_column, (F.col("_new") + top).cast("bigint")).drop("_new")
+    return ranked.withColumn(id_column, (F.col("_new") + after).cast("bigint")).drop("_new")
 
 
 def insert_new(

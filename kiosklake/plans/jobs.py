@@ -50,12 +50,12 @@ class JobResult:
         return row_counts(self.rows)
 
 
-def _payments(t: Tables, charges: DataFrame) -> DataFrame:
-    """Charges (customer_id, rental_id, amount, payment_date) as numbered payment rows."""
+def _payments(t: Tables, charges: DataFrame, top: int | None = None) -> DataFrame:
+    """Charges (customer_id, rental_id, amount, payment_date) as payment rows, numbered after ``top`` or the largest id."""
     rows = charges.select(
         "customer_id", "rental_id", F.col("amount").cast("decimal(12,2)").alias("amount"), "payment_date"
     )
-    return with_next_ids(rows, "payment_id", t.payment, ["rental_id"]).select(*t.payment.columns)
+    return with_next_ids(rows, "payment_id", t.payment, ["rental_id"], top).select(*t.payment.columns)
 
 
 def _billed(t: Tables, paid: Callable[[], DataFrame]) -> Tables:
@@ -65,12 +65,16 @@ def _billed(t: Tables, paid: Callable[[], DataFrame]) -> Tables:
 # --- billing -----------------------------------------------------------------
 
 
-def due_payments(t: Tables, rental: DataFrame) -> DataFrame:
-    """Payment rows for the closed, unpaid rentals among ``rental``."""
+def due_payments(t: Tables, rental: DataFrame, *, known: DataFrame | None = None, top: int | None = None) -> DataFrame:
+    """Payment rows for the closed, unpaid rentals among ``rental``.
+
+    ``known`` has the rental_id of what is paid, all payments by default.
+    """
+    known = t.payment if known is None else known
     closed = (
         rental.filter(~periods.is_open(F.col("period_end")))
         .select("rental_id", "customer_id", "inventory_id", "period_start", "period_end")
-        .join(t.payment.select("rental_id").distinct(), "rental_id", "left_anti")
+        .join(known.select("rental_id").distinct(), "rental_id", "left_anti")
         .join(disc_films(t).select("inventory_id"), "inventory_id", "left_semi")
     )
     charges = closed.select(
@@ -78,7 +82,7 @@ def due_payments(t: Tables, rental: DataFrame) -> DataFrame:
         rental_fee(F.col("period_start"), F.col("period_end"), daily_rate(t.pricing)).alias("amount"),
         F.col("period_end").alias("payment_date"),
     )
-    return _payments(t, charges)
+    return _payments(t, charges, top)
 
 
 def insert_payments(t: Tables, around=None) -> JobResult:
