@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kiosklake.functions import periods
 from kiosklake.functions.numbers import MONEY_SUM, ratio
 from kiosklake.functions.text import join_sorted
 from kiosklake.operators.membership import members
-from kiosklake.sources.tables import Tables
+from kiosklake.sources.tables import Tables, current_version, outdated_months, read_snapshot, replace_months
 
 
 def disc_films(t: Tables) -> DataFrame:
@@ -104,23 +104,43 @@ def overdue_rentals(t: Tables, as_of, days: int = 5) -> DataFrame:
     )
 
 
-def revenue_summary(t: Tables) -> DataFrame:
-    """Payments per renting store and month.
-
-    Money is summed per store, month and customer before the distinct customers
-    are counted, so one aggregation feeds both and a busy store is pre-reduced.
-    """
-    paid = (
-        t.payment.select(
+def revenue_parts(t: Tables, payment: DataFrame | None = None) -> DataFrame:
+    """Payments per renting store, month and customer: parts that add up to any revenue report."""
+    payment = t.payment if payment is None else payment
+    return (
+        payment.select(
             "rental_id", "customer_id", "amount",
             periods.month_start(F.col("payment_date")).alias("revenue_month"),
         )
         .join(t.rental.select("rental_id", "store_id"), "rental_id")
         .groupBy("store_id", "revenue_month", "customer_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+        .agg(F.count(F.lit(1)).alias("payments"), F.sum("amount").cast(MONEY_SUM).alias("amount"))
     )
+
+
+def refresh_revenue_parts(spark: SparkSession, root: str) -> list[str]:
+    """Bring a snapshot's ``revenue_part`` table up to date; returns the months it worked out anew.
+
+    Only months whose payments were written since are read and replaced. Months stay right
+    when rentals are closed, as a rental keeps its store.
+    """
+    stale = outdated_months(spark, root, "payment", "revenue_part")
+    if stale:
+        t = read_snapshot(spark, root)
+        parts = revenue_parts(t, t.of_months("payment", stale))
+        replace_months(parts, root, current_version(spark, root) + 1, "revenue_part", stale)
+    return stale
+
+
+def revenue_summary(t: Tables, parts: DataFrame | None = None) -> DataFrame:
+    """Payments per renting store and month, from ``parts`` kept with a snapshot if they are given.
+
+    Money is summed per store, month and customer before the distinct customers
+    are counted, so one aggregation feeds both and a busy store is pre-reduced.
+    """
+    paid = revenue_parts(t) if parts is None else parts
     monthly = paid.groupBy("store_id", "revenue_month").agg(
-        F.sum("n").alias("payment_count"),
+        F.sum("payments").alias("payment_count"),
         F.sum("amount").cast(MONEY_SUM).alias("total_revenue"),
         F.count("customer_id").alias("unique_customers"),
     )

@@ -46,6 +46,10 @@ _DDL = {
         "rental_id bigint, period_start timestamp_ntz, period_end timestamp_ntz, "
         "inventory_id bigint, customer_id bigint, store_id bigint, last_update timestamp_ntz"
     ),
+    # payments per store, month and customer, worked out from payment and rental
+    "revenue_part": (
+        "store_id bigint, revenue_month timestamp_ntz, customer_id bigint, payments bigint, amount decimal(24,2)"
+    ),
     "payment": (
         "payment_id bigint, customer_id bigint, rental_id bigint, amount decimal(12,2), "
         "payment_date timestamp_ntz"
@@ -81,6 +85,7 @@ _TYPES = {
     "timestamp_ntz": T.TimestampNTZType(),
     "decimal(10,2)": T.DecimalType(10, 2),
     "decimal(12,2)": T.DecimalType(12, 2),
+    "decimal(24,2)": T.DecimalType(24, 2),
     "array<int>": T.ArrayType(T.IntegerType()),
     "array<string>": T.ArrayType(T.StringType()),
 }
@@ -119,6 +124,7 @@ KEYS: dict[str, list[str]] = {
     "inventory_status": ["status_id"],
     "rental": ["rental_id"],
     "payment": ["payment_date", "payment_id"],
+    "revenue_part": ["store_id", "revenue_month", "customer_id"],
     "pricing": ["pricing_key"],
 }
 

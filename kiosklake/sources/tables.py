@@ -34,7 +34,10 @@ class Layout:
         return ["month"] if self.end is None else ["month", "until"]
 
 
-_LAYOUT = {"rental": Layout("period_start", "period_end"), "payment": Layout("payment_date")}
+_LAYOUT = {
+    "rental": Layout("period_start", "period_end"), "payment": Layout("payment_date"),
+    "revenue_part": Layout("revenue_month"),
+}
 
 
 class Tables(Mapping[str, DataFrame]):
@@ -74,6 +77,10 @@ class Tables(Mapping[str, DataFrame]):
         by = _LAYOUT[name]
         return self._cut(name, hi=at, until=at).filter(contains(F.col(by.start), F.col(by.end), at))
 
+    def of_months(self, name: str, months: list[str]) -> DataFrame:
+        """Rows that start in the named months (as ``yyyy-MM``)."""
+        return self._cut(name, months=months).filter(month_text(F.col(_LAYOUT[name].start)).isin(months))
+
     def _cut(self, name: str, **cut) -> DataFrame:
         return self._slices[name](**cut) if name in self._slices else self[name]
 
@@ -113,8 +120,12 @@ def _stored(name: str) -> StructType:
     return StructType([*SCHEMAS[name].fields, *[StructField(f, StringType()) for f in folders]])
 
 
-def _cut_folders(df: DataFrame, name: str, *, lo=None, hi=None, until=None, only_open: bool = False) -> DataFrame:
-    """Folders that start in ``[lo, hi]`` and end in or after ``until``'s month, if at all."""
+def _cut_folders(
+    df: DataFrame, name: str, *, lo=None, hi=None, until=None, only_open: bool = False, months: list[str] | None = None
+) -> DataFrame:
+    """Folders that start in ``[lo, hi]`` or in ``months`` and end in or after ``until``'s month, if at all."""
+    if months is not None:
+        df = df.filter(F.col("month").isin(months))
     if lo is not None:
         df = df.filter(F.col("month") >= month_text(moment(lo)))
     if hi is not None:
@@ -267,6 +278,33 @@ def write_changes(changes: Mapping[str, DataFrame], root: str, version: int) ->
     _publish(spark, root, version, placed)
 
 
+def outdated_months(spark: SparkSession, root: str, source: str, derived: str) -> list[str]:
+    """Months of ``source`` written since ``derived`` was worked out for them, and months it has lost.
+
+    Both tables are stored by month. Read from the manifest alone.
+    """
+    placed = _placement(spark, root)
+
+    def written(name: str) -> dict[str, int]:
+        at: dict[str, int] = {}
+        for folder, version in placed.get(name, {}).items():
+            month = folder.split("/")[0].partition("=")[2]
+            at[month] = max(at.get(month, 0), version)
+        return at
+
+    now, then = written(source), written(derived)
+    return sorted(m for m in now.keys() | then.keys() if m not in now or then.get(m, -1) <= now[m])
+
+
+def replace_months(df: DataFrame, root: str, version: int, name: str, months: list[str]) -> None:
+    """Publish a version in which a table has, for the named months, the rows of ``df`` and no others."""
+    spark = df.sparkSession
+    placed = _next_version(spark, root, version)
+    kept = {f: at for f, at in placed.get(name, {}).items() if f.split("/")[0].partition("=")[2] not in months}
+    placed[name] = kept | _written(df, root, name, version)
+    _publish(spark, root, version, placed)
+
+
 def _manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
 

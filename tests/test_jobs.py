@@ -206,7 +206,7 @@ def test_open_questions_open_the_open_folders(spark, tables, tmp_path):
     whole = tables
     assert rows(views.overdue_rentals(t, AS_OF), "rental_id") == rows(views.overdue_rentals(whole, AS_OF), "rental_id")
     # overlap: months that begin later or end earlier stay shut
-    busy = _files(t.touching("rental", "2025-05-01", "2025-06-01"))
+    busy = _files(t.touching("rental", "2025-05-01", "2025-05-31"))
     assert busy == {f"rental/written=1/month=2025-0{m}/until=open" for m in (3, 4)}
     for lo, hi in (("2025-05-01", "2025-06-01"), ("2024-06-01", "2024-06-01 12:00:00"), ("2025-06-02", "2025-06-04"), ("2025-06-03 10:00:00", "2025-06-05")):
         assert rows(t.touching("rental", lo, hi), "rental_id") == rows(whole.touching("rental", lo, hi), "rental_id")
@@ -248,3 +248,22 @@ def test_closing_writes_only_its_folders(spark, tables, tmp_path):
     assert moved == {"rental/written=2/month=2025-04/until=2025-06", "rental/written=2/month=2025-04/until=open"}
     assert len(_files(now.rental)) == len(_files(t.rental)) + 1
     assert {f for f in _files(now.payment) if "written=2" in f} == {"payment/written=2/month=2025-06"}
+
+
+def test_revenue_parts_follow_changed_months(spark, tables, tmp_path):
+    root = str(tmp_path / "snap")
+    write_snapshot({n: tables[n] for n in (*KEPT, "store")}, root, 1)
+    assert views.refresh_revenue_parts(spark, root) == ["2024-06", "2025-06"]
+    assert views.refresh_revenue_parts(spark, root) == []
+    t = read_snapshot(spark, root)
+    write_changes(jobs.insert_payments(t).changes, root, 3)
+    assert views.refresh_revenue_parts(spark, root) == ["2025-06"]
+    now = read_snapshot(spark, root)
+    # the other month's part is the one first written
+    assert _files(now.revenue_part) == {"revenue_part/written=2/month=2024-06", "revenue_part/written=4/month=2025-06"}
+    columns = views.revenue_summary(now).columns
+    assert rows(views.revenue_summary(now, now.revenue_part), *columns) == rows(views.revenue_summary(now), *columns)
+    # a month that loses all its payments loses its part
+    write_snapshot({"payment": now.payment.filter("payment_date > timestamp_ntz'2025-01-01'")}, root, 5)
+    assert "2024-06" in views.refresh_revenue_parts(spark, root)
+    assert all("2024-06" not in f for f in _files(read_snapshot(spark, root).revenue_part))
