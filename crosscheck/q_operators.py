@@ -12,7 +12,7 @@ from crosscheck.registry import ORACLE, QUERIES, register
 from kiosklake import session
 from kiosklake.functions import numbers, periods, text
 from kiosklake.operators import checks, maintain, membership, ranking
-from kiosklake.plans import earlier, jobs
+from kiosklake.plans import earlier, ingest, jobs
 from kiosklake.sources import landing, tables
 from kiosklake.sources.schemas import KEYS, REFERENCES, SCHEMAS
 from kiosklake.streaming import billing, lost
@@ -22,6 +22,41 @@ from kiosklake.streaming import billing, lost
 RENTAL = "SELECT rental_id, period_start, period_end, inventory_id, customer_id, store_id, last_update FROM d_rental"
 
 
+def _landing_lines(g):
+    """One line a part: some cut off, some without their key, some with a broken text column."""
+    k = F.col("p_partkey")
+    text_of = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    return g.part.select(
+        F.when(k % 37 == 0, text_of('{"film_id":', k, ',"cast":"['))
+        .when(k % 41 == 0, F.lit('{"cast":"[]","crew":"[]"}'))
+        .when(k % 43 == 0, text_of('{"film_id":', k, ',"cast":"[{broken","crew":"[]"}'))
+        .otherwise(text_of('{"film_id":', k, ',"cast":"[{\\"id\\":', k * 3 % 1000, '},{\\"id\\":7}]","crew":"[]"}'))
+        .alias("value")
+    )
+
+
+def _landed_files(spark, sf_dir):
+    session.with_local_dir(session.prepare(spark))
+    path = session.scratch_path(spark, "landing")
+    _landing_lines(binding.given(spark, sf_dir)).write.text(path)
+    return landing.read_landing(spark, path, "landed_credits")
+
+
+QUERIES["a2_landed_credits"] = lambda spark, sf_dir: plain(
+    ingest.flatten_credits(landing.accepted(_landed_files(spark, sf_dir)))[0].select("film_id", "person_id"))
+ORACLE["a2_landed_credits"] = """
+    SELECT DISTINCT p_partkey AS film_id, unnest([p_partkey * 3 % 1000, 7]) AS person_id FROM part
+    WHERE p_partkey % 37 <> 0 AND p_partkey % 41 <> 0 AND p_partkey % 43 <> 0"""
+QUERIES["a2_quarantine"] = lambda spark, sf_dir: plain(
+    landing.quarantined(_landed_files(spark, sf_dir), "landed_credits").drop("file_name"))
+ORACLE["a2_quarantine"] = """
+    SELECT 'landed_credits' AS table_name, NULL::varchar AS column_name, NULL::bigint AS film_id,
+        '{"film_id":' || p_partkey || ',"cast":"[' AS document FROM part WHERE p_partkey % 37 = 0
+    UNION ALL SELECT 'landed_credits', NULL, NULL, '{"cast":"[]","crew":"[]"}' FROM part WHERE p_partkey % 37 <> 0 AND p_partkey % 41 = 0
+    UNION ALL SELECT 'landed_credits', 'cast', p_partkey, '[{broken' FROM part
+        WHERE p_partkey % 37 <> 0 AND p_partkey % 41 <> 0 AND p_partkey % 43 = 0"""
+
+
 def _loaded(t):
     """Every table written as a snapshot and opened again by its declared schema."""
     spark = t.payment.sparkSession

@@ -15,7 +15,7 @@ from kiosklake.operators.membership import not_in
 from kiosklake.operators.ranking import first_per
 from kiosklake.plans.stock import populate_inventory
 from kiosklake.session import materialize
-from kiosklake.sources.landing import elements
+from kiosklake.sources.landing import elements, quarantined
 from kiosklake.sources.schemas import CAST_DOC, COMPANY_DOC, CREW_DOC, RELEASE_DOC
 from kiosklake.sources.tables import Tables
 
@@ -178,11 +178,15 @@ def reset_staging(t: Tables) -> Tables:
     return t.replaced(**{name: emptied(t[name]) for name in _STAGING})
 
 
-def load_catalog(t: Tables, landed: Tables, as_of, *, recent: bool = True, seed: str = "stock"):
+def load_catalog(
+    t: Tables, landed: Tables, as_of, *, recent: bool = True, seed: str = "stock", rules: Eligibility | None = None
+):
     """The whole load: returns the next tables and the before/after report.
 
     ``landed`` holds film, film_genre and person rows and the landing documents. In
-    recent mode only films from the newest release date on are taken.
+    recent mode only films from the newest release date on are taken; with ``rules`` only
+    those that pass them, by the rating they have or get from their release documents.
+    The next tables have ``quarantine``: the documents of found films that could not be read.
     """
     before = table_counts(t)
     t = reset_staging(t)
@@ -190,6 +194,10 @@ def load_catalog(t: Tables, landed: Tables, as_of, *, recent: bool = True, seed:
         film_genre=insert_if_absent(t.film_genre, landed.film_genre, ["genre_id"], [F.col("name")])
     )
     found = newer_than(landed.film, "release_date", t.film) if recent else landed.film
+    if rules is not None:
+        rated = rate_films(Tables({"film": found, "landed_releases": landed.landed_releases}))
+        passed = eligible_films(rated, rules).select("film_id")
+        found = found.join(passed, "film_id", "left_semi")
     found = materialize(found, "found-films")  # read by four steps
     new_films = insert_new(t.film, found, ["film_id"], [F.col("title")])
 
@@ -205,6 +213,10 @@ def load_catalog(t: Tables, landed: Tables, as_of, *, recent: bool = True, seed:
     t = t.replaced(
         landed_detail=landed.landed_detail.join(films_without_detail(t), "film_id", "left_semi")
     )
+    broken = quarantined(t.landed_credits, "landed_credits")
+    for name in ("landed_detail", "landed_releases"):
+        broken = broken.unionByName(quarantined(t[name], name))
+    t = t.replaced(quarantine=materialize(broken, "quarantine"))
     t = transform_details(t)
     t = t.replaced(film=fill_film_details(t))
     t = t.replaced(film=materialize(rate_films(t), "loaded-films"))

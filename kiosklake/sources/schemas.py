@@ -69,6 +69,8 @@ _DDL = {
         "production_companies string, processed boolean"
     ),
     "landed_releases": "film_id bigint, releases string",
+    # landed lines and columns that could not be read
+    "quarantine": "table_name string, file_name string, column_name string, film_id bigint, document string",
     "staged_cast": "film_id bigint, person_id bigint, film_character string",
     "staged_crew": "film_id bigint, person_id bigint, department string, job string",
 }
@@ -108,6 +110,13 @@ RELEASE_DOC = (
     "release_date:string,release_type:int>>"
 )
 
+#: JSON text columns of the landing tables, with the shape of their arrays.
+DOCUMENTS: dict[str, dict[str, str]] = {
+    "landed_credits": {"cast": CAST_DOC, "crew": CREW_DOC},
+    "landed_detail": {"production_companies": COMPANY_DOC},
+    "landed_releases": {"releases": RELEASE_DOC},
+}
+
 KEYS: dict[str, list[str]] = {
     "customer": ["customer_id"],
     "customer_status_log": ["log_id"],

@@ -138,3 +138,37 @@ def test_count_delta_names_labels_of_either_side(spark):
     frames = [spark.createDataFrame(x, "label string, n long") for x in (before, after)]
     got = sorted(tuple(r) for r in count_delta(*frames).collect())
     assert got == [("a", 2, 0, -2), ("b", 1, 4, 3), ("c", 0, 3, 3)]
+
+
+def test_quarantine_keeps_files_and_replays(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"film_id": 1, "cast": "[]", "crew": "[{"}\n{"film_id": 2, "cast": "[\n')
+    (tmp_path / "b.json").write_text('{"cast": "[]"}\n{"film_id": 3, "cast": "[{\\"id\\": 5}]"}\n')
+    got = landing.read_landing(spark, str(tmp_path), "landed_credits").cache()
+    held = landing.quarantined(got, "landed_credits").cache()
+    assert sorted((r.file_name, r.column_name or "", r.film_id or 0, r.document) for r in held.collect()) == [
+        ("a.json", "", 0, '{"film_id": 2, "cast": "['), ("a.json", "crew", 1, "[{"), ("b.json", "", 0, '{"cast":"[]"}')]
+    fine, still = landing.replayed(spark, held, "landed_credits")
+    assert fine.count() == 0 and still.count() == 3
+    mended = held.withColumn("document", F.when(F.col("column_name") == "crew", "[]").when(
+        F.col("document").startswith('{"film_id": 2'), '{"film_id": 2, "cast": "[]"}').otherwise(F.col("document")))
+    fine, still = landing.replayed(spark, mended, "landed_credits")
+    assert rows(fine, "film_id", "cast", "crew") == [(1, None, "[]"), (2, "[]", None)] and still.count() == 1
+
+
+def test_load_takes_eligible_films_and_keeps_broken_documents(spark, tables):
+    source = landed(spark, tables)
+    film = lambda i, **more: dict(dict(film_id=i, title=f"New {i}", release_date=d("2025-06-01"), genre_ids=[1],
+                                       popularity=500.0, vote_average=8.0, vote_count=50, original_language="en"), **more)
+    new = frame(spark, "film", [film(50), film(51), film(52, vote_count=3), film(53, original_language="fr"), film(54, rating="G")])
+    releases = frame(spark, "landed_releases", [
+        dict(film_id=50, releases=json.dumps([us("PG")])), dict(film_id=51, releases=json.dumps([us("R")])),
+        dict(film_id=52, releases=json.dumps([us("PG")])), dict(film_id=54, releases="[{")])
+    offered = Tables({
+        "film": tables.film.unionByName(new), "film_genre": tables.film_genre, "person": tables.person,
+        "landed_credits": frame(spark, "landed_credits", [dict(film_id=50, cast="{no", crew="[]")]),
+        "landed_releases": releases, "landed_detail": source.landed_detail,
+    })
+    after, report = ingest.load_catalog(source, offered, AS_OF, rules=ingest.Eligibility())
+    assert {r.film_id for r in after.film.collect()} - {r.film_id for r in tables.film.collect()} == {50, 54}
+    assert rows(after.quarantine, "table_name", "column_name", "film_id") == [
+        ("landed_credits", "cast", 50), ("landed_releases", "releases", 54)]
