@@ -1,5 +1,7 @@
 """Catalog ingestion P14 to P19, and eligibility and work lists."""
 
+from pyspark.sql import functions as F
+
 from crosscheck.binding import AS_OF as NOW
 from crosscheck.binding_sql import BASE, sql
 from crosscheck.registry import register
@@ -44,10 +46,18 @@ register("p18_move_crew", lambda t: ingest.move_credits(t).film_crew,
 
 
 def _load(t):
-    from pyspark.sql import functions as F
-
     older = t.film.filter(F.col("release_date") <= F.lit("1996-01-01").cast("date"))
-    return ingest.load_catalog(t.replaced(film=older), t, NOW)[1]
+    return ingest.load_catalog(t.replaced(film=older), t, NOW)
+
+
+def _loaded_films(t):
+    """Films after the load with their figures, ratings, companies, cast and crew."""
+    after, _ = _load(t)
+    out = after.film.select("film_id", "budget", "revenue", "runtime", "rating")
+    for table in ("film_cast", "film_crew", "film_production_company"):
+        n = after[table].groupBy("film_id").agg(F.count(F.lit(1)).alias(f"n_{table}"))
+        out = out.join(n, "film_id", "left")
+    return out.na.fill(0, [c for c in out.columns if c.startswith("n_")])
 
 
 ROW = lambda label, before, after: f"SELECT '{label}' AS label, {before} AS before_n, {after} AS after_n"
@@ -69,11 +79,10 @@ REPORT = " UNION ALL ".join([
     ROW("Staging: releases", N("part"), N("found")),
 ])
 KNOWN = "film_id IN (SELECT film_id FROM found) AND person_id IN (SELECT person_id FROM d_person)"
-register("p19_load_catalog", _load, sql(
-    f"SELECT *, after_n - before_n AS delta FROM ({REPORT})",
+LOAD_CTES = dict(
     older="SELECT * FROM d_film WHERE release_date <= DATE '1996-01-01'",
     found="SELECT * FROM d_film WHERE release_date >= (SELECT max(release_date) FROM older)",
-    films="SELECT film_id FROM older UNION SELECT film_id FROM found",
+    films="SELECT * FROM older UNION SELECT * FROM found",
     details="""SELECT * FROM d_detail WHERE film_id IN (SELECT film_id FROM films)
         AND film_id NOT IN (SELECT film_id FROM d_film_company)""",
     fresh="SELECT DISTINCT film_id, (k * i) % 300 AS id FROM details, (SELECT unnest([3, 7]) AS i) WHERE NOT processed",
@@ -81,7 +90,19 @@ register("p19_load_catalog", _load, sql(
     staged_cast_=f"SELECT * FROM raw_cast WHERE {KNOWN}", staged_crew_=f"SELECT * FROM raw_crew WHERE {KNOWN}",
     new_cast="SELECT film_id, person_id FROM staged_cast_ EXCEPT SELECT film_id, person_id FROM d_cast",
     new_crew="SELECT film_id, person_id FROM staged_crew_ EXCEPT SELECT film_id, person_id FROM d_crew",
-))
+)
+register("p19_load_catalog", lambda t: _load(t)[1], sql(f"SELECT *, after_n - before_n AS delta FROM ({REPORT})", **LOAD_CTES))
+MEMBERS = lambda old, new: f"(SELECT count(*) FROM {old} x WHERE x.film_id = f.film_id) + (SELECT count(*) FROM {new} x WHERE x.film_id = f.film_id)"
+register("p19_loaded_films", _loaded_films, sql(f"""
+    SELECT film_id, CASE WHEN h THEN d.budget ELSE f.budget END AS budget, CASE WHEN h THEN d.revenue ELSE f.revenue END AS revenue,
+    CASE WHEN h THEN d.runtime ELSE f.runtime END::int AS runtime,
+    coalesce(f.rating, CASE WHEN film_id NOT IN (SELECT film_id FROM found) THEN NULL
+        WHEN a IN ('G', 'PG', 'PG-13', 'R', 'NC-17', 'NR') THEN a WHEN b IN ('G', 'PG', 'PG-13', 'R', 'NC-17', 'NR') THEN b END) AS rating,
+    {MEMBERS('d_cast', 'new_cast')} AS n_film_cast, {MEMBERS('d_crew', 'new_crew')} AS n_film_crew,
+    {MEMBERS('d_film_company', 'fresh')} AS n_film_production_company
+    FROM (SELECT *, (budget IS NULL OR revenue IS NULL OR runtime IS NULL) AND film_id IN (SELECT film_id FROM details) AS h,
+        {SEEN}[(film_id + 1) % 5 + 1] AS a, {SEEN}[(film_id + 2) % 5 + 1] AS b FROM films) f
+    LEFT JOIN (SELECT film_id, budget, revenue, runtime FROM details) d USING (film_id)""", **LOAD_CTES))
 ELIGIBLE = "vote_average >= 5.5::float AND vote_count >= 20 AND original_language = 'en' AND rating IN ('G', 'PG', 'PG-13')"
 register("a11_eligible_films", lambda t: ingest.eligible_films(t.film).select("film_id", "title", "rating"),
          sql(f"SELECT film_id, title, rating FROM d_film WHERE {ELIGIBLE}"))
