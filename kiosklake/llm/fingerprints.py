@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kiosklake.llm.common import let, prepare, words
 from kiosklake.session import materialize
 
-#: Samples in a fingerprint, and buckets of the id order per shuffle partition.
-SAMPLES, BUCKETS_PER_PARTITION = 64, 4
-_LOW = 0xFFFFFFFF
+#: Samples in a fingerprint, draws worked out in one go, and buckets of the id order per shuffle partition.
+SAMPLES, GROUPED, BUCKETS_PER_PARTITION = 64, 8, 4
+_LOW, _NEVER = 0xFFFFFFFF, 2**63 - 1
 
 
 def weighted_terms(text: Column) -> Column:
@@ -34,30 +34,60 @@ def weighted_terms(text: Column) -> Column:
     return let(in_order, lambda h: F.when(F.size(h) == 0, none).otherwise(runs(h)))
 
 
-def _draw(term: Column, log_weight: Column, sample: int) -> Column:
-    """One long: ln a in fixed point above, what was picked (term and t) in the low 32 bits."""
-    bits = [F.xxhash64(term, F.lit(3 * sample + k)) for k in range(3)]
+def _draws(term: Column, weights: list[str], first: Column, sample: int) -> list[Column]:
+    """For each weight one long: ln a in fixed point above, what was picked (term and t) in the low 32 bits.
+
+    r, c and b are drawn once for all weights: no branch stands in the way of sharing them, and
+    a weight of 0 turns its long into ``_NEVER`` by a mask. ``first`` numbers the draws of the
+    group that ``sample`` is in.
+    """
+    bits = [F.xxhash64(term, first + (3 * sample + k)) for k in range(3)]
     high = lambda x: (F.shiftrightunsigned(x, 32).cast("double") + 0.5) * 2.0**-32
     low = lambda x: (x.bitwiseAND(F.lit(_LOW)).cast("double") + 0.5) * 2.0**-32
     r = -F.log(high(bits[0]) * low(bits[0]))
     log_c = F.log(-F.log(high(bits[1]) * low(bits[1])))
     b = high(bits[2])
-    t = F.floor(log_weight / r + b)
-    log_a = log_c - r * (t - b) - r
-    level = F.shiftleft(((log_a + 160.0) * 2.0**23).cast("long"), 32)
-    return level.bitwiseOR(bits[2].bitwiseXOR(t).bitwiseAND(F.lit(_LOW)))
 
+    def level(weight: str) -> Column:
+        t = F.floor(F.col(f"_ln_{weight}") / r + b)
+        log_a = log_c - r * (t - b) - r
+        packed = F.shiftleft(((log_a + 160.0) * 2.0**23).cast("long"), 32)
+        return packed.bitwiseOR(bits[2].bitwiseXOR(t).bitwiseAND(F.lit(_LOW))).bitwiseOR(F.col(f"_not_{weight}"))
+
+    return [level(weight) for weight in weights]
 
-def sample_terms(terms: DataFrame, by: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``by`` and ``picks``: the sampled picks of each group's terms (columns ``h`` and ``n``).
 
-    The least of packed longs is kept per sample, so tasks combine before any shuffle. A
-    group whose only term is null has picks of 0.
+def sample_terms(
+    terms: DataFrame, by: list[str], samples: int = SAMPLES, weights: dict[str, str] | None = None,
+    also: tuple[str, ...] = (),
+) -> DataFrame:
+    """``by`` and the sampled picks of each group's terms (column ``h``).
+
+    ``weights`` maps columns of counts to names of the picks drawn by them; by default ``n`` gives
+    ``picks``. A term has one row in a group. The least of packed longs is kept per sample, so
+    tasks combine before any shuffle; a term takes its draws ``GROUPED`` at a time, which keeps
+    generated code small. ``also`` names columns that a group has one value of; they travel with
+    the first draws alone, so that keys stay short. A group whose only term is null, or without a weight above 0, has picks of 0.
     """
-    held = terms.select(*by, "h", F.log(F.col("n").cast("double")).alias("_lw"))
-    least = [F.min(_draw(F.col("h"), F.col("_lw"), i)).alias(f"_s{i}") for i in range(samples)]
-    picks = [F.coalesce(F.col(f"_s{i}").bitwiseAND(F.lit(_LOW)), F.lit(0).cast("long")) for i in range(samples)]
-    return held.groupBy(*by).agg(*least).select(*by, F.array(*picks).alias("picks"))
+    weights = weights or {"n": "picks"}
+    named = list(weights)
+    logs = {f"_ln_{w}": F.log(F.greatest(F.col(w), F.lit(1)).cast("double")) for w in named}
+    logs |= {f"_not_{w}": F.when(F.col(w) > 0, F.lit(0).cast("long")).otherwise(F.lit(_NEVER)) for w in named}
+    firsts = F.array(*[F.lit(3 * i) for i in range(0, samples, GROUPED)])
+    held = terms.select(*by, *also, "h", *named).withColumns(logs).withColumn("_first", F.explode(firsts))
+    held = held.withColumns({c: F.when(F.col("_first") == 0, F.col(c)) for c in also})
+    least = []
+    for i in range(GROUPED):
+        drawn = _draws(F.col("h"), named, F.col("_first"), i)
+        least += [F.min(x).alias(f"_{w}{i}") for w, x in zip(named, drawn)]
+    part = held.groupBy(*by, "_first", *also).agg(*least)
+    none = F.lit(0).cast("long")
+    pick = lambda c: F.when(F.col(c) < _NEVER, F.col(c).bitwiseAND(F.lit(_LOW))).otherwise(none)
+    drawn = part.select(*by, *also, F.struct("_first", *[F.array(*[pick(f"_{w}{i}") for i in range(GROUPED)]).alias(w) for w in named]).alias("_part"))
+    whole = drawn.groupBy(*by).agg(F.sort_array(F.collect_list("_part")).alias("_parts"), *[F.max(c).alias(c) for c in also])
+    return whole.select(*by, *also, *[
+        F.slice(F.flatten(F.col(f"_parts.{w}")), 1, samples).alias(weights[w]) for w in named
+    ])
 
 
 def as_text(picks: Column) -> Column:
@@ -98,26 +128,25 @@ def _bucket(doc_id: Column, splits: list) -> Column:
     return F.when(doc_id.isNull(), F.lit(len(splits))).otherwise(let(above(heads), within)).cast("long")
 
 
+def _links(heads: DataFrame) -> DataFrame:
+    """Each bucket with the value ``_v`` that the next one begins with; after the last comes the first."""
+    ids = heads.select("bucket", F.lit(1).alias("_all"))
+    after = F.lead("bucket").over(Window.partitionBy("_all").orderBy("bucket"))
+    first = F.min("bucket").over(Window.partitionBy("_all"))
+    return ids.select("bucket", F.coalesce(after, first).alias("_to")).join(
+        heads.select(F.col("bucket").alias("_to"), "_v"), "_to"
+    ).select("bucket", "_v")
+
+
 def _next(rows: DataFrame, value: str, name: str) -> DataFrame:
     """Add the ``value`` of the row that follows in (bucket, place); the first follows the last.
 
     The neighbour within a bucket comes from a window; across buckets each one's first
-    value is looked up. ``_heads`` has one row per bucket.
+    value is looked up, of which there is one per bucket.
     """
     heads = materialize(rows.filter(F.col("place") == 1).select("bucket", F.col(value).alias("_v")), "bucket-heads")
-    return _with_next(rows, heads, "place", value, name)
-
-
-def _with_next(rows: DataFrame, heads: DataFrame, order, value: str, name: str) -> DataFrame:
-    ids = heads.select("bucket", F.lit(1).alias("_all"))
-    after = F.lead("bucket").over(Window.partitionBy("_all").orderBy("bucket"))
-    first = F.min("bucket").over(Window.partitionBy("_all"))
-    links = ids.select("bucket", F.coalesce(after, first).alias("_to")).join(
-        heads.select(F.col("bucket").alias("_to"), "_v"), "_to"
-    ).select("bucket", "_v")
-    window = Window.partitionBy("bucket").orderBy(order)
-    led = rows.withColumns({"_lead": F.lead(F.struct(value)).over(window)})
-    return led.join(links, "bucket").withColumn(
+    led = rows.withColumn("_lead", F.lead(F.struct(value)).over(Window.partitionBy("bucket").orderBy("place")))
+    return led.join(_links(heads), "bucket").withColumn(
         name, F.when(F.col("_lead").isNull(), F.col("_v")).otherwise(F.col(f"_lead.{value}"))
     ).drop("_lead", "_v")
 
@@ -145,28 +174,28 @@ def edited_neighbours(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     )
     # the greatest key comes first: id descending, nulls last, then the hash ascending
     key = F.struct("doc_id", F.bitwise_not(F.xxhash64("text")))
-    heads = held.groupBy("bucket").agg(F.max_by(F.col("text"), key).alias("_v"))
-    heads = materialize(heads, "text-heads")
-    placed = held.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(key.desc())))
-    rows = _with_next(placed, heads, key.desc(), "text", "_next")
+    heads = materialize(held.groupBy("bucket").agg(F.max_by(F.col("text"), key).alias("_v")), "text-heads")
+    # what the next bucket begins with stands at the end of each, so neighbours need no join
+    ends = _links(heads).select("bucket", F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("_v").alias("text"), F.lit(1).alias("_end"))
+    both = held.withColumn("_end", F.lit(0)).unionByName(ends)
+    # one task a bucket: a hash would put several into one task and none into another
+    dealt = both.withColumn("bucket", F.col("bucket").cast("int")).repartitionById(len(splits) + 1, F.col("bucket"))
+    in_order = Window.partitionBy("bucket").orderBy("_end", key.desc())
+    placed = dealt.withColumns({"place": F.row_number().over(in_order), "_next": F.lead("text").over(in_order)})
+    rows = placed.filter(F.col("_end") == 0)
 
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("_next", F.lit(1), half))
-    known = ["bucket", "place", "doc_id", "n_chars", "edited_sha256"]
+    known, shown = ["bucket", "place"], ("doc_id", "n_chars", "edited_sha256")
     texts = rows.select(
         "bucket", "place", "doc_id", n.cast("long").alias("n_chars"), F.col("text"), edited.alias("_edited")
     ).withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256))
-    both = texts.select(*known, F.explode(F.array(
-        F.struct(F.lit(0).alias("which"), weighted_terms(F.col("text")).alias("terms")),
-        F.struct(F.lit(1).alias("which"), weighted_terms(F.col("_edited")).alias("terms")),
-    )).alias("_v"))
-    terms = both.select(*known, "_v.which", F.explode_outer("_v.terms").alias("_t")).select(*known, "which", "_t.h", "_t.n")
-    picks = sample_terms(terms, [*known, "which"], samples)
-    paired = picks.groupBy(*known).agg(F.sort_array(F.collect_list(F.struct("which", "picks"))).alias("_p"))
-    signed = materialize(
-        paired.select(*known, F.col("_p")[0]["picks"].alias("picks"), F.col("_p")[1]["picks"].alias("edited")), "fingerprints"
-    )
+    counts = [F.map_from_entries(weighted_terms(F.col(c))) for c in ("text", "_edited")]
+    zero = F.lit(0)
+    met = F.map_zip_with(*counts, lambda h, n, m: F.struct(F.coalesce(n, zero).alias("n"), F.coalesce(m, zero).alias("m")))
+    terms = texts.select(*known, *shown, F.explode_outer(met).alias("h", "_w")).select(*known, *shown, "h", "_w.n", "_w.m")
+    signed = materialize(sample_terms(terms, known, samples, {"n": "picks", "m": "edited"}, shown), "fingerprints")
     return _next(signed, "picks", "_next").select(
         "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("picks")).alias("fingerprint"), as_text(F.col("edited")).alias("edited_fingerprint"),
