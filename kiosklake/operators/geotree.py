@@ -107,7 +107,10 @@ def parts_within(made: Tree, places: DataFrame, at: tuple[str, str], measures: d
     """
     radius_m = made.radius_m
     cos_min, cos_max = cos_bounds(F.col("_slat"), radius_m)
-    rows = located(places, at).select(F.col(at[0]).alias("_slat"), F.col(at[1]).alias("_slng")).distinct()
+    # dealt to as many tasks as the session has: what follows is much work on few bytes
+    tasks = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = located(places, at).select(F.col(at[0]).alias("_slat"), F.col(at[1]).alias("_slng"))
+    rows = rows.repartition(tasks, *_PLACE).distinct()
     rows = with_vector(rows.withColumns({"_cos_min": cos_min, "_cos_max": cos_max}), tuple(_PLACE), "_u")
     carried = rows.columns
     found = []

@@ -67,7 +67,8 @@ def pair_rentals(t: Tables, day: str, total: int, seed: str = "pair", radius_m:
     A customer near several stores is first given one of them at random.
     """
     lo, hi = periods.moment(day), periods.shift(day, days=1)
-    out = t.touching("rental", lo, hi)
+    # who and what is out on the day: asked three times below
+    out = materialize(t.touching("rental", lo, hi).select("customer_id", "inventory_id"), "out")
     targets = day_targets(t, total, radius_m).filter(F.col("target") > 0).select("store_id", "target")
     targets = materialize(targets, "day-targets")  # joined to customers and to discs
     idle = t.customer.filter(F.col("activebool")).select("customer_id").join(
