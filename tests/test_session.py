@@ -30,3 +30,10 @@ def test_only_one_machine_gets_its_own_folder():
     assert session.shared_dir(alone)
     named = session.with_local_dir(_Session(**{"spark.master": "local[8]", "spark.checkpoint.dir": "/shared"}))
     assert session.shared_dir(named) == "/shared"
+
+
+def test_shares_of_tables_are_small_whatever_the_session_has():
+    kept = session.prepare(_Session(**{"spark.sql.shuffle.partitions": "12"})).settings
+    assert kept["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "16m"
+    assert int(kept["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 320  # 5 GB shuffled, 16 MB each
+    assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" not in session.prepare(_Session(), shares=False).settings
