@@ -201,3 +201,27 @@ def test_harmless_phrase_of_an_ambiguous_word(spark):
     lexicon, recall, precision = held_out(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.col("doc_id") % 4 == 0)
     assert " zorrock opera " in lexicon.exceptions
     assert recall > 0.9 and precision > 0.9
+
+
+def test_ranking_learns_from_all_labelled_rows(spark):
+    n = 24_000
+    row = F.col("id")
+    word = F.substring(F.md5(F.concat_ws("-", row, F.lit("w"))), 1, (row % 23 + 3).cast("int"))
+    text = F.concat_ws(" ", word, F.md5(row.cast("string")), F.repeat(F.lit("so it goes "), (row % 17).cast("int")), F.reverse(word))
+    rows = spark.range(n).select(row.alias("doc_id"), text.alias("text"), (F.xxhash64("id") % 3 == 0).cast("int").alias("quality"))
+    docs, labels = rows.select("doc_id", "text"), rows.select("doc_id", "quality")
+    model = quality_rank.train(docs, labels, train_on=F.lit(True))
+    good = labels.filter("quality = 1").count()
+    # the cut is a quantile of all training scores, so it leaves as many as have the label, but for ties
+    accepted = quality_rank.score(docs, model).agg(
+        F.count_if(F.col("score") > quality_rank.ACCEPT + 1e-9).alias("over"), F.count_if(F.col("score") >= quality_rank.ACCEPT - 1e-9).alias("at")
+    ).first()
+    assert accepted["over"] <= good <= accepted["at"] and accepted["at"] - accepted["over"] < 20
+
+
+def test_every_row_is_in_pairs(spark):
+    rows = spark.createDataFrame([(int(i % 5 == 0), [float(i), 0.0]) for i in range(50)], "y int, features array<double>")
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    gaps = quality_rank._pairs(rows, {0: 40, 1: 10}).collect()
+    assert len(gaps) == 40 * quality_rank.ROUNDS
+    assert len({r["gap"][0] for r in gaps}) > 40
