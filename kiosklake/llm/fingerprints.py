@@ -34,12 +34,10 @@ def weighted_terms(text: Column) -> Column:
     return let(in_order, lambda h: F.when(F.size(h) == 0, none).otherwise(runs(h)))
 
 
-def _draws(term: Column, weights: list[str], first: Column, sample: int) -> list[Column]:
-    """For each weight one long: ln a in fixed point above, what was picked (term and t) in the low 32 bits.
+def _draw(term: Column, log_weight: Column, first: Column, sample: int) -> Column:
+    """One long: ln a in fixed point above, what was picked (term and t) in the low 32 bits.
 
-    r, c and b are drawn once for all weights: no branch stands in the way of sharing them, and
-    a weight of 0 turns its long into ``_NEVER`` by a mask. ``first`` numbers the draws of the
-    group that ``sample`` is in.
+    ``first`` numbers the draws of the group that ``sample`` is in.
     """
     bits = [F.xxhash64(term, first + (3 * sample + k)) for k in range(3)]
     high = lambda x: (F.shiftrightunsigned(x, 32).cast("double") + 0.5) * 2.0**-32
@@ -47,14 +45,10 @@ def _draws(term: Column, weights: list[str], first: Column, sample: int) -> list
     r = -F.log(high(bits[0]) * low(bits[0]))
     log_c = F.log(-F.log(high(bits[1]) * low(bits[1])))
     b = high(bits[2])
-
-    def level(weight: str) -> Column:
-        t = F.floor(F.col(f"_ln_{weight}") / r + b)
-        log_a = log_c - r * (t - b) - r
-        packed = F.shiftleft(((log_a + 160.0) * 2.0**23).cast("long"), 32)
-        return packed.bitwiseOR(bits[2].bitwiseXOR(t).bitwiseAND(F.lit(_LOW))).bitwiseOR(F.col(f"_not_{weight}"))
-
-    return [level(weight) for weight in weights]
+    t = F.floor(log_weight / r + b)
+    log_a = log_c - r * (t - b) - r
+    packed = F.shiftleft(((log_a + 160.0) * 2.0**23).cast("long"), 32)
+    return packed.bitwiseOR(bits[2].bitwiseXOR(t).bitwiseAND(F.lit(_LOW)))
 
 
 def sample_terms(
@@ -64,29 +58,48 @@ def sample_terms(
     """``by`` and the sampled picks of each group's terms (column ``h``).
 
     ``weights`` maps columns of counts to names of the picks drawn by them; by default ``n`` gives
-    ``picks``. A term has one row in a group. The least of packed longs is kept per sample, so
-    tasks combine before any shuffle; a term takes its draws ``GROUPED`` at a time, which keeps
-    generated code small. ``also`` names columns that a group has one value of; they travel with
-    the first draws alone, so that keys stay short. A group whose only term is null, or without a weight above 0, has picks of 0.
+    ``picks``. A term has one row in a group, and is drawn once for each of its different weights
+    above 0. The least of packed longs is kept per sample, so tasks combine before any shuffle; a
+    term takes its draws ``GROUPED`` at a time, which keeps generated code small. A row without a
+    weight above 0 is drawn by nobody, but keeps its group: one of such rows alone has picks of 0.
+    ``also`` names columns that a group has one value of, and that only its rows without weight need to bear.
     """
     weights = weights or {"n": "picks"}
-    named = list(weights)
+    named, none, void = list(weights), F.lit(0).cast("long"), F.array().cast("array<int>")
+    # a number of the first draw and, in its low byte, that of the weight; -1 where there is none
+    asked, new = [], [F.col(w) > 0 for w in named]
+    for k, w in enumerate(named):
+        for earlier in named[:k]:
+            new[k] &= F.col(w) != F.col(earlier)
+        codes = F.array(*[F.lit(3 * i << 8 | k) for i in range(0, samples, GROUPED)])
+        asked.append(F.when(new[k], codes).otherwise(void))
+    asked = F.concat(*asked)
     logs = {f"_ln_{w}": F.log(F.greatest(F.col(w), F.lit(1)).cast("double")) for w in named}
-    logs |= {f"_not_{w}": F.when(F.col(w) > 0, F.lit(0).cast("long")).otherwise(F.lit(_NEVER)) for w in named}
-    firsts = F.array(*[F.lit(3 * i) for i in range(0, samples, GROUPED)])
-    held = terms.select(*by, *also, "h", *named).withColumns(logs).withColumn("_first", F.explode(firsts))
-    held = held.withColumns({c: F.when(F.col("_first") == 0, F.col(c)) for c in also})
+    held = terms.select(*by, *also, "h", *named).withColumns(logs)
+    held = held.withColumn("_code", F.explode(F.when(F.size(asked) == 0, F.array(F.lit(-1))).otherwise(asked)))
+    which, apart = F.col("_code").bitwiseAND(F.lit(255)), F.col("_code") < 0
+
+    def drawn_by(columns: list[str]) -> Column:
+        return F.coalesce(*[F.when(which == k, F.col(c)) for k, c in enumerate(columns)])
+
+    weight = drawn_by(named)
+    held = held.select(
+        *by, *[F.when(apart, F.col(c)).alias(c) for c in also], "h", F.shiftright("_code", 8).alias("_first"),
+        drawn_by([f"_ln_{w}" for w in named]).alias("_ln"),
+        *[F.when(F.col(w) == weight, none).otherwise(F.lit(_NEVER)).alias(f"_not_{w}") for w in named],
+    )
     least = []
     for i in range(GROUPED):
-        drawn = _draws(F.col("h"), named, F.col("_first"), i)
-        least += [F.min(x).alias(f"_{w}{i}") for w, x in zip(named, drawn)]
+        packed = _draw(F.col("h"), F.col("_ln"), F.col("_first"), i)
+        least += [F.min(packed.bitwiseOR(F.col(f"_not_{w}"))).alias(f"_{w}{i}") for w in named]
     part = held.groupBy(*by, "_first", *also).agg(*least)
-    none = F.lit(0).cast("long")
     pick = lambda c: F.when(F.col(c) < _NEVER, F.col(c).bitwiseAND(F.lit(_LOW))).otherwise(none)
     drawn = part.select(*by, *also, F.struct("_first", *[F.array(*[pick(f"_{w}{i}") for i in range(GROUPED)]).alias(w) for w in named]).alias("_part"))
     whole = drawn.groupBy(*by).agg(F.sort_array(F.collect_list("_part")).alias("_parts"), *[F.max(c).alias(c) for c in also])
+    whole = whole.withColumn("_parts", F.filter("_parts", lambda p: p["_first"] >= 0))
     return whole.select(*by, *also, *[
-        F.slice(F.flatten(F.col(f"_parts.{w}")), 1, samples).alias(weights[w]) for w in named
+        F.when(F.size("_parts") == 0, F.array_repeat(none, samples))
+        .otherwise(F.slice(F.flatten(F.col(f"_parts.{w}")), 1, samples)).alias(weights[w]) for w in named
     ])
 
 
@@ -191,10 +204,17 @@ def edited_neighbours(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     texts = rows.select(
         "bucket", "place", "doc_id", n.cast("long").alias("n_chars"), F.col("text"), edited.alias("_edited")
     ).withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256))
-    counts = [F.map_from_entries(weighted_terms(F.col(c))) for c in ("text", "_edited")]
-    zero = F.lit(0)
-    met = F.map_zip_with(*counts, lambda h, n, m: F.struct(F.coalesce(n, zero).alias("n"), F.coalesce(m, zero).alias("m")))
-    terms = texts.select(*known, *shown, F.explode_outer(met).alias("h", "_w")).select(*known, *shown, "h", "_w.n", "_w.m")
+    # words are counted by a grouping: a text's, its edited text's, and a row without a word that bears the rest
+    side = F.col("_side")
+    parts = texts.withColumn("_side", F.explode(F.array(*map(F.lit, range(3))))).select(
+        *known, "_side", *[F.when(side == 2, F.col(c)).alias(c) for c in shown],
+        words(F.when(side == 0, F.col("text")).when(side == 1, F.col("_edited"))).alias("_words"),
+    )
+    found = parts.select(*known, *shown, "_side", F.explode_outer("_words").alias("_word"))
+    found = found.filter(F.col("_word").isNotNull() | (side == 2))
+    terms = found.groupBy(*known, *shown, F.when(side < 2, F.xxhash64("_word")).alias("h")).agg(
+        F.count_if(side == 0).alias("n"), F.count_if(side == 1).alias("m")
+    )
     signed = materialize(sample_terms(terms, known, samples, {"n": "picks", "m": "edited"}, shown), "fingerprints")
     return _next(signed, "picks", "_next").select(
         "doc_id", "n_chars", "edited_sha256",

@@ -125,6 +125,16 @@ def test_production_likeness_against_exact_jaccard(spark):
     assert max(map(abs, errors)) < 0.25
 
 
+def test_a_row_without_weight_bears_what_a_group_has_one_value_of(spark):
+    rows = [(1, h, n, m, None) for h, n, m in ((7, 1, 1), (8, 2, 1), (9, 0, 3), (10, 4, 0))] + [(1, None, 0, 0, "one"), (2, None, 0, 0, "two")]
+    terms = spark.createDataFrame(rows, "k int, h long, n long, m long, title string")
+    both = {r["k"]: r for r in fingerprints.sample_terms(terms, ["k"], 20, {"n": "picks", "m": "edited"}, ("title",)).collect()}
+    assert {k: r["title"] for k, r in both.items()} == {1: "one", 2: "two"}
+    for weight, name in (("n", "picks"), ("m", "edited")):
+        alone = fingerprints.sample_terms(terms.filter(F.col(weight) > 0), ["k"], 20, {weight: "picks"}).collect()
+        assert both[1][name] == alone[0]["picks"] and len(both[1][name]) == 20 and both[2][name] == [0] * 20
+
+
 def test_neighbours(spark, edge, empty):
     frame = edge.select("doc_id", "text", "score")
     for got, rows in ((fingerprints.edited_neighbours(frame).collect(), frame.collect()),):
