@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from kiosklake.functions import geo
+from kiosklake.operators import geojoin
 from kiosklake.plans import earlier, stock
 from kiosklake.sources.tables import Tables
 
@@ -30,3 +32,22 @@ def test_new_film_stock_is_dealt(spark):
     plan = earlier.new_film_stock(_tables(spark), "2001-06-01 00:00:00")
     # store s holds a film of day s, and there are ten films of each of the 40 days
     assert plan.count() == sum(10 * (39 - s) for s in range(30)) and _tasks(plan) >= 4
+
+
+def test_radius_join_is_dealt(spark):
+    spots = spark.range(300).select(F.col("id"), (F.col("id") % 10 * 0.4 + 40.0).alias("lat"), (F.col("id") % 30 * 0.4).alias("lng")).coalesce(1)
+    side = lambda p: spots.select(*[F.col(c).alias(f"{p}_{c}") for c in spots.columns])
+    pairs = geojoin.radius_join(side("s"), side("c"), 5_000.0, site_key="s_id", site_at=("s_lat", "s_lng"), point_key="c_id", point_at=("c_lat", "c_lng"))
+    assert pairs.count() == 30 * 10 * 10 and _tasks(pairs) >= 4
+
+
+def test_surely_near_pairs_are_near(spark):
+    for radius in (1.0, 25_000.0, 3_000_000.0, 30_000_000.0):
+        degrees = min(radius / 111_000.0, 89.0)
+        at = spark.range(2000).select(
+            (F.rand(1) * 170 - 85).alias("lat1"), (F.rand(2) * 360 - 180).alias("lng1"), (F.rand(3) * degrees * 2.2 - degrees * 1.1).alias("dy"), (F.rand(4) * degrees * 2.2 - degrees * 1.1).alias("dx"))
+        at = at.withColumns({"lat2": F.greatest(F.least(F.col("lat1") + F.col("dy"), F.lit(90.0)), F.lit(-90.0)), "lng2": F.col("lng1") + F.col("dx")})
+        at = geo.with_vector(geo.with_vector(at, ("lat1", "lng1"), "_u"), ("lat2", "lng2"), "_v")
+        exact = (geo.half_chord_squared("_u", "_v") <= geo.chord_limit(radius)) & (geo.distance_between("_u", "_v") <= radius)
+        near, other = at.agg(F.count_if(geojoin.within("_u", "_v", radius)), F.count_if(geojoin.within("_u", "_v", radius) != exact)).first()
+        assert near and not other
