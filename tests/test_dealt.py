@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from kiosklake.functions import geo
-from kiosklake.operators import geojoin
+from kiosklake.functions.numbers import shuffle_key
+from kiosklake.operators import geojoin, ranking
 from kiosklake.plans import earlier, stock
 from kiosklake.sources.tables import Tables
 
@@ -51,3 +52,19 @@ def test_surely_near_pairs_are_near(spark):
         exact = (geo.half_chord_squared("_u", "_v") <= geo.chord_limit(radius)) & (geo.distance_between("_u", "_v") <= radius)
         near, other = at.agg(F.count_if(geojoin.within("_u", "_v", radius)), F.count_if(geojoin.within("_u", "_v", radius) != exact)).first()
         assert near and not other
+
+
+def test_numbering_writes_no_digest_and_nothing_that_all_rows_share(spark, monkeypatch):
+    written = []
+    kept = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, label: written.append(df.columns) or kept(df, label))
+    added = stock.populate_inventory(_tables(spark).replaced(
+        inventory=spark.createDataFrame([], "inventory_id long, film_id long, store_id long, status_id int, circulation_start timestamp_ntz, last_update timestamp_ntz")
+    ), "2001-06-01 00:00:00")[1]
+    assert [sorted(c) for c in written] == [["_at", "_part", "copy", "film_id", "store_id"]]
+    digest = shuffle_key("inventory_id", F.col("film_id"), F.col("store_id"), F.col("copy"))
+    rows = stock.allocation(_tables(spark), "2001-06-01 00:00:00", clear_existing=True)
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).withColumn("d", digest).orderBy("d", "film_id").limit(500)
+    wanted = [(r["film_id"], r["store_id"]) for r in rows.collect()]
+    got = added.filter("inventory_id <= 500").orderBy("inventory_id").collect()
+    assert [(r["film_id"], r["store_id"]) for r in got] == wanted and {r["status_id"] for r in got} == {1}
