@@ -5,6 +5,12 @@ and a uniform draw b that depend on the term and the sample alone give t = floor
 and a = c / exp(r * (t - b) + r); the term of least a is picked together with its t. Two texts
 pick the same with a chance equal to their generalised Jaccard similarity, the sum of the lesser
 weights over the sum of the greater ones.
+
+The least a of a text of W words is exponential with mean 1 / W. Logarithms cost most of a draw, so
+a draw first bounds a from below without them: with x = exp(-r) and y = exp(-c), both products of
+uniform draws, a >= c * x / w and c >= 2 * (1 - y) / (1 + y). A term whose bound is above SURE / W
+is not drawn further; a text with a sample whose least a is not below that (each has a chance of
+exp(-SURE)) is drawn once more, in full, so what is picked is the same as without the bound.
 """
 
 from __future__ import annotations
@@ -16,6 +22,8 @@ from kiosklake.session import materialize
 
 #: Samples in a fingerprint, draws worked out in one go, and buckets of the id order per shuffle partition.
 SAMPLES, GROUPED, BUCKETS_PER_PARTITION = 64, 8, 4
+#: Times the mean of the least a up to which draws of a text are worked out at first.
+SURE = 9.0
 _LOW, _NEVER = 0xFFFFFFFF, 2**63 - 1
 
 
@@ -34,26 +42,46 @@ def weighted_terms(text: Column) -> Column:
     return let(in_order, lambda h: F.when(F.size(h) == 0, none).otherwise(runs(h)))
 
 
-def _draw(term: Column, log_weight: Column, first: Column, sample: int) -> Column:
-    """One long: ln a in fixed point above, what was picked (term and t) in the low 32 bits.
+def _level(log_a: Column) -> Column:
+    """ln a in fixed point, in the high 32 bits of a long."""
+    return F.shiftleft(((log_a + 160.0) * 2.0**23).cast("long"), 32)
+
+
+def _uniforms(bits: Column) -> tuple[Column, Column]:
+    """Two uniform draws of 32 bits each."""
+    high, low = F.shiftrightunsigned(bits, 32), bits.bitwiseAND(F.lit(_LOW))
+    return tuple((x.cast("double") + 0.5) * 2.0**-32 for x in (high, low))
+
+
+def _bits(term: Column, first: Column, sample: int, k: int) -> Column:
+    return F.xxhash64(term, first + (3 * sample + k))
+
 
-    ``first`` numbers the draws of the group that ``sample`` is in.
+def _gammas(term: Column, first: Column, sample: int, most: Column | None = None) -> tuple[Column, Column]:
+    """r and ln c of a draw; ``first`` numbers the draws of the group that ``sample`` is in.
+
+    ``most`` is a times the weight; null where a is greater by a bound that needs no logarithm.
     """
-    bits = [F.xxhash64(term, first + (3 * sample + k)) for k in range(3)]
-    high = lambda x: (F.shiftrightunsigned(x, 32).cast("double") + 0.5) * 2.0**-32
-    low = lambda x: (x.bitwiseAND(F.lit(_LOW)).cast("double") + 0.5) * 2.0**-32
-    r = -F.log(high(bits[0]) * low(bits[0]))
-    log_c = F.log(-F.log(high(bits[1]) * low(bits[1])))
-    b = high(bits[2])
+    x, y = (one * other for one, other in (_uniforms(_bits(term, first, sample, k)) for k in range(2)))
+    r, log_c = -F.log(x), F.log(-F.log(y))
+    if most is None:
+        return r, log_c
+    within = (1.0 - y) * x * 2.0 <= most * (1.0 + y)
+    return F.when(within, r), F.when(within, log_c)
+
+
+def _draw(term: Column, log_weight: Column, first: Column, sample: int, r: Column, log_c: Column) -> Column:
+    """One long: ln a in fixed point above, what was picked (term and t) in the low 32 bits."""
+    bits = _bits(term, first, sample, 2)
+    b, _ = _uniforms(bits)
     t = F.floor(log_weight / r + b)
     log_a = log_c - r * (t - b) - r
-    packed = F.shiftleft(((log_a + 160.0) * 2.0**23).cast("long"), 32)
-    return packed.bitwiseOR(bits[2].bitwiseXOR(t).bitwiseAND(F.lit(_LOW)))
+    return _level(log_a).bitwiseOR(bits.bitwiseXOR(t).bitwiseAND(F.lit(_LOW)))
 
 
 def sample_terms(
     terms: DataFrame, by: list[str], samples: int = SAMPLES, weights: dict[str, str] | None = None,
-    also: tuple[str, ...] = (),
+    also: tuple[str, ...] = (), most: str | None = None,
 ) -> DataFrame:
     """``by`` and the sampled picks of each group's terms (column ``h``).
 
@@ -63,7 +91,10 @@ def sample_terms(
     term takes its draws ``GROUPED`` at a time, which keeps generated code small. A row without a
     weight above 0 is drawn by nobody, but keeps its group: one of such rows alone has picks of 0.
     ``also`` names columns that a group has one value of, and that only its rows without weight need to bear.
+    ``most`` names a column, of one value in a group, above which an a need not be worked out; a column ``sure``
+    then tells whether all that was picked is below it, and so is what would be picked without it.
     """
+    by = [*by, *([most] if most else [])]
     weights = weights or {"n": "picks"}
     named, none, void = list(weights), F.lit(0).cast("long"), F.array().cast("array<int>")
     # a number of the first draw and, in its low byte, that of the weight; -1 where there is none
@@ -87,20 +118,30 @@ def sample_terms(
         *by, *[F.when(apart, F.col(c)).alias(c) for c in also], "h", F.shiftright("_code", 8).alias("_first"),
         drawn_by([f"_ln_{w}" for w in named]).alias("_ln"),
         *[F.when(F.col(w) == weight, none).otherwise(F.lit(_NEVER)).alias(f"_not_{w}") for w in named],
+        *([(F.col(most) * weight).alias("_weighed")] if most else []),
     )
-    least = []
+    # r and c are columns of their own, so that each is worked out once
+    drawn = {}
+    for i in range(GROUPED):
+        r, log_c = _gammas(F.col("h"), F.col("_first"), i, F.col("_weighed") if most else None)
+        drawn |= {f"_r{i}": r, f"_c{i}": log_c}
+    held, least = held.withColumns(drawn), []
     for i in range(GROUPED):
-        packed = _draw(F.col("h"), F.col("_ln"), F.col("_first"), i)
+        packed = _draw(F.col("h"), F.col("_ln"), F.col("_first"), i, F.col(f"_r{i}"), F.col(f"_c{i}"))
         least += [F.min(packed.bitwiseOR(F.col(f"_not_{w}"))).alias(f"_{w}{i}") for w in named]
     part = held.groupBy(*by, "_first", *also).agg(*least)
     pick = lambda c: F.when(F.col(c) < _NEVER, F.col(c).bitwiseAND(F.lit(_LOW))).otherwise(none)
-    drawn = part.select(*by, *also, F.struct("_first", *[F.array(*[pick(f"_{w}{i}") for i in range(GROUPED)]).alias(w) for w in named]).alias("_part"))
+    kept = [F.array(*[pick(f"_{w}{i}") for i in range(GROUPED)]).alias(w) for w in named]
+    if most:  # two steps of the fixed point clear of rounding
+        below = _level(F.log(F.col(most)) - 2.0**-22)
+        kept.append((F.greatest(*[F.coalesce(f"_{w}{i}", F.lit(_NEVER)) for w in named for i in range(GROUPED)]) < below).alias("sure"))
+    drawn = part.select(*by, *also, F.struct("_first", *kept).alias("_part"))
     whole = drawn.groupBy(*by).agg(F.sort_array(F.collect_list("_part")).alias("_parts"), *[F.max(c).alias(c) for c in also])
     whole = whole.withColumn("_parts", F.filter("_parts", lambda p: p["_first"] >= 0))
     return whole.select(*by, *also, *[
         F.when(F.size("_parts") == 0, F.array_repeat(none, samples))
         .otherwise(F.slice(F.flatten(F.col(f"_parts.{w}")), 1, samples)).alias(weights[w]) for w in named
-    ])
+    ], *([F.forall("_parts", lambda p: p["sure"]).alias("sure")] if most else []))
 
 
 def as_text(picks: Column) -> Column:
@@ -164,6 +205,28 @@ def _next(rows: DataFrame, value: str, name: str) -> DataFrame:
     ).drop("_lead", "_v")
 
 
+def _side_terms(texts: DataFrame, known: list[str], shown: tuple[str, ...]) -> DataFrame:
+    """Terms of ``text`` (counted in n) and ``_edited`` (m) by ``known``, and a row without a term that bears ``shown``.
+
+    ``_most`` is SURE / W of the shorter one that has words.
+    """
+    split = texts.withColumns({"_words": words(F.col("text")), "_others": words(F.col("_edited"))})
+    fewest = F.least(*[F.nullif(F.size(c), F.lit(0)) for c in ("_words", "_others")])
+    side = F.col("_side")
+    # words are counted by a grouping: a text's, its edited text's, and a row without a word that bears the rest
+    parts = split.withColumns({
+        "_most": F.coalesce(F.lit(SURE) / fewest, F.lit(1.0)), "_side": F.explode(F.array(*map(F.lit, range(3)))),
+    }).select(
+        *known, "_most", "_side", *[F.when(side == 2, F.col(c)).alias(c) for c in shown],
+        F.when(side == 0, F.col("_words")).when(side == 1, F.col("_others")).alias("_words"),
+    )
+    found = parts.select(*known, "_most", *shown, "_side", F.explode_outer("_words").alias("_word"))
+    found = found.filter(F.col("_word").isNotNull() | (side == 2))
+    return found.groupBy(*known, "_most", *shown, F.when(side < 2, F.xxhash64("_word")).alias("h")).agg(
+        F.count_if(side == 0).alias("n"), F.count_if(side == 1).alias("m")
+    )
+
+
 def edited_neighbours(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every text and of the text after an edit, with their likenesses.
 
@@ -200,22 +263,17 @@ def edited_neighbours(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("_next", F.lit(1), half))
-    known, shown = ["bucket", "place"], ("doc_id", "n_chars", "edited_sha256")
+    known, shown, kinds = ["bucket", "place"], ("doc_id", "n_chars", "edited_sha256"), {"n": "picks", "m": "edited"}
     texts = rows.select(
         "bucket", "place", "doc_id", n.cast("long").alias("n_chars"), F.col("text"), edited.alias("_edited")
     ).withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256))
-    # words are counted by a grouping: a text's, its edited text's, and a row without a word that bears the rest
-    side = F.col("_side")
-    parts = texts.withColumn("_side", F.explode(F.array(*map(F.lit, range(3))))).select(
-        *known, "_side", *[F.when(side == 2, F.col(c)).alias(c) for c in shown],
-        words(F.when(side == 0, F.col("text")).when(side == 1, F.col("_edited"))).alias("_words"),
-    )
-    found = parts.select(*known, *shown, "_side", F.explode_outer("_words").alias("_word"))
-    found = found.filter(F.col("_word").isNotNull() | (side == 2))
-    terms = found.groupBy(*known, *shown, F.when(side < 2, F.xxhash64("_word")).alias("h")).agg(
-        F.count_if(side == 0).alias("n"), F.count_if(side == 1).alias("m")
-    )
-    signed = materialize(sample_terms(terms, known, samples, {"n": "picks", "m": "edited"}, shown), "fingerprints")
+    both_texts = (*shown, "text", "_edited")
+    drawn = sample_terms(_side_terms(texts, known, both_texts), known, samples, kinds, both_texts, "_most")
+    # texts stay with rows that are to be drawn again
+    again = [F.when(~F.col("sure"), F.col(c)).alias(c) for c in ("text", "_edited")]
+    drawn = materialize(drawn.select(*known, *shown, "picks", "edited", "sure", *again), "fingerprints")
+    whole = sample_terms(_side_terms(drawn.filter(~F.col("sure")), known, shown), known, samples, kinds, shown)
+    signed = drawn.filter("sure").select(whole.columns).unionByName(materialize(whole, "fingerprints-again"))
     return _next(signed, "picks", "_next").select(
         "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("picks")).alias("fingerprint"), as_text(F.col("edited")).alias("edited_fingerprint"),
