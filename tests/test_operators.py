@@ -189,6 +189,24 @@ def test_the_largest_group_emits_no_pairs(spark, monkeypatch):
     assert ids(got, "label_1", "label_2", "shared") == ids(want, "p1", "p2", "n") and max(met) < 10
 
 
+def test_pairs_are_counted_where_their_lists_are(spark, monkeypatch):
+    """Tasks grow with the pairs, a label with very many of them has several, and pairs are not shuffled."""
+    cast = _cast_with_large_groups(spark)
+    a = cast.select("f", F.col("p").alias("p1"), F.col("name").alias("n1"))
+    b = cast.select("f", F.col("p").alias("p2"), F.col("name").alias("n2"))
+    want = a.join(b, "f").filter("p1 < p2").groupBy("n1", "n2").agg(F.countDistinct("f").alias("n"))
+    monkeypatch.setattr(pairs, "MET_PER_TASK", 40)
+    for block in (512, 3):
+        monkeypatch.setattr(pairs, "BLOCK", block)
+        entries = cast.groupBy(F.col("f").alias("g"), F.col("name").alias("id")).agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+        sizes = entries.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+        got = pairs._counted(entries.join(sizes, "g"))
+        assert ids(got, "id_1", "id_2", "shared") == ids(want, "n1", "n2", "n")
+        places = got.select("id_1", F.spark_partition_id().alias("at")).distinct().groupBy("id_1").count()
+        assert places.agg(F.max("count")).first()[0] > 1
+        assert "Exchange" not in got._jdf.queryExecution().sparkPlan().toString().split("Generate explode(after")[0]
+
+
 def test_members_counts_a_repeated_element_once(tables):
     got = membership.members(tables.film.select("film_id", "genre_ids"), "genre_ids", "g")
     assert ids(got, "film_id", "g") == [(1, 1), (1, 2), (2, 2), (2, 99)]
