@@ -135,6 +135,21 @@ def test_batches_leave_the_rental_stamp(tables):
     assert stamps(jobs.process_lost_inventory(tables, AS_OF).tables) != before
 
 
+def test_store_history_deals_rentals_three_times(spark, tables):
+    """By rental, disc and customer, and no more where no side is small enough to be sent around."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    kept = [spark.conf.get(n, None) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        plan = customers.account_store_history(tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, value in zip(names, kept):
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    # three of rentals; payments, discs twice, films and customers once each
+    assert plan.count("Exchange hashpartitioning") <= 8
+
+
 def test_nightly_log_plan_reads_each_table_few_times(tables):
     log = jobs.nightly_maintenance(tables, AS_OF).tables.customer_status_log
     plan = log._jdf.queryExecution().executedPlan().toString()
