@@ -135,6 +135,14 @@ def test_batches_leave_the_rental_stamp(tables):
     assert stamps(jobs.process_lost_inventory(tables, AS_OF).tables) != before
 
 
+def test_nightly_rentals_are_closed_once(tables):
+    """The closed rentals are written for the dormant customers, and handed on as written."""
+    done = jobs.nightly_maintenance(tables, AS_OF, reactivate_pct=0.0).tables
+    assert "Join" not in done.rental._jdf.queryExecution().optimizedPlan().toString()
+    closed = jobs.process_lost_inventory(tables, AS_OF).tables.rental
+    assert sorted(map(str, done.rental.collect())) == sorted(map(str, closed.collect()))
+
+
 def test_store_history_deals_rentals_three_times(spark, tables):
     """By rental, disc and customer, and no more where no side is small enough to be sent around."""
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
