@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from crosscheck import binding
 from kiosklake.functions import geo
 from kiosklake.functions.numbers import shuffle_key
 from kiosklake.operators import geojoin, ranking
@@ -68,3 +69,24 @@ def test_numbering_writes_no_digest_and_nothing_that_all_rows_share(spark, monke
     wanted = [(r["film_id"], r["store_id"]) for r in rows.collect()]
     got = added.filter("inventory_id <= 500").orderBy("inventory_id").collect()
     assert [(r["film_id"], r["store_id"]) for r in got] == wanted and {r["status_id"] for r in got} == {1}
+
+
+def test_crew_is_grouped_by_hashing(spark):
+    flags = [["A"], ["N"], ["R"], ["N", "A"], ["A", "9"], ["R", "N"], ["N", "B"], [None], [None, "A"], ["AA"], ["", "N"], ["Z", "O"]]
+    lines = spark.createDataFrame([(p, 1, f) for p, some in enumerate(flags) for f in some], "l_partkey long, l_suppkey long, l_returnflag string")
+    crew = binding.film_crew(Tables({"lineitem": lines}))
+    least = [min((f for f in some if f is not None), default=None) for some in flags]
+    wanted = [{"A": "Director", "N": "Writer"}.get(f, "Producer") for f in least]
+    assert [r["job"] for r in crew.orderBy("film_id").collect()] == wanted
+    assert "SortAggregate" not in crew._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rentals_are_dealt_without_the_store_that_follows_from_their_keys(spark):
+    lines = spark.createDataFrame([(1, 5, 2, 3.0), (1, 5, 6, 2.0), (1, 5, 3, 4.0), (2, 9, 1, 1.0)], "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double")
+    orders = spark.range(1, 3).select(F.col("id").alias("o_orderkey"))
+    supplier = spark.range(7).select(F.col("id").alias("s_suppkey"))
+    rented = binding._rented(Tables({"lineitem": lines, "orders": orders, "supplier": supplier}))
+    got = sorted((r["o_orderkey"], r["copy"], r["store_id"], r["price"]) for r in rented.collect())
+    assert got == [(1, 2, (35 + 26) % 7, 2.0), (1, 3, (35 + 39) % 7, 4.0), (2, 1, (63 + 13) % 7, 1.0)]
+    dealt = rented._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "* 7" not in dealt
