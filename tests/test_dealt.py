@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from crosscheck import binding
 from kiosklake.functions import geo
-from kiosklake.functions.numbers import shuffle_key
+from kiosklake.functions.numbers import random_between, shuffle_key
 from kiosklake.operators import geojoin, ranking
 from kiosklake.plans import earlier, stock
 from kiosklake.sources.tables import Tables
@@ -36,6 +36,22 @@ def test_new_film_stock_is_dealt(spark):
     assert plan.count() == sum(10 * (39 - s) for s in range(30)) and _tasks(plan) >= 4
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_new_film_stock_draws_by_comparing_digests(spark):
+    t = _tables(spark)
+    popular = t.film.withColumn("popularity", (F.col("film_id") * 7 % 640).cast("float")).withColumn("film_id", F.col("film_id") + 1000)
+    t = t.replaced(film=t.film.unionByName(popular))
+    plan = earlier.new_film_stock(t, "2002-02-01 00:00:00")
+    assert "conv(" not in _plan(plan)
+    wanted = random_between(F.col("fewest"), F.col("most"), "new-stock", F.col("film_id"), F.col("store_id"))
+    assert plan.count() == 2 * sum(10 * (39 - s) for s in range(30))
+    assert plan.filter(~F.col("copies").eqNullSafe(wanted.cast("int"))).count() == 0
+    assert plan.select("fewest", "most").distinct().count() >= 6
+
+
 def test_radius_join_is_dealt(spark):
     spots = spark.range(300).select(F.col("id"), (F.col("id") % 10 * 0.4 + 40.0).alias("lat"), (F.col("id") % 30 * 0.4).alias("lng")).coalesce(1)
     side = lambda p: spots.select(*[F.col(c).alias(f"{p}_{c}") for c in spots.columns])

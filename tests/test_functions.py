@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from kiosklake.functions import geo, numbers, periods, text
+from kiosklake.plans import earlier, stock
 from tests.conftest import dt, frame
 
 
@@ -61,6 +62,21 @@ def test_ratio_rounds_half_away_and_guards_zero(spark):
     assert one(spark, x=numbers.half_even_int(F.lit(2.5)), y=numbers.half_even_int(F.lit(3.5))) == {"x": 2, "y": 4}
 
 
+def test_steps_reached_is_the_floored_draw(spark):
+    rows = spark.range(3000).select("id", numbers.shuffle_key("s", F.col("id"), F.lit(None)).alias("digest"))
+    assert rows.filter(F.col("digest") != F.md5(F.concat(numbers.key_text("s", F.col("id")), numbers.next_key(F.lit(None))))).count() == 0
+    wrong = []
+    for low, high in {*earlier.BOUNDS, *[(low, low + n) for _, low, n in stock.TIERS.values()], (0, 100)}:
+        steps = numbers.digest_steps(low, high)
+        drawn = low + numbers.steps_reached(F.col("digest"), [F.lit(x) for x in steps])
+        wrong.append(F.count_if(drawn != numbers.random_between(low, high, "s", F.col("id"))))
+        for step in steps:  # a step is the least digest of its number
+            least = int(step, 16)
+            at = [int(v / float(16**13) * (float(high) - float(low)) + float(low)) for v in (least - 1, least)]
+            assert at[0] + 1 == at[1] == low + steps.index(step) + 1
+    assert set(rows.agg(*[w.alias(f"w{i}") for i, w in enumerate(wrong)]).first()) == {0}
+
+
 def test_draws_are_uniform_and_repeatable(spark):
     rows = spark.range(4000).select(numbers.draw("s", F.col("id")).alias("u"))
     first, again = [r.u for r in rows.collect()], [r.u for r in rows.collect()]
