@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from crosscheck import binding
 from kiosklake.functions import geo
-from kiosklake.functions.numbers import random_between, shuffle_key
+from kiosklake.functions.numbers import draw, random_between, shuffle_key
 from kiosklake.operators import geojoin, ranking
 from kiosklake.plans import earlier, stock
 from kiosklake.sources.tables import Tables
@@ -40,6 +40,14 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_allocation_draws_by_comparing_digests(spark):
+    plan = stock.allocation(_tables(spark), "2001-06-01 00:00:00", clear_existing=True)
+    assert "conv(substring(md5(concat_ws(|, stock-copies" not in _plan(plan) and "BroadcastHashJoin" not in _plan(plan)
+    low, steps = F.lit(10), F.lit(5)  # all films are of tier A
+    wanted = F.floor(draw("stock-copies", F.col("film_id"), F.col("store_id")) * steps + low)
+    assert plan.filter(F.col("copies") != wanted).count() == 0 and plan.agg(F.countDistinct("copies")).first()[0] == 5
+
+
 def test_new_film_stock_draws_by_comparing_digests(spark):
     t = _tables(spark)
     popular = t.film.withColumn("popularity", (F.col("film_id") * 7 % 640).cast("float")).withColumn("film_id", F.col("film_id") + 1000)
