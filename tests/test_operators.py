@@ -207,6 +207,21 @@ def test_pairs_are_counted_where_their_lists_are(spark, monkeypatch):
         assert "Exchange" not in got._jdf.queryExecution().sparkPlan().toString().split("Generate explode(after")[0]
 
 
+def test_pairs_of_even_groups_are_neither_written_nor_looked_up(spark, monkeypatch):
+    """Without groups that stand out no pair is written, and group rows are dealt once for their lists."""
+    cast = spark.range(6000).select((F.col("id") % 400).alias("f"), F.pmod(F.hash("id"), F.lit(300)).alias("p"))
+    written, kept = [], pairs.materialize
+    monkeypatch.setattr(pairs, "materialize", lambda df, label: written.append((label, df.columns)) or kept(df, label))
+    monkeypatch.setattr(pairs, "_looked_up", None)
+    a, b = cast.select("f", F.col("p").alias("p1")), cast.select("f", F.col("p").alias("p2"))
+    want = a.join(b, "f").filter("p1 < p2").groupBy("p1", "p2").agg(F.countDistinct("f").alias("n"))
+    for block, least in ((512, 3), (5, 3)):
+        monkeypatch.setattr(pairs, "BLOCK", block)
+        got = pairs.shared_group_pairs(cast, group="f", label="p", member="p", min_groups=least)
+        assert ids(got, "label_1", "label_2", "shared") == ids(want.filter(F.col("n") >= least), "p1", "p2", "n")
+    assert not [x for x in written if "id_2" in x[1]]
+
+
 def test_members_counts_a_repeated_element_once(tables):
     got = membership.members(tables.film.select("film_id", "genre_ids"), "genre_ids", "g")
     assert ids(got, "film_id", "g") == [(1, 1), (1, 2), (2, 2), (2, 99)]
