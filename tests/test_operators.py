@@ -208,8 +208,9 @@ def test_pairs_are_counted_where_their_lists_are(spark, monkeypatch):
 
 
 def test_pairs_of_even_groups_are_neither_written_nor_looked_up(spark, monkeypatch):
-    """Without groups that stand out no pair is written, and group rows are dealt once for their lists."""
+    """Without groups that stand out no pair is written or looked up; rows without a group or a label meet nobody."""
     cast = spark.range(6000).select((F.col("id") % 400).alias("f"), F.pmod(F.hash("id"), F.lit(300)).alias("p"))
+    cast = cast.union(spark.range(290).select(F.lit(None).cast("long"), "id")).union(spark.range(390).select("id", F.lit(None)))
     written, kept = [], pairs.materialize
     monkeypatch.setattr(pairs, "materialize", lambda df, label: written.append((label, df.columns)) or kept(df, label))
     monkeypatch.setattr(pairs, "_looked_up", None)
