@@ -48,6 +48,14 @@ def test_allocation_draws_by_comparing_digests(spark):
     assert plan.filter(F.col("copies") != wanted).count() == 0 and plan.agg(F.countDistinct("copies")).first()[0] == 5
 
 
+def test_stores_of_lots_do_not_pass_the_driver_where_no_film_is_new(spark):
+    t = _tables(spark)
+    plan = stock.allocation(t.replaced(inventory=t.film.select(F.col("film_id").alias("inventory_id"), "film_id", F.col("film_id").alias("store_id"))), "2001-06-01 00:00:00")
+    assert plan.collect() == []
+    done = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [lot" in done and "BroadcastHashJoin [lot" not in done
+
+
 def test_new_film_stock_draws_by_comparing_digests(spark):
     t = _tables(spark)
     popular = t.film.withColumn("popularity", (F.col("film_id") * 7 % 640).cast("float")).withColumn("film_id", F.col("film_id") + 1000)
